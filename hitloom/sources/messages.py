@@ -25,25 +25,6 @@ RAW_EVENT_ARROW = pa.schema([(f.name, _arrow_type(f.dataType)) for f in RAW_EVEN
 _FLUSH_ROWS = 4096
 
 
-def _as_events(table: pa.Table) -> pa.Table:
-    """`table` with exactly the raw event fields, matched by name at every level."""
-    types = {field.name: field.type for field in table.schema}
-    if all(types.get(field.name) == field.type for field in RAW_EVENT_ARROW):
-        return table.select(RAW_EVENT_ARROW.names).cast(RAW_EVENT_ARROW)
-    return pa.Table.from_pylist(table.to_pylist(), schema=RAW_EVENT_ARROW)
-
-
-def _read_message(buffer: pa.Buffer, rows: str) -> pa.Table | None:
-    with pa.ipc.open_stream(buffer) as reader:
-        if rows == "batch":
-            try:
-                return pa.Table.from_batches([reader.read_next_batch()])
-            except StopIteration:
-                return None
-        table = reader.read_all()
-    return table.slice(0, 1) if rows == "first" else table
-
-
 def decode_events(messages: DataFrame, value: str = "value", rows: str = "first") -> DataFrame:
     """Raw events held in the binary column `value`; the other columns are repeated per event.
 
@@ -56,6 +37,25 @@ def decode_events(messages: DataFrame, value: str = "value", rows: str = "first"
     carried = [field for field in messages.schema.fields if field.name != value]
     names = [field.name for field in carried]
     output = T.StructType([*RAW_EVENT.fields, *carried])
+    schema, flush_rows = RAW_EVENT_ARROW, _FLUSH_ROWS
+
+    # The helpers are local so that they travel with the task; workers need pyarrow only.
+    def read(buffer: pa.Buffer) -> pa.Table | None:
+        with pa.ipc.open_stream(buffer) as reader:
+            if rows == "batch":
+                try:
+                    return pa.Table.from_batches([reader.read_next_batch()])
+                except StopIteration:
+                    return None
+            table = reader.read_all()
+        return table.slice(0, 1) if rows == "first" else table
+
+    def as_events(table: pa.Table) -> pa.Table:
+        """`table` with exactly the raw event fields, matched by name at every level."""
+        types = {field.name: field.type for field in table.schema}
+        if all(types.get(field.name) == field.type for field in schema):
+            return table.select(schema.names).cast(schema)
+        return pa.Table.from_pylist(table.to_pylist(), schema=schema)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,12 +72,12 @@ def decode_events(messages: DataFrame, value: str = "value", rows: str = "first"
             for index, message in enumerate(batch.column(value)):
                 if not message.is_valid or len(message.as_buffer()) == 0:
                     continue
-                table = _read_message(message.as_buffer(), rows)
+                table = read(message.as_buffer())
                 if table is None or table.num_rows == 0:
                     continue
-                decoded.append(_as_events(table))
+                decoded.append(as_events(table))
                 origin.extend([index] * table.num_rows)
-                if len(origin) >= _FLUSH_ROWS:
+                if len(origin) >= flush_rows:
                     yield from flush()
                     decoded.clear()
                     origin.clear()
