@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitloom.sizing import broadcast_if_small
+from hitloom.sizing import BROADCAST_ROWS, fits
 
 
 def _cell(x: Column) -> Column:
@@ -24,7 +24,7 @@ def curve_limits(points: DataFrame) -> DataFrame:
     )
 
 
-def curve_segments(points: DataFrame, limits: DataFrame) -> DataFrame:
+def curve_segments(points: DataFrame) -> DataFrame:
     """Line segments, repeated for each cell they touch: at most two rows per point on average."""
     along = Window.partitionBy("table").orderBy("x")
     lines = points.select(
@@ -34,7 +34,7 @@ def curve_segments(points: DataFrame, limits: DataFrame) -> DataFrame:
         F.lead("x").over(along).alias("_x1"),
         F.lead("y").over(along).alias("_y1"),
     ).filter(F.col("_x1").isNotNull())
-    return lines.join(broadcast_if_small(limits), "table").select(
+    return lines.join(curve_limits(points), "table").select(
         "table",
         F.explode(F.sequence(_cell(F.col("_x0")), _cell(F.col("_x1")))).alias("_cell"),
         "_x0",
@@ -53,8 +53,14 @@ def interpolate(
     row meets the few segments of its cell through an equality join, and one of them at most
     contains it, so rows are neither lost nor repeated.
     """
-    limits = broadcast_if_small(curve_limits(points))
-    segments = broadcast_if_small(curve_segments(points, curve_limits(points)))
+    small = fits(points, BROADCAST_ROWS // 2)
+    if small:
+        # Known to be a small table: one partition needs no shuffle to be grouped.
+        points = points.coalesce(1)
+    limits, segments = curve_limits(points), curve_segments(points)
+    if small:
+        # At most one limit and on average two segments for each point.
+        limits, segments = F.broadcast(limits), F.broadcast(segments)
     value = F.col("_x")
     rows = df.withColumn("_x", F.col(x).cast("double")).withColumn("_table", F.col(table))
     bounded = rows.join(limits.withColumnRenamed("table", "_table"), "_table", "left")

@@ -27,7 +27,9 @@ def explode_hits(
     event_columns = [c for c in keep if c != "mod"]
     segment_columns = ["dev", "fp", "mod", "det"] if "mod" in keep else ["dev", "fp", "det"]
     carried = list(dict.fromkeys([event_key, *event_columns]))
-    segments = events.select(*carried, F.explode("segdata").alias("segment"))
+    # Zipping the wanted fields lets the scan leave out the others.
+    segment = F.arrays_zip(*[f"segdata.{c}" for c in [*segment_columns, "hits"]])
+    segments = events.select(*carried, F.explode(segment).alias("segment"))
     hits = segments.select(
         *carried,
         *[F.col(f"segment.{c}").alias(c) for c in segment_columns],

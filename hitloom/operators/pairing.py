@@ -2,12 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitloom.schema import EVENT_KEY
 
 
+def _usable(df: DataFrame, channel: list[str]) -> DataFrame:
+    known = F.col("edge").isin(0, 1) & F.col("value").isNotNull()
+    for name in channel:
+        known = known & F.col(name).isNotNull()
+    return df.filter(known)
+
+
+def _pulses(closed: DataFrame, channel: list[str], leads: Column) -> DataFrame:
+    return closed.filter(leads & F.col("_end").isNotNull()).select(
+        *channel, (F.col("_end") - F.col("value")).alias("charge"), F.col("value").alias("timing")
+    )
+
+
+def pair_gathered(df: DataFrame, event_key: str = EVENT_KEY) -> DataFrame:
+    """:func:`pair_edges` for hits that lie together by event, none of them too many for a task.
+
+    One sort and one sweep per channel; only the pulses found are then made unique.
+    """
+    channel = [event_key, "cat", "id"]
+    # Latest first, so the frame only grows and Spark sweeps it once.  At equal times the leading
+    # edge comes first and does not see the trailing one.
+    later = Window.partitionBy(*channel).orderBy(F.desc("value"), F.asc("edge"))
+    trailing = F.when(F.col("edge") == 1, F.col("value"))
+    swept = later.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    closed = _usable(df, channel).withColumn("_end", F.min(trailing).over(swept))
+    return _pulses(closed, channel, F.col("edge") == 0).distinct()
+
+
 def pair_edges(df: DataFrame, event_key: str = EVENT_KEY, cell: int | None = None) -> DataFrame:
     """Pulse of each leading edge: ``timing`` and the distance to the nearest later trailing edge.
 
@@ -15,47 +43,36 @@ def pair_edges(df: DataFrame, event_key: str = EVENT_KEY, cell: int | None = Non
     later trailing edge gives no pulse, equal leading edges give one, and one trailing edge may close
     several pulses.
 
-    Equal hits are merged before anything is moved, so a channel has no more rows than there are
+    Equal hits are merged before anything is gathered, so a channel has no more rows than there are
     distinct values: after :func:`~hitloom.operators.validate` at most ``high - low - 1``, however
     many hits were taken.  Without such a window, `cell` cuts the time axis into cells of that width
     and searches first within the cell, then over the cells, so that no task sees a whole channel.
     """
     channel = [event_key, "cat", "id"]
-    usable = df.filter(
-        F.col("edge").isin(0, 1)
-        & F.col("value").isNotNull()
-        & F.col("cat").isNotNull()
-        & F.col("id").isNotNull()
-        & F.col(event_key).isNotNull()
-    )
-    edges = usable.groupBy(*channel, "value").agg(
+    edges = _usable(df, channel).groupBy(*channel, "value").agg(
         F.max(F.col("edge") == 0).alias("leads"), F.max(F.col("edge") == 1).alias("trails")
     )
     trailing = F.when(F.col("trails"), F.col("value"))
-    # Latest first: the frame then only grows, which Spark evaluates in one sweep.
     before = (Window.unboundedPreceding, -1)
 
     if cell is None:
         later = Window.partitionBy(*channel).orderBy(F.desc("value")).rowsBetween(*before)
         closed = edges.withColumn("_end", F.min(trailing).over(later))
-    else:
-        edges = edges.withColumn("_cell", F.floor(F.col("value") / cell))
-        within = (
-            Window.partitionBy(*channel, "_cell").orderBy(F.desc("value")).rowsBetween(*before)
-        )
-        following = Window.partitionBy(*channel).orderBy(F.desc("_cell")).rowsBetween(*before)
-        cells = (
-            edges.groupBy(*channel, "_cell")
-            .agg(F.min(trailing).alias("_first"))
-            .withColumn("_next", F.min("_first").over(following))
-            .select(*channel, "_cell", "_next")
-        )
-        closed = (
-            edges.withColumn("_here", F.min(trailing).over(within))
-            .filter(F.col("leads"))
-            .join(cells, [*channel, "_cell"])
-            .withColumn("_end", F.coalesce("_here", "_next"))
-        )
-    return closed.filter(F.col("leads") & F.col("_end").isNotNull()).select(
-        *channel, (F.col("_end") - F.col("value")).alias("charge"), F.col("value").alias("timing")
+        return _pulses(closed, channel, F.col("leads"))
+
+    edges = edges.withColumn("_cell", F.floor(F.col("value") / cell))
+    within = Window.partitionBy(*channel, "_cell").orderBy(F.desc("value")).rowsBetween(*before)
+    following = Window.partitionBy(*channel).orderBy(F.desc("_cell")).rowsBetween(*before)
+    cells = (
+        edges.groupBy(*channel, "_cell")
+        .agg(F.min(trailing).alias("_first"))
+        .withColumn("_next", F.min("_first").over(following))
+        .select(*channel, "_cell", "_next")
+    )
+    closed = (
+        edges.withColumn("_here", F.min(trailing).over(within))
+        .filter(F.col("leads"))
+        .join(cells, [*channel, "_cell"])
+        .withColumn("_end", F.coalesce("_here", "_next"))
     )
+    return _pulses(closed, channel, F.col("leads"))

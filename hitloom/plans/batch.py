@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from hitloom.operators.hits import explode_hits
-from hitloom.plans.layout import Layout, hot_events
+from hitloom.plans.layout import Layout
 from hitloom.schema import EVENT_KEY
 from hitloom.sinks import write_events
-from hitloom.sizing import HOT_EVENT_ROWS
-from hitloom.sources import Paths, read_events
+from hitloom.sizing import HOT_EVENT_ROWS, hot_keys
+from hitloom.sources import Paths, read_events, read_hit_keys
 
 
 def run_batch(
@@ -19,7 +19,7 @@ def run_batch(
     paths: Paths,
     name: str,
     kind: str,
-    plan: Callable[[DataFrame, Layout], DataFrame],
+    plan: Callable[[DataFrame, Layout, DataFrame], DataFrame],
     partitions: int | None = None,
     hot_rows: int = HOT_EVENT_ROWS,
     event_key: str = EVENT_KEY,
@@ -27,11 +27,12 @@ def run_batch(
     """Run `plan` over the hits of the stored events `name`; returns the path written.
 
     `kind` becomes the suffix of the result, `partitions` the number of parts the hits are laid out
-    in by event.  `plan` takes hits and layout, as in
-    ``lambda hits, layout: strip_plan(hits, maps, refs, curves, layout=layout)``.
+    in by event.  `plan` takes hits, layout and event keys, as in ``lambda hits, layout, events:
+    strip_plan(hits, maps, refs, curves, layout=layout, events=events)``.
     """
-    events = read_events(spark, paths.events(name))
-    layout = Layout(partitions=partitions, hot=hot_events(events, hot_rows, event_key))
-    target = paths.result(name, kind)
-    write_events(plan(explode_hits(events, event_key), layout), target)
+    source, target = paths.events(name), paths.result(name, kind)
+    keys = read_hit_keys(spark, source, event_key)
+    layout = Layout(partitions=partitions, hot=hot_keys(keys, event_key, hot_rows))
+    hits = explode_hits(read_events(spark, source), event_key)
+    write_events(plan(hits, layout, keys), target)
     return target

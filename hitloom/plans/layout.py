@@ -11,8 +11,8 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from hitloom.operators.events import distinct_events
 from hitloom.schema import EVENT_KEY
 from hitloom.sizing import HOT_EVENT_ROWS, hot_keys, split_hot
 
@@ -23,7 +23,7 @@ class Layout:
     `clustered`: the input is a table bucketed by event, so the shuffle is left out.
     `hot_rows`: an event with more hits is spread; None skips the check where the source is known to
     have no such event.  `hot`: the keys of such events where they are known already, as from
-    :func:`hot_events`."""
+    :func:`hitloom.sizing.hot_keys`."""
 
     partitions: int | None = None
     clustered: bool = False
@@ -39,17 +39,6 @@ class Layout:
         return df.repartition(self.partitions, event_key)
 
 
-def hot_events(events: DataFrame, rows: int, event_key: str = EVENT_KEY) -> DataFrame:
-    """Keys of nested events holding more than `rows` hits in all their copies together."""
-    hits = F.aggregate(
-        F.transform("segdata", lambda s: F.coalesce(F.array_size(s["hits"]), F.lit(0))),
-        F.lit(0).cast("long"),
-        lambda total, n: total + n,
-    )
-    counted = events.select(event_key, hits.alias("n")).groupBy(event_key).agg(F.sum("n").alias("n"))
-    return counted.filter(F.col("n") > rows).select(event_key)
-
-
 def by_layout(
     hits: DataFrame,
     layout: Layout,
@@ -65,3 +54,11 @@ def by_layout(
     ordinary, hot = split_hot(hits, event_key, keys)
     result = plan(ordinary, False)
     return result if hot is None else result.unionByName(plan(hot, True))
+
+
+def with_all_events(
+    result: DataFrame, hits: DataFrame, events: DataFrame | None, event_key: str = EVENT_KEY
+) -> DataFrame:
+    """`result` with a row for each event that has hits; `events` saves a scan of the hits for it."""
+    every = distinct_events(hits if events is None else events, event_key)
+    return every.join(result, event_key, "left")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hitloom.operators.calibration import to_float
 from hitloom.operators.hits import VALUE_WINDOW, flip_edges, validate
-from hitloom.operators.pairing import pair_edges
+from hitloom.operators.pairing import pair_edges, pair_gathered
 from hitloom.operators.reference import subtract_reference, subtract_tagged, tag_channels
 from hitloom.plans.layout import Layout
 from hitloom.schema import EVENT_KEY, MODULE_KEY
@@ -81,6 +81,8 @@ def calibrated_pulses(
         df = validate(df, window)
     if flip:
         df = flip_edges(df)
-    cell = HOT_CELL if spread and window is None else None
-    pulses = pair_edges(df, event_key, cell)
+    if spread:
+        pulses = pair_edges(df, event_key, HOT_CELL if window is None else None)
+    else:
+        pulses = pair_gathered(df, event_key)
     return to_float(pulses, ["charge", "timing"], factor=factor, dither=dither)

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from hitloom.functions import asymmetry, strip_coordinate
 from hitloom.operators.curves import interpolate
-from hitloom.operators.events import distinct_events, pulse_list
+from hitloom.operators.events import pulse_list
 from hitloom.operators.hits import VALUE_WINDOW
 from hitloom.operators.strips import strength_rank, strongest_two
-from hitloom.plans.layout import Layout, by_layout
+from hitloom.plans.layout import Layout, by_layout, with_all_events
 from hitloom.plans.pulses import calibrated_pulses
 from hitloom.schema import EVENT_KEY
 
@@ -42,15 +42,20 @@ STRIP_FACTOR = 0.09765627
 ANODE = "a"
 
 
-def _geometry(like: DataFrame, detectors: Sequence[str], planes: Sequence[StripPlane]) -> DataFrame:
-    rows = [
-        (d + p.plane, p.table(d), p.center, p.pitch, p.offset, -1 if p.turned else 1)
-        for d in detectors
-        for p in planes
-    ]
-    return like.sparkSession.createDataFrame(
-        rows, "cat string, table string, center double, pitch double, offset double, sign int"
-    )
+def _geometry(detectors: Sequence[str], planes: Sequence[StripPlane]) -> Column:
+    """Constants of the row's plane as a struct, null for other categories."""
+    entries = []
+    for d in detectors:
+        for p in planes:
+            constants = F.struct(
+                F.lit(p.table(d)).alias("table"),
+                F.lit(float(p.center)).alias("center"),
+                F.lit(float(p.pitch)).alias("pitch"),
+                F.lit(float(p.offset)).alias("offset"),
+                F.lit(-1 if p.turned else 1).alias("sign"),
+            )
+            entries += [F.lit(d + p.plane), constants]
+    return F.create_map(*entries)[F.col("cat")]
 
 
 def plane_summary(
@@ -71,10 +76,8 @@ def plane_summary(
     summary = ranked.groupBy(event_key, "cat").agg(
         *strongest_two(F.col("_rank")), pulse_list(keep).alias("pulses")
     )
-    # One row per plane, so the geometry is as small as the list of detectors.
-    geometry = F.broadcast(_geometry(pulses, detectors, planes))
-    placed = summary.join(geometry, "cat", "left").withColumn(
-        "c0c1", asymmetry(F.col("c0"), F.col("c1"))
+    placed = summary.withColumn("geometry", _geometry(detectors, planes)).select(
+        *summary.columns, "geometry.*", asymmetry(F.col("c0"), F.col("c1")).alias("c0c1")
     )
     pos = strip_coordinate(
         *[F.col(c) for c in ("id0", "id1", "sharing", "center", "pitch", "offset", "sign")]
@@ -99,12 +102,14 @@ def strip_plan(
     layout: Layout = Layout(),
     event_key: str = EVENT_KEY,
     first_reference: bool = False,
+    events: DataFrame | None = None,
 ) -> DataFrame:
     """One row per event with the columns of every detector.
 
     Short: ``<det>x_pos, <det>y_pos, <det>a_timing, <det>a_charge``, filled where the position in the
     first plane is known; events without it are dropped for the detector named in `require`.
-    Full: also ``id, timing, charge`` arrays of each plane, for all events.
+    Full: also ``id, timing, charge`` arrays of each plane, for all events.  `events` may name the
+    event key of all hits where a narrower source than `hits` has it.
     """
     wanted = [d + p for d in detectors for p in (ANODE, *[plane.plane for plane in planes])]
     channel_map = channel_map.filter(F.col("cat").isin(wanted))
@@ -152,10 +157,10 @@ def strip_plan(
             *[of(cat, "pulses").alias(cat) for cat in lists],
             *[of(d + p.plane, "pos").alias(f"{d}{p.plane}_pos") for d in detectors for p in planes],
         )
-        result = by_event.select(event_key, *[c for d in detectors for c in columns(d)])
-        if require is not None and not full and require in detectors:
-            # An event without a position is unwanted, so the join with all events is not needed.
-            return result.filter(F.col(f"{require}{planes[0].plane}_pos").isNotNull())
-        return distinct_events(hits, event_key).join(result, event_key, "left")
+        return by_event.select(event_key, *[c for d in detectors for c in columns(d)])
 
-    return by_layout(hits, layout, plan, event_key)
+    result = by_layout(hits, layout, plan, event_key)
+    if not full and require in detectors:
+        # Events without that position are unwanted, so the others need not be added.
+        return result.filter(F.col(f"{require}{planes[0].plane}_pos").isNotNull())
+    return with_all_events(result, hits, events, event_key)

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from hitloom.operators.calibration import to_float
-from hitloom.operators.events import distinct_events
 from hitloom.operators.hits import VALUE_WINDOW, validate
 from hitloom.operators.triggers import trigger_table
-from hitloom.plans.layout import Layout, by_layout
+from hitloom.plans.layout import Layout, by_layout, with_all_events
 from hitloom.plans.pulses import referenced_hits
 from hitloom.plans.two_sided import TDC_FACTOR
 from hitloom.schema import EVENT_KEY
@@ -24,6 +23,7 @@ def trigger_plan(
     dither: str = "hash",
     layout: Layout = Layout(),
     event_key: str = EVENT_KEY,
+    events: DataFrame | None = None,
 ) -> DataFrame:
     """Earliest trigger of every event, null where none fired; `full` adds all ids and times."""
 
@@ -32,8 +32,7 @@ def trigger_plan(
             hits, trigger_map, reference_map, layout, spread, event_key, merge_equal=not full
         )
         df = to_float(validate(df, window), "value", factor=factor, dither=dither)
-        return distinct_events(hits, event_key).join(
-            trigger_table(df, full, event_key), event_key, "left"
-        )
+        return trigger_table(df, full, event_key)
 
-    return by_layout(hits, layout, plan, event_key)
+    result = by_layout(hits, layout, plan, event_key)
+    return with_all_events(result, hits, events, event_key)

@@ -8,10 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.operators.events import distinct_events
 from hitloom.operators.hits import VALUE_WINDOW
 from hitloom.operators.two_sided import FEATURES, TIME_WINDOW, match_sides
-from hitloom.plans.layout import Layout, by_layout
+from hitloom.plans.layout import Layout, by_layout, with_all_events
 from hitloom.plans.pulses import calibrated_pulses
 from hitloom.schema import EVENT_KEY
 
@@ -49,6 +48,7 @@ def two_sided_plan(
     layout: Layout = Layout(),
     event_key: str = EVENT_KEY,
     first_reference: bool = False,
+    events: DataFrame | None = None,
 ) -> DataFrame:
     """Pad pulses and strip coincidences per event; an event has a row for each strip that fired.
 
@@ -126,10 +126,7 @@ def two_sided_plan(
         # One row per strip that fired; an event without any keeps one row.
         for d in detectors:
             result = result.withColumn(d.name, F.explode_outer(d.name))
-        result = result.select(event_key, *[c for d in detectors for c in columns(d)])
-        if require in [d.name for d in detectors] and not full:
-            return result
-        return distinct_events(hits, event_key).join(result, event_key, "left")
+        return result.select(event_key, *[c for d in detectors for c in columns(d)])
 
     def columns(d: TwoSided) -> list[Column]:
         pad, left, right = d.categories
@@ -145,4 +142,7 @@ def two_sided_plan(
         features = FEATURES if full else ["tdiff", "tavg", "qsqsum"]
         return out + [F.col(f"{d.name}.found.{f}").alias(f"{strip}_{f}") for f in features]
 
-    return by_layout(hits, layout, plan, event_key)
+    result = by_layout(hits, layout, plan, event_key)
+    if not full and require in [d.name for d in detectors]:
+        return result
+    return with_all_events(result, hits, events, event_key)

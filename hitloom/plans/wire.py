@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.operators.events import collect_planes, distinct_events
-from hitloom.plans.layout import Layout, by_layout
+from hitloom.operators.events import collect_planes
+from hitloom.plans.layout import Layout, by_layout, with_all_events
 from hitloom.plans.pulses import calibrated_pulses
 from hitloom.plans.two_sided import TDC_FACTOR
 from hitloom.schema import EVENT_KEY
@@ -26,6 +26,7 @@ def wire_plan(
     dither: str = "hash",
     layout: Layout = Layout(),
     event_key: str = EVENT_KEY,
+    events: DataFrame | None = None,
 ) -> DataFrame:
     """``<plane>_id, _timing, _charge`` arrays per event; events without plane `require` are dropped.
 
@@ -47,9 +48,9 @@ def wire_plan(
             reference_id=reference_id,
         )
         quantities = ["id", "timing", "charge"]
-        result = collect_planes(pulses, {p: quantities for p in planes}, event_key)
-        if require is not None:
-            return result.filter(F.col(f"{require}_id").isNotNull())
-        return distinct_events(hits, event_key).join(result, event_key, "left")
+        return collect_planes(pulses, {p: quantities for p in planes}, event_key)
 
-    return by_layout(hits, layout, plan, event_key)
+    result = by_layout(hits, layout, plan, event_key)
+    if require is not None:
+        return result.filter(F.col(f"{require}_id").isNotNull())
+    return with_all_events(result, hits, events, event_key)

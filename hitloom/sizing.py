@@ -16,13 +16,18 @@ BROADCAST_ROWS = 200_000
 HOT_EVENT_ROWS = 2_000_000
 
 
+def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether `df` has at most `rows` rows; counting stops at ``rows + 1``."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting that `df` stays within `rows`.
 
-    The count stops at ``rows + 1``.  A larger table comes back without the hint and is joined by a
-    shuffle, where adaptive execution splits skewed partitions.
+    A larger table comes back without the hint and is joined by a shuffle, where adaptive execution
+    splits skewed partitions.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if fits(df, rows) else df
 
 
 def hot_keys(df: DataFrame, key: str, rows: int) -> DataFrame:

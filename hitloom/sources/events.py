@@ -3,10 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hitloom.schema import RAW_EVENT
+from hitloom.schema import EVENT_KEY, RAW_EVENT
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
     """Nested raw events from Parquet, with the declared schema (no footer inference)."""
     return spark.read.schema(RAW_EVENT).parquet(path)
+
+
+def read_hit_keys(spark: SparkSession, path: str, event_key: str = EVENT_KEY) -> DataFrame:
+    """The event key of every hit, from two columns of the file.
+
+    Enough to know which events have hits and how many; the rest of the hits is not read.
+    """
+    hit = T.StructType([T.StructField("geo", T.LongType())])
+    segment = T.StructType([T.StructField("hits", T.ArrayType(hit))])
+    schema = T.StructType(
+        [RAW_EVENT[event_key], T.StructField("segdata", T.ArrayType(segment))]
+    )
+    events = spark.read.schema(schema).parquet(path)
+    hits = events.select(event_key, F.explode("segdata.hits").alias("_hits"))
+    return hits.select(event_key, F.explode("_hits").alias("_hit")).select(event_key)

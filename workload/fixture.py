@@ -68,6 +68,14 @@ def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _literal(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few fixed rows, written into the query itself."""
+    fields = [field.split() for field in schema.split(", ")]
+    values = ", ".join(str(row) for row in rows)
+    table = spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(f[0] for f in fields)})")
+    return table.select(*[F.col(name).cast(kind) for name, kind in fields])
+
+
 def chmap(spark: SparkSession) -> DataFrame:
     """Channels 1-3 anode, 4-6 x, 7-9 y of detector p0 (geo 0) and p1 (geo 1); one is unmapped."""
     rows = [
@@ -76,17 +84,17 @@ def chmap(spark: SparkSession) -> DataFrame:
         for ch in range(1, 10)
         if (geo, ch) != (1, 9)
     ]
-    return spark.createDataFrame(rows, MAP_SCHEMA)
+    return _literal(spark, rows, MAP_SCHEMA)
 
 
 def tmap(spark: SparkSession) -> DataFrame:
     """Reference channel of each module."""
-    return spark.createDataFrame([("tref", geo, 11, 9, 31, geo, 0) for geo in (0, 1)], MAP_SCHEMA)
+    return _literal(spark, [("tref", geo, 11, 9, 31, geo, 0) for geo in (0, 1)], MAP_SCHEMA)
 
 
 def curves(spark: SparkSession, *names: str) -> DataFrame:
     rows = [(name, x, y) for name in names for x, y in CURVE[:2]]
-    return spark.createDataFrame(rows, "table string, x double, y double")
+    return _literal(spark, rows, "table string, x double, y double")
 
 
 def single_hit_events(hits: DataFrame) -> DataFrame:

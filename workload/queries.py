@@ -388,7 +388,9 @@ def strip_batch(spark: SparkSession, sf: str) -> DataFrame:
         paths,
         "run1",
         "strip",
-        lambda hits, layout: _strip(spark, hits, detectors=["p0"], full=True, layout=layout),
+        lambda hits, layout, events: _strip(
+            spark, hits, detectors=["p0"], full=True, layout=layout, events=events
+        ),
     )
     return _strip_full(spark.read.parquet(stored))
 
