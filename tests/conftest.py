@@ -1,3 +1,5 @@
+import contextlib
+import io
 import sys
 from pathlib import Path
 
@@ -32,15 +34,17 @@ MAPPED = "event_id long, cat string, id long, value long, edge long"
 PULSE = "event_id long, cat string, id long, charge double, timing double"
 
 
-def plan_text(df) -> str:
-    """The executed plan, with the initial one in place of adaptive stages."""
-    import contextlib
-    import io
-
+def explained(df) -> str:
+    """The formatted physical plan, with the details of each step."""
     out = io.StringIO()
     with contextlib.redirect_stdout(out):
         df.explain("formatted")
-    return out.getvalue().split("\n\n\n")[0]
+    return out.getvalue()
+
+
+def plan_tree(df) -> str:
+    """The tree of physical steps, last step first."""
+    return explained(df).split("\n\n")[0]
 
 
 def rows(df, *columns):
