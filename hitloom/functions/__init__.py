@@ -1,6 +1,7 @@
 from hitloom.functions.columns import (
     asymmetry,
     bin_edge,
+    bin_guess,
     bin_number,
     dithered,
     flipped_edge,
@@ -12,6 +13,7 @@ from hitloom.functions.columns import (
 __all__ = [
     "asymmetry",
     "bin_edge",
+    "bin_guess",
     "bin_number",
     "dithered",
     "flipped_edge",

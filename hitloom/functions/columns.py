@@ -95,26 +95,28 @@ def bin_edge(index: Column, low: float, high: float, bins: int) -> Column:
     return F.when(index >= bins, F.lit(float(high))).otherwise(index * F.lit(step) + F.lit(float(low)))
 
 
-def bin_number(value: Column, low: float, high: float, bins: int, closed: bool = False) -> Column:
+def bin_guess(value: Column, low: float, high: float, bins: int) -> Column:
+    """Bin of `value` by division: right up to one bin next to an edge.  Null and NaN give null."""
+    return F.width_bucket(value, F.lit(float(low)), F.lit(float(high)), F.lit(bins))
+
+
+def bin_number(
+    value: Column, guess: Column, low: float, high: float, bins: int, closed: bool = False
+) -> Column:
     """Bin of `value` among `bins` equal half-open bins: 0 below, 1 … bins inside, bins + 1 above.
 
-    The division only guesses the bin; the guess is then compared with the edges themselves, so a
-    value on an edge lands where a search through the edge list would put it.  With `closed` the
-    upper limit belongs to the last bin.  Null and NaN give null.
+    The `guess` from :func:`bin_guess`, best kept in a column, is compared with the edges themselves,
+    so a value on an edge lands where a search through the edge list would put it.  With `closed` the
+    upper limit belongs to the last bin.
     """
-    step = (high - low) / bins
-    inside = F.least(F.greatest(value, F.lit(float(low))), F.lit(float(high)))
-    guess = F.least(F.floor((inside - F.lit(float(low))) / F.lit(step)), F.lit(bins - 1).cast("long"))
-    settled = (
-        F.when(value < bin_edge(guess, low, high, bins), guess - 1)
-        .when(value >= bin_edge(guess + 1, low, high, bins), guess + 1)
-        .otherwise(guess)
-    )
-    settled = F.least(F.greatest(settled, F.lit(0).cast("long")), F.lit(bins - 1).cast("long"))
-    above = value > F.lit(float(high)) if closed else value >= F.lit(float(high))
+    step, last = (high - low) / bins, F.lit(bins).cast("long")
+    lower = (guess - 1) * F.lit(step) + F.lit(float(low))
+    upper = guess * F.lit(step) + F.lit(float(low))
+    beyond = value > F.lit(float(high)) if closed else value >= F.lit(float(high))
     return (
-        F.when(value.isNull() | F.isnan(value), F.lit(None).cast("long"))
-        .when(value < F.lit(float(low)), F.lit(0).cast("long"))
-        .when(above, F.lit(bins + 1).cast("long"))
-        .otherwise(settled + 1)
+        F.when(guess == 0, guess)
+        .when(guess > bins, F.when(beyond, guess).otherwise(last))
+        .when(value < lower, guess - 1)
+        .when((guess < bins) & (value >= upper), guess + 1)
+        .otherwise(guess)
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.functions import bin_edge, bin_number
+from hitloom.functions import bin_edge, bin_guess, bin_number
 
 Range = tuple[float, float]
 
@@ -25,28 +25,55 @@ def _bins(nbins: int, edges: str) -> int:
     raise ValueError(f"unknown edge rule {edges!r}")
 
 
-def _binned(value: Column, nbins: int, span: Range, edges: str, nan: str) -> Column:
-    value = value.cast("double")
-    number = bin_number(value, *span, _bins(nbins, edges), closed=edges == "numpy")
-    if nan == "error":
-        refuse = F.raise_error(F.lit("NaN in a histogram column")).cast("long")
-        return F.when(F.isnan(value), refuse).otherwise(number)
-    if nan == "drop":
-        return number
-    raise ValueError(f"unknown NaN choice {nan!r}")
-
+def _counted(
+    df: DataFrame,
+    axes: dict[str, tuple[str, int, Range]],
+    edges: str,
+    nan: str | None,
+    outer: bool,
+) -> DataFrame:
+    """Rows per combination of bins, for axes ``bin: (column, nbins, span)``; null is left out.
 
-def _nan_choice(nan: str | None, edges: str) -> str:
-    return nan or ("error" if edges == "points" else "drop")
+    Rows are chosen by their values before they are binned, so the choice reaches the scan and is
+    not repeated on the bin numbers.
+    """
+    nan = nan or ("error" if edges == "points" else "drop")
+    if nan not in ("error", "drop"):
+        raise ValueError(f"unknown NaN choice {nan!r}")
+    closed = edges == "numpy"
+    values = df.select(*[F.col(c).cast("double").alias(f"_v_{b}") for b, (c, _, _) in axes.items()])
+    chosen, refused = F.lit(True), F.lit(False)
+    guesses, numbers = [], []
+    for output, (_, nbins, span) in axes.items():
+        bins = _bins(nbins, edges)
+        value, guess = F.col(f"_v_{output}"), F.col(f"_g_{output}")
+        inside = value.isNotNull() & ~F.isnan(value)
+        if not outer:
+            below_top = value <= F.lit(float(span[1])) if closed else value < F.lit(float(span[1]))
+            inside = (value >= F.lit(float(span[0]))) & below_top
+        chosen, refused = chosen & inside, refused | F.isnan(value)
+        number = bin_number(value, guess, *span, bins, closed)
+        if nan == "error":
+            stop = F.raise_error(F.lit("NaN in a histogram column")).cast("long")
+            number = F.when(F.isnan(value), stop).otherwise(number)
+        guesses += [value, bin_guess(value, *span, bins).alias(f"_g_{output}")]
+        numbers.append(number.alias(output))
+    kept = values.filter(chosen | refused if nan == "error" else chosen)
+    return kept.select(*guesses).select(*numbers).groupBy(*axes).agg(F.count(F.lit(1)).alias("n"))
 
 
 def _counts_1d(
-    df: DataFrame, column: str, nbins: int, span: Range, array: bool, edges: str, nan: str | None
+    df: DataFrame,
+    column: str,
+    nbins: int,
+    span: Range,
+    array: bool,
+    edges: str,
+    nan: str | None,
+    outer: bool,
 ) -> DataFrame:
-    values = df.select((F.explode(column) if array else F.col(column)).alias("_v"))
-    number = _binned(F.col("_v"), nbins, span, edges, _nan_choice(nan, edges))
-    counts = values.select(number.alias("bin")).filter("bin IS NOT NULL").groupBy("bin")
-    return counts.agg(F.count(F.lit(1)).alias("n"))
+    values = df.select((F.explode(column) if array else F.col(column)).alias("_value"))
+    return _counted(values, {"bin": ("_value", nbins, span)}, edges, nan, outer)
 
 
 def hist1d(
@@ -67,7 +94,7 @@ def hist1d(
     `outer` adds the underflow (bin 0) and overflow bins.
     """
     bins = _bins(nbins, edges)
-    counts = _counts_1d(df, column, nbins, span, array, edges, nan)
+    counts = _counts_1d(df, column, nbins, span, array, edges, nan, outer)
     first, last = (0, bins + 1) if outer else (1, bins)
     every = df.sparkSession.range(first, last + 1).select(F.col("id").alias("bin"))
     inside = F.col("bin").between(1, bins)
@@ -91,7 +118,7 @@ def hist1d_stats(
     nan: str | None = None,
 ) -> DataFrame:
     """One row: total entries and how many lie below, inside and above the range."""
-    counts = _counts_1d(df, column, nbins, span, array, "points", nan)
+    counts = _counts_1d(df, column, nbins, span, array, "points", nan, True)
     total = F.coalesce(F.sum("n"), F.lit(0).cast("long"))
 
     def part(condition: Column) -> Column:
@@ -122,15 +149,11 @@ def _counts_2d(
     array: bool,
     edges: str,
     nan: str | None,
+    outer: bool,
 ) -> DataFrame:
-    values = zip_arrays(df, *columns) if array else df.select(*columns)
-    nan = _nan_choice(nan, edges)
-    numbers = values.select(
-        _binned(F.col(columns[0]), nbins[0], span[0], edges, nan).alias("bin_x"),
-        _binned(F.col(columns[1]), nbins[1], span[1], edges, nan).alias("bin_y"),
-    )
-    numbers = numbers.filter("bin_x IS NOT NULL AND bin_y IS NOT NULL")
-    return numbers.groupBy("bin_x", "bin_y").agg(F.count(F.lit(1)).alias("n"))
+    values = zip_arrays(df, *columns) if array else df
+    axes = {axis: (columns[i], nbins[i], span[i]) for i, axis in enumerate(("bin_x", "bin_y"))}
+    return _counted(values, axes, edges, nan, outer)
 
 
 def hist2d(
@@ -149,9 +172,7 @@ def hist2d(
     elements of two aligned array columns, `dense` adds the empty cells.
     """
     bins = (_bins(nbins[0], edges), _bins(nbins[1], edges))
-    counts = _counts_2d(df, columns, nbins, span, array, edges, nan).filter(
-        F.col("bin_x").between(1, bins[0]) & F.col("bin_y").between(1, bins[1])
-    )
+    counts = _counts_2d(df, columns, nbins, span, array, edges, nan, False)
     if dense:
         cells = df.sparkSession.range(bins[0] * bins[1]).select(
             (F.floor(F.col("id") / bins[1]) + 1).alias("bin_x"),
@@ -177,7 +198,7 @@ def hist2d_stats(
     nan: str | None = None,
 ) -> DataFrame:
     """Entries in the 3 x 3 zones: 0 below, 1 inside, 2 above the range of each axis."""
-    counts = _counts_2d(df, columns, nbins, span, array, "points", nan)
+    counts = _counts_2d(df, columns, nbins, span, array, "points", nan, True)
 
     def zone(name: str, edges: int) -> Column:
         bin_ = F.col(name)
