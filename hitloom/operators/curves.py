@@ -1,47 +1,61 @@
-"""Piecewise linear conversion curves as an equality join."""
+"""Piecewise linear conversion curves as one equality join."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitloom.sizing import BROADCAST_ROWS, fits
+from hitloom.sizing import BROADCAST_ROWS
 
 
-def _cell(x: Column) -> Column:
-    """Cell of `x` when the curve's range is cut into as many cells as it has points."""
-    return F.floor((x - F.col("_low")) / (F.col("_high") - F.col("_low")) * F.col("_points"))
+@dataclass(frozen=True)
+class Grid:
+    """Equal cells over the common range of all curves, about as many as a curve has points."""
 
+    low: float
+    high: float
+    cells: int
 
-def curve_limits(points: DataFrame) -> DataFrame:
-    """First and last point of each curve and its number of points."""
-    return points.groupBy("table").agg(
-        F.min("x").alias("_low"),
-        F.max("x").alias("_high"),
-        F.min_by("y", "x").alias("_y_low"),
-        F.max_by("y", "x").alias("_y_high"),
-        F.count("x").alias("_points"),
-    )
+    def cell(self, x: Column) -> Column:
+        """Cell of `x`; values outside the range belong to the first or last cell."""
+        if self.high <= self.low:
+            return F.lit(0).cast("long")
+        inside = F.least(F.greatest(x, F.lit(self.low)), F.lit(self.high))
+        number = F.floor((inside - F.lit(self.low)) / F.lit(self.high - self.low) * self.cells)
+        return F.least(number, F.lit(self.cells - 1).cast("long"))
 
 
-def curve_segments(points: DataFrame) -> DataFrame:
-    """Line segments, repeated for each cell they touch: at most two rows per point on average."""
+def curve_segments(points: DataFrame, grid: Grid) -> DataFrame:
+    """Pieces ``[_from, _to)`` of each curve with their line, repeated for each cell they touch.
+
+    A level piece before the first point and one from the last point on make each curve cover the
+    whole axis.  NaN, which Spark sorts above all numbers, is the open upper end.
+    """
     along = Window.partitionBy("table").orderBy("x")
-    lines = points.select(
-        "table",
-        F.col("x").alias("_x0"),
-        F.col("y").alias("_y0"),
-        F.lead("x").over(along).alias("_x1"),
-        F.lead("y").over(along).alias("_y1"),
-    ).filter(F.col("_x1").isNotNull())
-    return lines.join(curve_limits(points), "table").select(
-        "table",
-        F.explode(F.sequence(_cell(F.col("_x0")), _cell(F.col("_x1")))).alias("_cell"),
-        "_x0",
-        "_y0",
-        "_x1",
-        "_y1",
+    x, y = F.col("x"), F.col("y")
+    next_x, next_y = F.lead("x").over(along), F.lead("y").over(along)
+    known = points.select(
+        "table", "x", "y", next_x.alias("_x"), next_y.alias("_y"), F.lag("x").over(along).alias("_p")
     )
+    slope = (F.col("_y") - y) / (F.col("_x") - x)
+
+    def piece(start: Column, end: Column, slope: Column) -> Column:
+        return F.struct(
+            start.alias("_from"), end.alias("_to"), x.alias("_x0"), y.alias("_y0"), slope.alias("_slope")
+        )
+
+    level = F.lit(0.0)
+    before = piece(F.lit(float("-inf")), x, level)
+    after = piece(
+        x,
+        F.coalesce("_x", F.lit(float("nan"))),
+        F.when(F.col("_x").isNull(), level).otherwise(slope),
+    )
+    pieces = F.when(F.col("_p").isNull(), F.array(before, after)).otherwise(F.array(after))
+    cells = F.sequence(grid.cell(F.col("_from")), grid.cell(F.col("_to")))
+    return known.select("table", F.inline(pieces)).select("*", F.explode(cells).alias("_cell"))
 
 
 def interpolate(
@@ -50,36 +64,37 @@ def interpolate(
     """Add `output`, the value at `x` of the curve named in column `table`.
 
     Linear between the points, the end value outside, null for null or for an unknown curve.  Every
-    row meets the few segments of its cell through an equality join, and one of them at most
-    contains it, so rows are neither lost nor repeated.
+    row meets the few pieces of its cell through an equality join, and exactly one of them contains
+    it, so rows are neither lost nor repeated.
     """
-    small = fits(points, BROADCAST_ROWS // 2)
-    if small:
-        # Known to be a small table: one partition needs no shuffle to be grouped.
-        points = points.coalesce(1)
-    limits, segments = curve_limits(points), curve_segments(points)
-    if small:
-        # At most one limit and on average two segments for each point.
-        limits, segments = F.broadcast(limits), F.broadcast(segments)
-    value = F.col("_x")
-    rows = df.withColumn("_x", F.col(x).cast("double")).withColumn("_table", F.col(table))
-    bounded = rows.join(limits.withColumnRenamed("table", "_table"), "_table", "left")
-    inside = (value > F.col("_low")) & (value < F.col("_high"))
-    placed = bounded.withColumn("_cell", F.when(inside, _cell(value)))
-    lines = segments.withColumnsRenamed({"table": "_of", "_cell": "_of_cell"})
-    matched = placed.join(
-        lines,
-        (F.col("_table") == F.col("_of"))
-        & (F.col("_cell") == F.col("_of_cell"))
-        & (value >= F.col("_x0"))
-        & (value < F.col("_x1")),
+    size = points.agg(
+        F.count("x").alias("points"),
+        F.count_distinct("table").alias("tables"),
+        F.min("x").alias("low"),
+        F.max("x").alias("high"),
+    ).first()
+    grid = Grid(size.low or 0.0, size.high or 0.0, max(1, size.points // max(1, size.tables)))
+    # One level piece per curve and, on average, two cells per piece.
+    small = 2 * size.points + 3 * size.tables <= BROADCAST_ROWS
+    # A table known to be small needs no shuffle to be ordered.
+    segments = curve_segments(points.coalesce(1) if small else points, grid)
+    value = F.col("_v")
+    rows = df.withColumn("_v", F.col(x).cast("double"))
+    placed = rows.withColumns(
+        {"_of": F.col(table), "_at": F.when(value.isNotNull(), grid.cell(value))}
+    )
+    found = placed.join(
+        F.broadcast(segments) if small else segments,
+        (F.col("_of") == segments["table"])
+        & (F.col("_at") == F.col("_cell"))
+        & (value >= F.col("_from"))
+        & (value < F.col("_to")),
         "left",
     )
-    slope = (F.col("_y1") - F.col("_y0")) / (F.col("_x1") - F.col("_x0"))
+    on_line = F.col("_y0") + F.col("_slope") * (value - F.col("_x0"))
     result = (
         F.when(F.isnan(value), value)
-        .when(value <= F.col("_low"), F.col("_y_low"))
-        .when(value >= F.col("_high"), F.col("_y_high"))
-        .otherwise(F.col("_y0") + slope * (value - F.col("_x0")))
+        .when(F.col("_slope") == 0, F.col("_y0"))
+        .otherwise(on_line)
     )
-    return matched.select(*df.columns, result.alias(output))
+    return found.select(*[placed[c] for c in df.columns], result.alias(output))

@@ -86,18 +86,21 @@ def subtract_tagged(
     event_key: str = EVENT_KEY,
     match: Sequence[str] = MODULE_KEY,
     first: bool = False,
+    merge_equal: bool = False,
 ) -> DataFrame:
     """:func:`subtract_reference` on tagged hits that already lie together by event.
 
     The references of an event's module are found by a window, so neither side is read or shuffled
-    again.  Hits without a reference, which would become null, are dropped.
+    again.  Hits without a reference, which would become null, are dropped.  `merge_equal` takes equal
+    references once, for uses where repeated rows do not count.
     """
     group = Window.partitionBy(event_key, *match)
     reference = F.when(F.col("is_reference"), F.col("value"))
     if first:
         found = F.array_compact(F.array(F.min(reference).over(group)))
     else:
-        found = F.collect_list(reference).over(group)
+        collect = F.collect_set if merge_equal else F.collect_list
+        found = collect(reference).over(group)
     difference = (F.col("value") - F.col("_reference")).alias("value")
     return (
         tagged.withColumn("_references", found)

@@ -10,7 +10,7 @@ from hitloom.operators.hits import explode_hits
 from hitloom.plans.layout import Layout
 from hitloom.schema import EVENT_KEY
 from hitloom.sinks import write_events
-from hitloom.sizing import HOT_EVENT_ROWS, hot_keys
+from hitloom.sizing import HOT_EVENT_ROWS
 from hitloom.sources import Paths, read_events, read_hit_keys
 
 
@@ -32,7 +32,7 @@ def run_batch(
     """
     source, target = paths.events(name), paths.result(name, kind)
     keys = read_hit_keys(spark, source, event_key)
-    layout = Layout(partitions=partitions, hot=hot_keys(keys, event_key, hot_rows))
+    layout = Layout(partitions=partitions, hot_rows=hot_rows)
     hits = explode_hits(read_events(spark, source), event_key)
     write_events(plan(hits, layout, keys), target)
     return target

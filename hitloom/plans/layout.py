@@ -22,13 +22,11 @@ class Layout:
     """`partitions`: number of shuffle partitions of the hits, the session's default if None.
     `clustered`: the input is a table bucketed by event, so the shuffle is left out.
     `hot_rows`: an event with more hits is spread; None skips the check where the source is known to
-    have no such event.  `hot`: the keys of such events where they are known already, as from
-    :func:`hitloom.sizing.hot_keys`."""
+    have no such event."""
 
     partitions: int | None = None
     clustered: bool = False
     hot_rows: int | None = HOT_EVENT_ROWS
-    hot: DataFrame | None = None
 
     def gather(self, df: DataFrame, event_key: str = EVENT_KEY) -> DataFrame:
         """`df` with each event in one partition."""
@@ -41,16 +39,19 @@ class Layout:
 
 def by_layout(
     hits: DataFrame,
+    events: DataFrame | None,
     layout: Layout,
     plan: Callable[[DataFrame, bool], DataFrame],
     event_key: str = EVENT_KEY,
 ) -> DataFrame:
-    """``plan(hits, spread)`` for the ordinary events and, if there are any, for the hot ones."""
-    keys = layout.hot
-    if keys is None:
-        if layout.hot_rows is None:
-            return plan(hits, False)
-        keys = hot_keys(hits, event_key, layout.hot_rows)
+    """``plan(hits, spread)`` for the ordinary events and, if there are any, for the hot ones.
+
+    Hits per event are counted in `events`, a table of the event key of every hit, where there is
+    one, and else in the hits.
+    """
+    if layout.hot_rows is None:
+        return plan(hits, False)
+    keys = hot_keys(hits if events is None else events, event_key, layout.hot_rows)
     ordinary, hot = split_hot(hits, event_key, keys)
     result = plan(ordinary, False)
     return result if hot is None else result.unionByName(plan(hot, True))

@@ -33,8 +33,8 @@ def referenced_hits(
 ) -> DataFrame:
     """``event, cat, id, value, edge`` of mapped hits with the time reference subtracted.
 
-    `reference_id` takes that one reference for all modules of an event.  `merge_equal` allows equal
-    hits to be merged before a hot event is spread.
+    `reference_id` takes that one reference for all modules of an event.  `merge_equal` says that
+    repeated rows do not count, so equal references and, in a hot event, equal hits are merged.
     """
     match: Sequence[str] = MODULE_KEY
     if reference_id is not None:
@@ -42,7 +42,8 @@ def referenced_hits(
         match = []
     tagged = tag_channels(hits, channel_map, reference_map, event_key)
     if not spread:
-        return subtract_tagged(layout.gather(tagged, event_key), event_key, match, first_reference)
+        gathered = layout.gather(tagged, event_key)
+        return subtract_tagged(gathered, event_key, match, first_reference, merge_equal)
     mapped = tagged.filter(~F.col("is_reference")).drop("is_reference")
     references = tagged.filter(F.col("is_reference")).select(event_key, *MODULE_KEY, "value")
     if merge_equal:

@@ -108,8 +108,9 @@ def strip_plan(
 
     Short: ``<det>x_pos, <det>y_pos, <det>a_timing, <det>a_charge``, filled where the position in the
     first plane is known; events without it are dropped for the detector named in `require`.
-    Full: also ``id, timing, charge`` arrays of each plane, for all events.  `events` may name the
-    event key of all hits where a narrower source than `hits` has it.
+    Full: also ``id, timing, charge`` arrays of each plane, for all events.  `events` is the event
+    key of every hit from a narrower source than `hits`, where there is one
+    (:func:`~hitloom.sources.read_hit_keys`).
     """
     wanted = [d + p for d in detectors for p in (ANODE, *[plane.plane for plane in planes])]
     channel_map = channel_map.filter(F.col("cat").isin(wanted))
@@ -159,7 +160,7 @@ def strip_plan(
         )
         return by_event.select(event_key, *[c for d in detectors for c in columns(d)])
 
-    result = by_layout(hits, layout, plan, event_key)
+    result = by_layout(hits, events, layout, plan, event_key)
     if not full and require in detectors:
         # Events without that position are unwanted, so the others need not be added.
         return result.filter(F.col(f"{require}{planes[0].plane}_pos").isNotNull())

@@ -34,5 +34,5 @@ def trigger_plan(
         df = to_float(validate(df, window), "value", factor=factor, dither=dither)
         return trigger_table(df, full, event_key)
 
-    result = by_layout(hits, layout, plan, event_key)
+    result = by_layout(hits, events, layout, plan, event_key)
     return with_all_events(result, hits, events, event_key)

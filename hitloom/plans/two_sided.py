@@ -142,7 +142,7 @@ def two_sided_plan(
         features = FEATURES if full else ["tdiff", "tavg", "qsqsum"]
         return out + [F.col(f"{d.name}.found.{f}").alias(f"{strip}_{f}") for f in features]
 
-    result = by_layout(hits, layout, plan, event_key)
+    result = by_layout(hits, events, layout, plan, event_key)
     if not full and require in [d.name for d in detectors]:
         return result
     return with_all_events(result, hits, events, event_key)

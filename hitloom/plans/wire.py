@@ -50,7 +50,7 @@ def wire_plan(
         quantities = ["id", "timing", "charge"]
         return collect_planes(pulses, {p: quantities for p in planes}, event_key)
 
-    result = by_layout(hits, layout, plan, event_key)
+    result = by_layout(hits, events, layout, plan, event_key)
     if require is not None:
         return result.filter(F.col(f"{require}_id").isNotNull())
     return with_all_events(result, hits, events, event_key)

@@ -52,6 +52,8 @@ def decode_events(messages: DataFrame, value: str = "value", rows: str = "first"
 
     def as_events(table: pa.Table) -> pa.Table:
         """`table` with exactly the raw event fields, matched by name at every level."""
+        if table.schema.equals(schema):
+            return table
         types = {field.name: field.type for field in table.schema}
         if all(types.get(field.name) == field.type for field in schema):
             return table.select(schema.names).cast(schema)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,6 +16,19 @@ from hitloom.sources.messages import decode_events
 LATENESS = "10 seconds"
 
 
+def read_kafka(
+    spark: SparkSession, servers: str, topic: str, starting_offsets: str = "latest"
+) -> DataFrame:
+    """The stream of one topic; needs Spark's Kafka connector on the class path."""
+    return (
+        spark.readStream.format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("subscribe", topic)
+        .option("startingOffsets", starting_offsets)
+        .load()
+    )
+
+
 def decode_stream(messages: DataFrame, rows: str = "first") -> DataFrame:
     """Nested events with ``stream_uts`` from Kafka-shaped records (``value``, ``timestamp``).
 
