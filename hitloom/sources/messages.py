@@ -126,7 +126,7 @@ def offset_summary(messages: DataFrame, topic: str) -> DataFrame:
     )
     unknown = F.raise_error(F.lit(f"topic {topic} does not exist or has no partitions"))
     # The left side has one row, so an unknown topic leaves a row that raises.
-    wanted = messages.sparkSession.range(1).select(F.lit(topic).alias("topic"))
+    wanted = messages.sparkSession.createDataFrame([(topic,)], "topic string")
     return wanted.join(ends, "topic", "left").select(
         "topic",
         "partition",
