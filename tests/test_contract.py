@@ -18,7 +18,8 @@ _spec = importlib.util.spec_from_file_location(
 )
 entry = importlib.util.module_from_spec(_spec)
 _spec.loader.exec_module(entry)
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+# queries of the optional part have tests of their own
+QUERIES, ORACLES = entry.registered.queries(), entry.oracle.oracles()
 
 
 @pytest.fixture(scope="module")
