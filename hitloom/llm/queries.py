@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import line_dedup, mixing, sentencepiece_chunks, warc_zst
+from hitloom.llm import cross_polytope, line_dedup, mixing, sentencepiece_chunks, warc_zst
 from hitloom.llm.common import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,25 +28,18 @@ def sha256(text: str) -> F.Column:
     return F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)
 
 
-# Domains of the tree: sources are dealt to four by their number; `source` is the leaf.
-DOMAIN = F.concat(F.lit("d"), F.regexp_extract("source", r"(\d+)", 1).cast("int") % 4)
-DOMAIN_WEIGHT = (
-    F.when(DOMAIN == "d0", 4.0).when(DOMAIN == "d1", 3.0).when(DOMAIN == "d2", 2.0).when(DOMAIN == "d3", 1.0)
-)
-LANG_WEIGHT = F.when(F.col("lang") == "en", 2.0).otherwise(1.0)
+def source_tree() -> tuple[list[F.Column], list[F.Column]]:
+    """Levels (domain, language, source) and their weights; sources are dealt to four domains by number."""
+    domain = F.concat(F.lit("d"), F.regexp_extract("source", r"(\d+)", 1).try_cast("int") % 4)
+    weight = F.when(domain == "d0", 4.0).when(domain == "d1", 3.0).when(domain == "d2", 2.0).when(domain == "d3", 1.0)
+    lang = F.when(F.col("lang") == "en", 2.0).otherwise(1.0)
+    return [domain, F.col("lang"), F.col("source")], [weight, lang, F.lit(1.0)]
 
 
 @query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    mixed = mixing.mix_sources(
-        docs,
-        [DOMAIN, F.col("lang"), F.col("source")],
-        [DOMAIN_WEIGHT, LANG_WEIGHT, F.lit(1.0)],
-        share=0.6,
-        max_epochs=3.0,
-        seed=17,
-    )
+    mixed = mixing.mix_sources(docs, *source_tree(), share=0.6, max_epochs=3.0, seed=17)
     return mixed.select("doc_id", "lang", "source", "tokens", "copies")
 
 
@@ -161,3 +154,29 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         sha256("decoded").alias("decoded_sha256"),
     )
+
+
+@query
+def op10_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+# Every pair of a label: fast enough for whole tables of this size, exact by definition.
+SQL["op10_cross_polytope"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e)
+    AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r(id, low) AS (
+  SELECT a, least(a, min(b)) FROM p GROUP BY a
+  UNION
+  SELECT p.a, r.low FROM r JOIN p ON p.b = r.id WHERE r.low < p.a),
+c AS (SELECT id, min(low) AS low FROM r GROUP BY id),
+n AS (SELECT a, count(*) AS n FROM p GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(low, vec_id) AS component_id,
+  vec_id = coalesce(low, vec_id) AS kept
+FROM v LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.id = vec_id"""
