@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import cross_polytope, line_dedup, mixing, sentencepiece_chunks, warc_zst
+from hitloom.llm import cross_polytope, language_id, line_dedup, mixing, sentencepiece_chunks, warc_zst
 from hitloom.llm.common import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -180,3 +180,15 @@ n AS (SELECT a, count(*) AS n FROM p GROUP BY a)
 SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(low, vec_id) AS component_id,
   vec_id = coalesce(low, vec_id) AS kept
 FROM v LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.id = vec_id"""
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = language_id.train(docs, F.col("text"), F.col("lang"), sample=4000)
+    of_docs = language_id.identify_documents(docs, model, [F.col("doc_id")])
+    of_pages = language_id.identify_pages(pages, model, [F.col("page_id")])
+    out = ["language", F.round("posterior", 6).alias("posterior"), "letters", "kept"]
+    return of_docs.select("doc_id", F.lit(None).cast("long").alias("page_id"), *out).unionByName(
+        of_pages.select(F.lit(None).cast("long").alias("doc_id"), "page_id", *out)
+    )
