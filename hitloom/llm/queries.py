@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import cross_polytope, language_id, line_dedup, mixing, sentencepiece_chunks, warc_zst
+from hitloom.llm import cross_polytope, language_id, line_dedup, mixing, sentencepiece_chunks, warc_zst, weighted_minhash
 from hitloom.llm.common import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -192,3 +192,9 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return of_docs.select("doc_id", F.lit(None).cast("long").alias("page_id"), *out).unionByName(
         of_pages.select(F.lit(None).cast("long").alias("doc_id"), "page_id", *out)
     )
+
+
+@query
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return weighted_minhash.near_documents(docs, threshold=0.8, shingle=5)
