@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,9 +24,6 @@ SALT_ROWS = 1000
 # Rounds with heads; what is left after them goes to the join of the remaining pairs.
 ROUNDS = 3
 
-Likeness = Callable[[bytes], "np.ndarray"]
-
-
 def compare(pairs: DataFrame, texts: DataFrame, prepare, likeness) -> DataFrame:
     """(a, b, sim) for each of `pairs` (a, b); `texts` is (id, text).
 
@@ -72,16 +68,23 @@ def compare(pairs: DataFrame, texts: DataFrame, prepare, likeness) -> DataFrame:
 
 
 def near_classes(
-    buckets: DataFrame, texts: DataFrame, prepare, likeness, threshold: float, slack: float = 1e-9
+    buckets: DataFrame,
+    fetch: Callable[[DataFrame], DataFrame],
+    prepare: Callable[[list[bytes]], list],
+    likeness: Callable[[object, object], float],
+    threshold: float,
+    slack: float = 1e-9,
 ) -> tuple[DataFrame, DataFrame]:
     """(id, class) of the ids that are linked, and the verified links (a, b, sim).
 
     `buckets` is (bucket, id, size): texts that share a bucket are possible partners. `size` bounds the
-    likeness of two texts from above by (smaller / larger). `prepare` turns texts into what `likeness`
-    compares; 1 - likeness must be a metric.
+    likeness of two texts from above by (smaller / larger). `fetch` gives (id, text) for a table of ids,
+    those that share a bucket. `prepare` turns texts into what `likeness` compares; 1 - likeness must be
+    a metric.
     """
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    member = stage(buckets.join(shared, "bucket"), "bucket_members").withColumn("head_of", F.lit(None).cast("long"))
+    member = stage(buckets.join(shared, "bucket"), "bucket_members")
+    texts = stage(fetch(member.select("id").distinct()), "candidate_texts")
     bound = F.least("size", "head_size") >= F.lit(threshold - slack) * F.greatest("size", "head_size")
     known = None
     open_ = member.select("bucket", "id", "size")

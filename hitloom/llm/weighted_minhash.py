@@ -178,12 +178,12 @@ def near_documents(
     distinct = usable.groupBy("x1", "x2").agg(F.min("id").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands"))
     distinct = stage(distinct, "distinct_texts")
     buckets = distinct.filter("size > 0").select(F.explode("bands").alias("bucket"), F.col("rep").alias("id"), "size")
-    several = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    wanted = stage(buckets.join(several, "bucket").select("id").distinct(), "candidates")
-    wanted = wanted.join(distinct.select(F.col("rep").alias("id"), "x1", "x2"), "id").withColumnsRenamed({"x1": "y1", "x2": "y2"})
-    same = (rows["id"] == wanted["id"]) & (rows["x1"] == wanted["y1"]) & (rows["x2"] == wanted["y2"])
-    texts = rows.join(broadcast_if_small(wanted), same).select(rows["id"], "text").dropDuplicates(["id"])
-    texts = stage(texts, "candidate_texts")
+
+    def fetch(ids: DataFrame) -> DataFrame:
+        wanted = ids.join(distinct.select(F.col("rep").alias("id"), "x1", "x2"), "id")
+        wanted = stage(wanted.withColumnsRenamed({"id": "y", "x1": "y1", "x2": "y2"}), "candidates")
+        same = (rows["id"] == wanted["y"]) & (rows["x1"] == wanted["y1"]) & (rows["x2"] == wanted["y2"])
+        return rows.join(broadcast_if_small(wanted), same).select("id", "text").dropDuplicates(["id"])
 
     def prepare(batch: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         out = []
@@ -193,7 +193,7 @@ def near_documents(
             out += [(s[i:j], w[i:j]) for i, j in zip(cut[:-1], cut[1:], strict=True)]
         return out
 
-    at, _ = near_classes(buckets, texts, prepare, weighted_jaccard, threshold)
+    at, _ = near_classes(buckets, fetch, prepare, weighted_jaccard, threshold)
     named = distinct.select("x1", "x2", "rep").join(at.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select("x1", "x2", F.coalesce("class", "rep").alias("class"))
     classed = usable.select("id", "x1", "x2").join(named, ["x1", "x2"]).select("id", "class")
