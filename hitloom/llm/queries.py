@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import cross_polytope, language_id, line_dedup, mixing, paragraph_dedup, sentencepiece_chunks, warc_zst, weighted_minhash
+from hitloom.llm import cross_polytope, fingerprints, language_id, line_dedup, mixing, paragraph_dedup, sentencepiece_chunks, warc_zst, weighted_minhash
 from hitloom.llm.common import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -206,3 +206,8 @@ def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraph_dedup.dedup_paragraphs(docs, threshold=0.8, shingle=5, min_words=20).select(
         "doc_id", "n_paragraphs", "n_removed", "removed", "removed_bytes", "kept_in", sha256("text").alias("kept_sha256")
     )
+
+
+@query
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_with_next(table(spark, sf_dir, "documents"))
