@@ -181,3 +181,14 @@ def classes(links: DataFrame) -> DataFrame:
         at = new.select("id", "class")
         if new.filter("was != class").isEmpty():
             return at
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of stored stages that are no longer needed, and let the driver drop what it
+    holds of finished plans, so that executors free their shuffle files."""
+    for df in tables:
+        jvm, hadoop = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(hadoop).delete(path, True)
+        jvm.System.gc()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import cross_polytope, fingerprints, language_id, line_dedup, mixing, paragraph_dedup, sentencepiece_chunks, warc_zst, weighted_minhash
+from hitloom.llm import cross_polytope, fingerprints, language_id, line_dedup, mixing, paragraph_dedup, sentencepiece_chunks, suffix_dedup, warc_zst, weighted_minhash
 from hitloom.llm.common import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -211,3 +211,11 @@ def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs, size=200).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "spans"
+    )
