@@ -142,20 +142,26 @@ def tokenizer_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-@query
-def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+def tokens(docs: DataFrame) -> DataFrame:
+    """`docs` without the text, with ids and end id, their number and digest, and the decoded text's digest."""
     model = tokenizer_model()
     ids = sentencepiece_chunks.encode(docs, model, eos=True)
     done = sentencepiece_chunks.decode(ids.drop("text"), model)
-    return done.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
-        sha256("decoded").alias("decoded_sha256"),
+    return done.withColumns(
+        {
+            "n_tokens": F.size("ids").cast("long"),
+            "ids_sha256": F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256),
+            "decoded_sha256": sha256("decoded"),
+        }
     )
 
 
+@query
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens(docs).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 @query
 def op10_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_polytope.near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
