@@ -2,34 +2,37 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hitloom.sizing import BROADCAST_ROWS
 
 
-@dataclass(frozen=True)
-class Grid:
-    """Equal cells over the common range of all curves, about as many as a curve has points."""
+# Pieces of a curve in a cell above which the cell is cut once more.
+CROWDED = 4
+
 
-    low: float
-    high: float
-    cells: int
+def cell(x: Column, low: Column, high: Column, cells: Column) -> Column:
+    """Which of `cells` equal cells from `low` to `high` has `x`; values outside belong to the first or
+    last one.  It never falls as `x` grows."""
+    inside = F.least(F.greatest(x, low), high)
+    number = F.floor((inside - low) / (high - low) * cells)
+    return F.when(high <= low, F.lit(0).cast("long")).otherwise(F.least(number, cells - 1))
 
-    def cell(self, x: Column) -> Column:
-        """Cell of `x`; values outside the range belong to the first or last cell."""
-        if self.high <= self.low:
-            return F.lit(0).cast("long")
-        inside = F.least(F.greatest(x, F.lit(self.low)), F.lit(self.high))
-        number = F.floor((inside - F.lit(self.low)) / F.lit(self.high - self.low) * self.cells)
-        return F.least(number, F.lit(self.cells - 1).cast("long"))
+
+def curve_limits(points: DataFrame) -> DataFrame:
+    """``table, _low, _high, _n``: range and number of points of each curve, the layout of its cells."""
+    return points.groupBy("table").agg(
+        F.min("x").alias("_low"), F.max("x").alias("_high"), F.count("x").alias("_n")
+    )
 
 
-def curve_segments(points: DataFrame, grid: Grid) -> DataFrame:
+def curve_segments(points: DataFrame, limits: DataFrame) -> DataFrame:
     """Pieces ``[_from, _to)`` of each curve with their line, repeated for each cell they touch.
 
+    A curve has as many cells as points, over its own range, so a dense curve beside a wide one keeps a
+    piece or two for each cell.
+
     A level piece before the first point and one from the last point on make each curve cover the
     whole axis.  NaN, which Spark sorts above all numbers, is the open upper end.
     """
@@ -54,8 +57,32 @@ def curve_segments(points: DataFrame, grid: Grid) -> DataFrame:
         F.when(F.col("_x").isNull(), level).otherwise(slope),
     )
     pieces = F.when(F.col("_p").isNull(), F.array(before, after)).otherwise(F.array(after))
-    cells = F.sequence(grid.cell(F.col("_from")), grid.cell(F.col("_to")))
-    return known.select("table", F.inline(pieces)).select("*", F.explode(cells).alias("_cell"))
+    size = [F.col("_low"), F.col("_high"), F.col("_n")]
+    cells = F.sequence(cell(F.col("_from"), *size), cell(F.col("_to"), *size))
+    placed = known.select("table", F.inline(pieces)).join(limits, "table")
+    return placed.withColumn("_cell", F.explode(cells))
+
+
+def crowded_cells(segments: DataFrame) -> DataFrame:
+    """``table, _cell, _edges``: cells of many pieces, and where they are cut in parts of about as many
+    pieces as there are parts, so that points that crowd at one place of a curve are dealt evenly."""
+    starts = F.sort_array(F.collect_list("_from"))
+    cells = segments.groupBy("table", "_cell").agg(starts.alias("_starts")).filter(F.size("_starts") > CROWDED)
+    step = F.ceil(F.sqrt(F.size("_starts")))
+    return cells.select("table", "_cell", F.filter("_starts", lambda v, i: i % step == 0).alias("_edges"))
+
+
+def _part(x: Column) -> Column:
+    """Part of `x` within its crowded cell, 0 in other cells; it never falls as `x` grows."""
+    number = F.size(F.filter("_edges", lambda e: e <= x))
+    return F.when(F.col("_edges").isNull(), F.lit(0)).otherwise(number)
+
+
+def split_crowded(segments: DataFrame, crowded: DataFrame) -> DataFrame:
+    """`segments` repeated for each part of a crowded cell they touch, in ``_part``."""
+    parts = F.sequence(_part(F.col("_from")), _part(F.col("_to")))
+    placed = segments.join(crowded, ["table", "_cell"], "left")
+    return placed.withColumn("_part", F.explode(parts)).drop("_edges")
 
 
 def interpolate(
@@ -64,29 +91,40 @@ def interpolate(
     """Add `output`, the value at `x` of the curve named in column `table`.
 
     Linear between the points, the end value outside, null for null or for an unknown curve.  Every
-    row meets the few pieces of its cell through an equality join, and exactly one of them contains
-    it, so rows are neither lost nor repeated.
+    row meets the few pieces of its cell, and of its part of a crowded cell, through an equality join,
+    and exactly one of them contains it, so rows are neither lost nor repeated.
     """
-    size = points.agg(
-        F.count("x").alias("points"),
-        F.count_distinct("table").alias("tables"),
-        F.min("x").alias("low"),
-        F.max("x").alias("high"),
-    ).first()
-    grid = Grid(size.low or 0.0, size.high or 0.0, max(1, size.points // max(1, size.tables)))
-    # One level piece per curve and, on average, two cells per piece.
-    small = 2 * size.points + 3 * size.tables <= BROADCAST_ROWS
+    size = points.agg(F.count("x").alias("points"), F.count_distinct("table").alias("tables")).first()
+    # A level piece per curve and, on average, two cells per piece; as much again for crowded cells.
+    small = 4 * size.points + 6 * size.tables <= BROADCAST_ROWS
     # A table known to be small needs no shuffle to be ordered.
-    segments = curve_segments(points.coalesce(1) if small else points, grid)
+    points = points.coalesce(1) if small else points
+
+    def sent(table: DataFrame) -> DataFrame:
+        return F.broadcast(table) if small else table
+
+    limits = sent(curve_limits(points))
+    segments = curve_segments(points, limits)
+    crowded = sent(crowded_cells(segments))
+    pieces = split_crowded(segments, crowded).drop("_low", "_high", "_n")
     value = F.col("_v")
-    rows = df.withColumn("_v", F.col(x).cast("double"))
-    placed = rows.withColumns(
-        {"_of": F.col(table), "_at": F.when(value.isNotNull(), grid.cell(value))}
+    rows = df.withColumns({"_v": F.col(x).cast("double"), "_of": F.col(table)})
+    placed = rows.join(limits, rows["_of"] == limits["table"], "left").drop(limits["table"])
+    placed = placed.withColumn(
+        "_at", F.when(value.isNotNull(), cell(value, F.col("_low"), F.col("_high"), F.col("_n")))
     )
+    placed = placed.join(
+        sent(crowded.withColumnsRenamed({"table": "_ct", "_cell": "_cc"})),
+        (F.col("_of") == F.col("_ct")) & (F.col("_at") == F.col("_cc")),
+        "left",
+    ).drop("_ct", "_cc")
+    placed = placed.withColumn("_cell", F.col("_at")).withColumn("_in", _part(value)).drop("_cell")
+    pieces = pieces.withColumnRenamed("table", "_pt")
     found = placed.join(
-        F.broadcast(segments) if small else segments,
-        (F.col("_of") == segments["table"])
+        sent(pieces),
+        (F.col("_of") == F.col("_pt"))
         & (F.col("_at") == F.col("_cell"))
+        & (F.col("_in") == F.col("_part"))
         & (value >= F.col("_from"))
         & (value < F.col("_to")),
         "left",
@@ -97,4 +135,4 @@ def interpolate(
         .when(F.col("_slope") == 0, F.col("_y0"))
         .otherwise(on_line)
     )
-    return found.select(*[placed[c] for c in df.columns], result.alias(output))
+    return found.select(*[F.col(c) for c in df.columns], result.alias(output))

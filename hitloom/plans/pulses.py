@@ -68,6 +68,8 @@ def calibrated_pulses(
     first_reference: bool = False,
 ) -> DataFrame:
     """``event, cat, id, charge, timing``: subtract, validate, flip, pair and scale."""
+    if dither == "rand":
+        raise ValueError("drawn numbers depend on the layout; use hash or mid")
     df = referenced_hits(
         hits,
         channel_map,

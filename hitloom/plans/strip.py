@@ -12,7 +12,7 @@ from hitloom.functions import asymmetry, strip_coordinate
 from hitloom.operators.curves import interpolate
 from hitloom.operators.events import pulse_list
 from hitloom.operators.hits import VALUE_WINDOW
-from hitloom.operators.strips import strength_rank, strongest_two
+from hitloom.operators.strips import strength_rank, strongest_two, top2_strips
 from hitloom.plans.layout import Layout, by_layout, with_all_events
 from hitloom.plans.pulses import calibrated_pulses
 from hitloom.schema import EVENT_KEY
@@ -65,17 +65,24 @@ def plane_summary(
     planes: Sequence[StripPlane] = STRIP_PLANES,
     full: bool = True,
     event_key: str = EVENT_KEY,
+    spread: bool = False,
 ) -> DataFrame:
     """``event, cat, pulses, pos``: the pulse list and position of each plane of each event.
 
     All planes of all detectors share one aggregation and one curve lookup.  Without `full` only the
-    anodes keep their pulses.
+    anodes keep their pulses.  For events that are `spread` the two strongest pulses come from ranks
+    limited before the shuffle, so that only the lists of the result itself meet in one row.
     """
     keep = None if full else F.col("cat").isin([d + ANODE for d in detectors])
-    ranked = pulses.withColumn("_rank", strength_rank([event_key, "cat"]))
-    summary = ranked.groupBy(event_key, "cat").agg(
-        *strongest_two(F.col("_rank")), pulse_list(keep).alias("pulses")
-    )
+    group = [event_key, "cat"]
+    if spread:
+        lists = pulses.groupBy(*group).agg(pulse_list(keep).alias("pulses"))
+        summary = top2_strips(pulses, event_key, ["cat"]).join(lists, group)
+    else:
+        ranked = pulses.withColumn("_rank", strength_rank(group))
+        summary = ranked.groupBy(*group).agg(
+            *strongest_two(F.col("_rank")), pulse_list(keep).alias("pulses")
+        )
     placed = summary.withColumn("geometry", _geometry(detectors, planes)).select(
         *summary.columns, "geometry.*", asymmetry(F.col("c0"), F.col("c1")).alias("c0c1")
     )
@@ -92,7 +99,7 @@ def strip_plan(
     channel_map: DataFrame,
     reference_map: DataFrame,
     curves: DataFrame,
-    detectors: Sequence[str] = ("sr0",),
+    detectors: Sequence[str],
     full: bool = False,
     require: str | None = None,
     planes: Sequence[StripPlane] = STRIP_PLANES,
@@ -152,7 +159,7 @@ def strip_plan(
             event_key=event_key,
             first_reference=first_reference,
         )
-        summary = plane_summary(pulses, curves, detectors, planes, full, event_key)
+        summary = plane_summary(pulses, curves, detectors, planes, full, event_key, spread)
         lists = wanted if full else [d + ANODE for d in detectors]
         by_event = summary.groupBy(event_key).agg(
             *[of(cat, "pulses").alias(cat) for cat in lists],

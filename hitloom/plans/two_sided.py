@@ -38,7 +38,7 @@ def two_sided_plan(
     hits: DataFrame,
     channel_map: DataFrame,
     reference_map: DataFrame,
-    detectors: Sequence[TwoSided] = (TwoSided("dia3"),),
+    detectors: Sequence[TwoSided],
     full: bool = False,
     require: str | None = None,
     factor: float = TDC_FACTOR,

@@ -16,8 +16,7 @@ def drop_plateaus(points: DataFrame) -> DataFrame:
     return points.groupBy("table", "y").agg(F.min("x").alias("x")).select("table", "x", "y")
 
 
-def read_curve(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Points ``(table, x, y)`` of one ``x,y`` CSV, plateaus reduced to their first point."""
+def _read_points(spark: SparkSession, path: str, table: str) -> DataFrame:
     points = (
         spark.read.schema(CURVE_POINT)
         .option("header", True)
@@ -26,11 +25,16 @@ def read_curve(spark: SparkSession, path: str, table: str) -> DataFrame:
         .option("ignoreTrailingWhiteSpace", True)
         .csv(path)
     )
-    return drop_plateaus(points.select(F.lit(table).alias("table"), "x", "y"))
+    return points.select(F.lit(table).alias("table"), "x", "y")
+
+
+def read_curve(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Points ``(table, x, y)`` of one ``x,y`` CSV, plateaus reduced to their first point."""
+    return drop_plateaus(_read_points(spark, path, table))
 
 
 def read_curves(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """All curves of a run in one table, keyed by the names in `paths`."""
-    return reduce(
-        DataFrame.unionByName, [read_curve(spark, path, table) for table, path in paths.items()]
-    )
+    """All curves of a run in one table, keyed by the names in `paths`; one aggregation reduces the
+    plateaus of all of them."""
+    points = [_read_points(spark, path, table) for table, path in paths.items()]
+    return drop_plateaus(reduce(DataFrame.unionByName, points))

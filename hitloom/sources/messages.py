@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,12 +26,13 @@ RAW_EVENT_ARROW = pa.schema([(f.name, _arrow_type(f.dataType)) for f in RAW_EVEN
 _FLUSH_ROWS = 4096
 
 
-def decode_events(messages: DataFrame, value: str = "value", rows: str = "first") -> DataFrame:
+def decode_events(messages: DataFrame, value: str = "value", rows: str = "all") -> DataFrame:
     """Raw events held in the binary column `value`; the other columns are repeated per event.
 
-    ``rows="first"`` takes the first event of a message, ``"batch"`` all events of its first record
-    batch, ``"all"`` every event.  Null, empty and eventless messages give no row.  Works on batch
-    and streaming input.
+    Every event of a message is taken; only a caller that asks for it gets less: ``rows="first"`` the
+    first event of a message, ``"batch"`` all events of its first record batch.  Null, empty and
+    eventless messages give no row.  Fields are matched by name at every level, in any order and width;
+    missing ones are null.  Works on batch and streaming input.
     """
     if rows not in ("first", "batch", "all"):
         raise ValueError(f"unknown row choice {rows!r}")
@@ -50,14 +52,39 @@ def decode_events(messages: DataFrame, value: str = "value", rows: str = "first"
             table = reader.read_all()
         return table.slice(0, 1) if rows == "first" else table
 
+    def fitted(column: pa.Array, kind: pa.DataType) -> pa.Array:
+        """`column` as `kind`, rebuilt by name from its Arrow arrays."""
+        if column.type.equals(kind):
+            return column
+        if pa.types.is_struct(kind):
+            have = {field.name for field in column.type}
+            children = [
+                fitted(pc.struct_field(column, field.name), field.type)
+                if field.name in have
+                else pa.nulls(len(column), field.type)
+                for field in kind
+            ]
+            return pa.StructArray.from_arrays(children, fields=list(kind), mask=column.is_null())
+        if pa.types.is_list(kind):
+            ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(column), 0).cast(pa.int32()))
+            offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+            values = fitted(column.flatten(), kind.value_type)
+            return pa.ListArray.from_arrays(offsets, values, mask=column.is_null())
+        return column.cast(kind)
+
     def as_events(table: pa.Table) -> pa.Table:
         """`table` with exactly the raw event fields, matched by name at every level."""
         if table.schema.equals(schema):
             return table
-        types = {field.name: field.type for field in table.schema}
-        if all(types.get(field.name) == field.type for field in schema):
-            return table.select(schema.names).cast(schema)
-        return pa.Table.from_pylist(table.to_pylist(), schema=schema)
+        names = set(table.schema.names)
+        columns = []
+        for field in schema:
+            if field.name in names:
+                chunks = [fitted(chunk, field.type) for chunk in table.column(field.name).chunks]
+                columns.append(pa.chunked_array(chunks, field.type))
+            else:
+                columns.append(pa.nulls(table.num_rows, field.type))
+        return pa.table(columns, schema=schema)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,23 +119,18 @@ def decode_events(messages: DataFrame, value: str = "value", rows: str = "first"
 def capture_messages(
     messages: DataFrame,
     count: int,
-    first: int | None = None,
+    first: int,
     partition: int = 0,
-    rows: str = "batch",
+    rows: str = "all",
 ) -> DataFrame:
     """Events of the first `count` non-empty messages of one partition from offset `first` on.
 
-    Without `first` the capture starts behind the last stored message, so a bounded table gives
-    nothing.  Only offsets are sorted to find the last message wanted; the payloads are then
-    filtered where they lie.
+    Only offsets are sorted to find the last message wanted; the payloads are then filtered where they
+    lie.
     """
     source = messages.filter(F.col("partition") == partition)
     filled = source.filter(F.octet_length("value") > 0)
-    if first is None:
-        start = source.agg(F.max("offset").alias("offset")).scalar() + 1
-    else:
-        start = F.lit(first)
-    wanted = filled.filter(F.col("offset") >= start)
+    wanted = filled.filter(F.col("offset") >= first)
     last = wanted.select("offset").orderBy("offset").limit(count).agg(F.max("offset")).scalar()
     return decode_events(wanted.filter(F.col("offset") <= last).select("value"), rows=rows)
 

@@ -29,10 +29,10 @@ def read_kafka(
     )
 
 
-def decode_stream(messages: DataFrame, rows: str = "first") -> DataFrame:
+def decode_stream(messages: DataFrame, rows: str = "all") -> DataFrame:
     """Nested events with ``stream_uts`` from Kafka-shaped records (``value``, ``timestamp``).
 
-    The events stay nested: one message is one event, so a micro-batch always holds an event's hits
+    The events stay nested: an event is one row of a message, so a micro-batch always holds its hits
     together.
     """
     records = messages.select("value", F.col("timestamp").alias(STREAM_TIME))

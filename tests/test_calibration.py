@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hitloom.operators import interpolate, linear_calib, linear_calib_array, to_float
 from hitloom.sources.curves import drop_plateaus
+from hitloom.operators.curves import crowded_cells, curve_limits, curve_segments, split_crowded
 from tests.conftest import rows
 
 
@@ -86,6 +87,25 @@ def test_interpolation_equals_numpy(spark, threshold, monkeypatch):
             assert got[name, i] == pytest.approx(float(np.interp(v, *tables[name])), abs=1e-12)
 
 
+def test_cells_of_uneven_curves_stay_small(spark):
+    dense = [("dense", 1.0 + i / 1e6, float(i)) for i in range(20_000)]
+    wide = [("wide", -1e6, 0.0), ("wide", 1e6, 1.0)]
+    # most points of this one crowd at one end
+    bent = [("bent", 10.0 ** (-6 + 8 * i / 2000), float(i)) for i in range(2000)]
+    points = spark.createDataFrame(dense + wide + bent, "table string, x double, y double")
+    limits = curve_limits(points)
+    segments = curve_segments(points, limits)
+    pieces = split_crowded(segments, crowded_cells(segments))
+    most = pieces.groupBy("table", "_cell", "_part").count().groupBy("table").agg({"count": "max"}).collect()
+    assert dict(map(tuple, most))["dense"] <= 5 and dict(map(tuple, most))["wide"] <= 5
+    assert dict(map(tuple, most))["bent"] <= 2 * 2000**0.5
+    values = [(t, 1.0 + i / 997e3) for i in range(500) for t in ("dense", "wide", "bent")]
+    df = spark.createDataFrame(values, "table string, v double")
+    curves = {n: ([p[1] for p in c], [p[2] for p in c]) for n, c in (("dense", dense), ("wide", wide), ("bent", bent))}
+    for r in interpolate(df, points, "v", "y").collect():
+        assert r.y == pytest.approx(float(np.interp(r.v, *curves[r.table])), abs=1e-6)
+
+
 def test_plateaus_keep_their_first_point(spark):
     points = _curve(spark, "t", [0.0, 0.1, 0.2, 0.4, 1.0], [0.0, 0.5, 0.5, 1.0, 1.0])
     assert rows(drop_plateaus(points)) == [("t", 0.0, 0.0), ("t", 0.1, 0.5), ("t", 0.4, 1.0)]

@@ -27,8 +27,8 @@ def test_explode_drops_events_without_hits(spark):
         RAW_EVENT,
     )
     assert rows(explode_hits(events)) == [
-        (5, 11, 9, 31, 0, 1, 100, 0),
-        (5, 11, 9, 31, 0, 2, 101, 1),
+        (5, 20, 4, 50, 0, 1, 100, 0),
+        (5, 20, 4, 50, 0, 2, 101, 1),
         (5, 12, 9, 32, 3, 4, 5, 1),
     ]
     kept = explode_hits(events, keep=["runnumber", "ts", "mod"])
@@ -44,13 +44,13 @@ def test_explode_by_another_event_key(spark):
 def _hits(spark):
     return spark.createDataFrame(
         [
-            (1, 11, 9, 31, 0, 0, 100, 0),
-            (1, 11, 9, 31, 0, 0, 105, 0),
-            (1, 11, 9, 31, 0, 0, 109, 1),
-            (1, 11, 9, 31, 0, 1, 150, 0),
-            (1, 11, 9, 31, 1, 1, 160, 1),
-            (1, 11, 9, 31, 0, 9, 170, 0),
-            (2, 11, 9, 31, 0, 1, 180, 1),
+            (1, 20, 4, 50, 0, 0, 100, 0),
+            (1, 20, 4, 50, 0, 0, 105, 0),
+            (1, 20, 4, 50, 0, 0, 109, 1),
+            (1, 20, 4, 50, 0, 1, 150, 0),
+            (1, 20, 4, 50, 1, 1, 160, 1),
+            (1, 20, 4, 50, 0, 9, 170, 0),
+            (2, 20, 4, 50, 0, 1, 180, 1),
         ],
         HIT,
     )
@@ -58,12 +58,12 @@ def _hits(spark):
 
 def _map(spark):
     return spark.createDataFrame(
-        [("p0a", 0, 11, 9, 31, 0, 1), ("p1a", 3, 11, 9, 31, 1, 1)], MAP
+        [("p0a", 0, 20, 4, 50, 0, 1), ("p1a", 3, 20, 4, 50, 1, 1)], MAP
     )
 
 
 def _refs(spark):
-    return spark.createDataFrame([("tref", 6, 11, 9, 31, 0, 0)], MAP)
+    return spark.createDataFrame([("tref", 6, 20, 4, 50, 0, 0)], MAP)
 
 
 def test_map_channels_keeps_mapped_hits(spark):
@@ -74,7 +74,7 @@ def test_map_channels_keeps_mapped_hits(spark):
 
 def test_reference_is_leading_only_and_fans_out(spark):
     references = time_reference(_hits(spark), _refs(spark))
-    assert rows(references) == [(1, 100, 11, 9, 31, 0), (1, 105, 11, 9, 31, 0)]
+    assert rows(references) == [(1, 100, 20, 4, 50, 0), (1, 105, 20, 4, 50, 0)]
     columns = ["event_id", "cat", "value", "id", "edge", "dev", "fp", "det", "geo"]
     mapped = map_channels(_hits(spark), _map(spark), columns)
     expected = [(1, "p0a", 45), (1, "p0a", 50), (1, "p1a", None), (2, "p0a", None)]
@@ -101,7 +101,7 @@ def test_tagged_subtraction_equals_the_join_where_a_reference_exists(spark):
 
 
 def test_a_channel_in_both_maps_is_hit_and_reference(spark):
-    both = spark.createDataFrame([("p0r", 0, 11, 9, 31, 0, 0)], MAP)
+    both = spark.createDataFrame([("p0r", 0, 20, 4, 50, 0, 0)], MAP)
     tagged = tag_channels(_hits(spark), both, _refs(spark))
     assert rows(tagged.groupBy("is_reference").count()) == [(False, 3), (True, 2)]
 

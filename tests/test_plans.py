@@ -31,22 +31,22 @@ def tables(spark):
     for event in range(30):
         for geo in (0, 1):
             if event % 5:
-                hits.append((event, 11, 9, 31, geo, 0, random.randrange(50), 0))
+                hits.append((event, 20, 4, 50, geo, 0, random.randrange(50), 0))
             if event % 7 == 0:
-                hits.append((event, 11, 9, 31, geo, 0, random.randrange(50), 0))
-            hits.append((event, 11, 9, 31, geo, 0, 3, 1))
+                hits.append((event, 20, 4, 50, geo, 0, random.randrange(50), 0))
+            hits.append((event, 20, 4, 50, geo, 0, 3, 1))
         for _ in range(40 if event != 21 else 700):
-            hits.append((event, 11, 9, 31, random.randrange(2), random.randrange(1, 10),
+            hits.append((event, 20, 4, 50, random.randrange(2), random.randrange(1, 10),
                          random.randrange(3000), random.randrange(2)))
-    hits.append((777, 11, 9, 31, 5, 5, 1, 0))
-    channels = [(f"p{g}{'axy'[(c - 1) // 3]}", (c - 1) % 3, 11, 9, 31, g, c)
+    hits.append((777, 20, 4, 50, 5, 5, 1, 0))
+    channels = [(f"p{g}{'axy'[(c - 1) // 3]}", (c - 1) % 3, 20, 4, 50, g, c)
                 for g in (0, 1) for c in range(1, 10)]
     curve = [(f"p{g}_{p}c0", x, y) for g in (0, 1) for p in "xy"
              for x, y in ((0.0, 0.0), (0.2, 0.7), (0.4, 1.0))]
     return {
         "hits": spark.createDataFrame(hits, HIT).repartition(3).cache(),
         "map": spark.createDataFrame(channels, MAP),
-        "refs": spark.createDataFrame([("tref", g, 11, 9, 31, g, 0) for g in (0, 1)], MAP),
+        "refs": spark.createDataFrame([("tref", g, 20, 4, 50, g, 0) for g in (0, 1)], MAP),
         "curve": spark.createDataFrame(curve, "table string, x double, y double"),
     }
 
@@ -89,26 +89,26 @@ def test_layouts_agree(spark, tables, name):
         assert rows(got) == expected, label
 
 
-def test_column_names_of_the_shipped_detectors(spark, tables):
+def test_column_names(spark, tables):
     front = (tables["hits"], tables["map"], tables["refs"])
-    short = strip_plan(*front, tables["curve"])
-    assert short.columns == ["event_id", "sr0x_pos", "sr0y_pos", "sr0a_timing", "sr0a_charge"]
-    full = strip_plan(*front, tables["curve"], full=True)
+    short = strip_plan(*front, tables["curve"], ["d0"])
+    assert short.columns == ["event_id", "d0x_pos", "d0y_pos", "d0a_timing", "d0a_charge"]
+    full = strip_plan(*front, tables["curve"], ["d0"], full=True)
     assert full.columns == [
-        "event_id", "sr0a_timing", "sr0a_charge", "sr0x_id", "sr0x_timing", "sr0x_charge", "sr0x_pos",
-        "sr0y_id", "sr0y_timing", "sr0y_charge", "sr0y_pos",
+        "event_id", "d0a_timing", "d0a_charge", "d0x_id", "d0x_timing", "d0x_charge", "d0x_pos",
+        "d0y_id", "d0y_timing", "d0y_charge", "d0y_pos",
     ]
-    sides = two_sided_plan(*front)
+    sides = two_sided_plan(*front, [TwoSided("e3")])
     assert sides.columns == [
-        "event_id", "dia3pad_timing", "dia3pad_charge", "dia3strip_id", "dia3strip_tdiff",
-        "dia3strip_tavg", "dia3strip_qsqsum",
+        "event_id", "e3pad_timing", "e3pad_charge", "e3strip_id", "e3strip_tdiff",
+        "e3strip_tavg", "e3strip_qsqsum",
     ]
-    assert two_sided_plan(*front, full=True).columns == [
-        "event_id", "dia3pad_timing", "dia3pad_charge",
-        "dia3stripL_id", "dia3stripL_timing", "dia3stripL_charge",
-        "dia3stripR_id", "dia3stripR_timing", "dia3stripR_charge",
-        "dia3strip_id", "dia3strip_tdiff", "dia3strip_tavg", "dia3strip_qdiff", "dia3strip_qavg",
-        "dia3strip_qlog", "dia3strip_qsqsum",
+    assert two_sided_plan(*front, [TwoSided("e3")], full=True).columns == [
+        "event_id", "e3pad_timing", "e3pad_charge",
+        "e3stripL_id", "e3stripL_timing", "e3stripL_charge",
+        "e3stripR_id", "e3stripR_timing", "e3stripR_charge",
+        "e3strip_id", "e3strip_tdiff", "e3strip_tavg", "e3strip_qdiff", "e3strip_qavg",
+        "e3strip_qlog", "e3strip_qsqsum",
     ]
     assert trigger_plan(*front).columns == ["event_id", "trig"]
     assert trigger_plan(*front, full=True).columns == ["event_id", "trig_id", "trig_timing", "trig"]

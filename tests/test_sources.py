@@ -19,20 +19,22 @@ from hitloom.sources import (
 from hitloom.sources.messages import RAW_EVENT_ARROW
 from tests.conftest import rows
 
-MAP_TEXT = """# [category_name],[id],[device],[focal_plane],[detector],[geometry],[channel]
+MAP_TEXT = """# channels of the test bench
 cat,id,dev,fp,det,geo,ch
 
-# first detector
-"p0a", 0,  11,9,31,0,1
-"p0x", 0,  11,9,31,0,63
-"p1x",10, 11, 9, 31, 1, 7
-"q0x",10, 11, 9, 31, 2, 7
+# left half
+"p0a",   4, 20, 4, 50,0, 12
+ "p0x",5 ,20,4,50, 0,  14
+p1x, 6,20,  4,50,1,3  
+"q0x", 6,20,4,50,7,3
 """
 
 UNNAMED_TEXT = """id,dev,fp,det,geo,ch
-# plane one
- 0,  11,3,31,1,65
- 1,  11,3,31,1,67  
+# ids are counted on from plane to plane
+4,20,4,  50,0,90
+5 , 20,4,50,0, 92
+# next plane
+6,20,4,50,3,1
 """
 
 
@@ -41,7 +43,7 @@ def test_channel_map_with_comments_padding_and_prefixes(spark, tmp_path):
     path.write_text(MAP_TEXT)
     table = read_channel_map(spark, str(path))
     assert [t for _, t in table.dtypes] == ["string"] + ["bigint"] * 6
-    assert rows(table)[0] == ("p0a", 0, 11, 9, 31, 0, 1)
+    assert rows(table)[0] == ("p0a", 4, 20, 4, 50, 0, 12)
     assert table.count() == 4
     assert rows(read_channel_map(spark, str(path), ["p1", "p0x"]), "cat") == [("p0x",), ("p1x",)]
     assert read_channel_map(spark, str(path), []).count() == 4
@@ -53,7 +55,14 @@ def test_channel_map_without_category(spark, tmp_path):
     path = tmp_path / "wires.csv"
     path.write_text(UNNAMED_TEXT)
     table = read_channel_map(spark, str(path), category="w1")
-    assert rows(table) == [("w1", 0, 11, 3, 31, 1, 65), ("w1", 1, 11, 3, 31, 1, 67)]
+    assert rows(table) == [("w1", 4, 20, 4, 50, 0, 90), ("w1", 5, 20, 4, 50, 0, 92), ("w1", 6, 20, 4, 50, 3, 1)]
+    planes = {"wu": (0, 5), "wv": (6, 9)}
+    table = read_channel_map(spark, str(path), category=planes)
+    assert rows(table, "cat", "id") == [("wu", 4), ("wu", 5), ("wv", 6)]
+    assert rows(read_channel_map(spark, str(path), ["wv"], category=planes), "id") == [(6,)]
+    for wrong in ({"wu": (0, 5)}, {"wu": (0, 6), "wv": (6, 9)}):
+        with pytest.raises(Exception, match="not in one range"):
+            read_channel_map(spark, str(path), category=wrong).collect()
 
 
 def test_curves(spark, tmp_path):
@@ -78,7 +87,7 @@ def test_paths():
 
 def _event(i, values=(1,)):
     hits = [{"geo": 0, "ch": 1, "value": v, "edge": 0} for v in values]
-    segment = {"dev": 11, "fp": 9, "mod": 0, "det": 31, "hits": hits}
+    segment = {"dev": 20, "fp": 4, "mod": 0, "det": 50, "hits": hits}
     return {"event_id": i, "runnumber": 4, "ts": i * 10, "segdata": [segment]}
 
 
@@ -118,19 +127,44 @@ def test_decode_all_kinds_of_messages(spark):
         "tag int, value binary",
     )
     messages = messages.withColumn("value", F.col("value"))
-    first = decode_events(messages)
+    first = decode_events(messages, rows="first")
     assert first.columns == [*RAW_EVENT.names, "tag"]
     assert rows(first, "tag", "event_id") == [(4, 40), (5, 50), (6, 60)]
     assert rows(decode_events(messages, rows="batch"), "event_id") == [(40,), (50,), (60,)]
-    everything = decode_events(messages, rows="all")
+    everything = decode_events(messages)
     assert rows(everything, "tag", "event_id") == [(4, 40), (5, 50), (5, 51), (5, 52), (6, 60)]
     assert rows(explode_hits(everything), "event_id", "dev", "ch", "value") == [
-        (40, 11, 1, 7), (40, 11, 1, 8), (50, 11, 1, 1), (51, 11, 1, 1), (52, 11, 1, 1), (60, 11, 1, 9),
+        (40, 20, 1, 7), (40, 20, 1, 8), (50, 20, 1, 1), (51, 20, 1, 1), (52, 20, 1, 1), (60, 20, 1, 9),
     ]
     with pytest.raises(ValueError):
         decode_events(messages, rows="some")
 
 
+def test_decode_rebuilds_nested_fields_by_name(spark):
+    narrow = pa.struct([("value", pa.int16()), ("geo", pa.int8())])
+    segment = pa.struct([("hits", pa.list_(narrow)), ("det", pa.int64())])
+    schema = pa.schema([("segdata", pa.list_(segment)), ("event_id", pa.int32())])
+    events = [
+        {"event_id": 1, "segdata": [{"det": 5, "hits": [{"value": 3, "geo": 1}, None]}, None, {"det": 6, "hits": None}]},
+        {"event_id": 2, "segdata": None},
+        {"event_id": 3, "segdata": [{"det": None, "hits": []}]},
+    ]
+    messages = spark.createDataFrame([(_message(events, schema, batches=2),)], "value binary")
+    got = {r.event_id: r.asDict(True) for r in decode_events(messages).collect()}
+
+    def hit(h):
+        return h and {"geo": h["geo"], "ch": None, "value": h["value"], "edge": None}
+
+    for e in events:
+        segments = e["segdata"] and [
+            s and {"dev": None, "fp": None, "mod": None, "det": s["det"],
+                   "hits": s["hits"] and [hit(h) for h in s["hits"]] if s["hits"] else s["hits"]}
+            for s in e["segdata"]
+        ]
+        assert got[e["event_id"]]["segdata"] == segments
+        assert got[e["event_id"]]["runnumber"] is None
+
+
 def test_decode_hands_on_in_pieces(spark, monkeypatch):
     monkeypatch.setattr("hitloom.sources.messages._FLUSH_ROWS", 3)
     data = [(i, _message([_event(i), _event(1000 + i)])) for i in range(20)]
@@ -151,7 +185,11 @@ def test_capture_counts_filled_messages_of_one_partition(spark):
     assert rows(capture_messages(topic, 4, first=3), "event_id") == [(4,), (6,), (7,), (8,)]
     assert capture_messages(topic, 100, first=3).count() == 7
     assert rows(capture_messages(topic, 2, first=28, partition=1), "event_id") == [(128,), (129,)]
-    assert capture_messages(topic, 5).count() == 0
+    several = spark.createDataFrame(
+        [("t", 0, 1, _message([_event(i) for i in range(5)], batches=5))],
+        "topic string, partition int, offset long, value binary",
+    )
+    assert rows(capture_messages(several, 1, first=0), "event_id") == [(i,) for i in range(5)]
 
 
 def test_offset_summary(spark):

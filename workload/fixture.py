@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitloom.schema import RAW_EVENT
@@ -17,6 +17,8 @@ from hitloom.sources.messages import RAW_EVENT_ARROW
 HIT_COLUMNS = ["event_id", "dev", "fp", "det", "geo", "ch", "value", "edge"]
 MAP_SCHEMA = "cat string, id long, dev long, fp long, det long, geo long, ch long"
 CURVE = [(0.0, 0.0), (0.4, 1.0), (1.0, 1.0)]
+# Device, focal plane and detector of the mapped modules; invented.
+MODULE = (20, 4, 50)
 PLANES = ["p0a", "p0x", "p0y", "p1a", "p1x", "p1y"]
 
 
@@ -62,18 +64,25 @@ def _reference_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat hits: detector hits from ``lineitem`` and reference hits per event and module."""
+    """Flat hits: detector hits from ``lineitem``, reference hits per event and module, and hits of
+    modules that differ from the mapped ones in one of device, focal plane and detector only."""
     flat = _detector_hits(spark, sf_dir).unionByName(_reference_hits(spark, sf_dir))
-    return flat.select(
+    flat = flat.select("event_id", *_module(), "geo", "ch", "value", "edge")
+    modules = _detector_hits(spark, sf_dir).select("event_id", "geo").distinct()
+    others = F.explode(F.array(*[F.struct(*_module(*step)) for step in ((1, 0, 0), (0, 1, 0), (0, 0, 1))]))
+    near = modules.select("event_id", "geo", others.alias("module")).select(
         "event_id",
-        F.lit(11).cast("long").alias("dev"),
-        F.lit(9).cast("long").alias("fp"),
-        F.lit(31).cast("long").alias("det"),
-        "geo",
-        "ch",
-        "value",
-        "edge",
+        "module.*",
+        "geo", F.explode(F.array(F.lit(0).cast("long"), F.lit(4).cast("long"))).alias("ch"),
+        F.lit(7).cast("long").alias("value"), F.lit(0).cast("long").alias("edge"),
     )
+    return flat.unionByName(near)
+
+
+def _module(dev: int = 0, fp: int = 0, det: int = 0) -> list[Column]:
+    """Device, focal plane and detector of the mapped modules, or so many further on."""
+    numbers = zip(("dev", "fp", "det"), MODULE, (dev, fp, det), strict=True)
+    return [F.lit(number + step).cast("long").alias(name) for name, number, step in numbers]
 
 
 def _literal(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -87,7 +96,7 @@ def _literal(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
 def chmap(spark: SparkSession) -> DataFrame:
     """Channels 1-3 anode, 4-6 x, 7-9 y of detector p0 (geo 0) and p1 (geo 1); one is unmapped."""
     rows = [
-        (f"p{geo}{'axy'[(ch - 1) // 3]}", (ch - 1) % 3, 11, 9, 31, geo, ch)
+        (f"p{geo}{'axy'[(ch - 1) // 3]}", (ch - 1) % 3, *MODULE, geo, ch)
         for geo in (0, 1)
         for ch in range(1, 10)
         if (geo, ch) != (1, 9)
@@ -97,7 +106,7 @@ def chmap(spark: SparkSession) -> DataFrame:
 
 def tmap(spark: SparkSession) -> DataFrame:
     """Reference channel of each module."""
-    return _literal(spark, [("tref", geo, 11, 9, 31, geo, 0) for geo in (0, 1)], MAP_SCHEMA)
+    return _literal(spark, [("tref", geo, *MODULE, geo, 0) for geo in (0, 1)], MAP_SCHEMA)
 
 
 def curves(spark: SparkSession, *names: str) -> DataFrame:
@@ -132,9 +141,10 @@ def whole_events(hits: DataFrame) -> DataFrame:
     )
 
 
-def encode(events: DataFrame, per_message: int = 1) -> DataFrame:
+def encode(events: DataFrame, per_message: int = 1, turned: bool = False) -> DataFrame:
     """Arrow messages in a column ``value``, `per_message` consecutive events in each; the other
-    columns are those of the first event of the message."""
+    columns are those of the first event of the message.  `turned` writes an event in each record batch
+    and the fields in reverse order."""
     names = RAW_EVENT.names
     extra = [field for field in events.schema.fields if field.name not in names]
     extra_names = [field.name for field in extra]
@@ -143,12 +153,14 @@ def encode(events: DataFrame, per_message: int = 1) -> DataFrame:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             payload = pa.Table.from_batches([batch.select(names)]).cast(schema)
+            if turned:
+                payload = payload.select(names[::-1])
             starts = list(range(0, batch.num_rows, per_message))
             values = []
             for start in starts:
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, schema) as writer:
-                    writer.write_table(payload.slice(start, per_message))
+                with pa.ipc.new_stream(sink, payload.schema) as writer:
+                    writer.write_table(payload.slice(start, per_message), max_chunksize=1 if turned else None)
                 values.append(sink.getvalue().to_pybytes())
             kept = batch.select(extra_names).take(pa.array(starts, pa.int64()))
             yield pa.RecordBatch.from_arrays(
@@ -167,10 +179,9 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.col("value") * 1000).cast("long").alias("ts"),
         F.array(
             F.struct(
-                F.lit(11).cast("long").alias("dev"),
-                F.lit(9).cast("long").alias("fp"),
+                *_module()[:2],
                 F.lit(0).cast("long").alias("mod"),
-                F.lit(31).cast("long").alias("det"),
+                _module()[2],
                 F.array(
                     F.struct(
                         (F.col("user_id") % 2).alias("geo"),

@@ -21,14 +21,18 @@ STEPS = {
   UNION ALL SELECT event_id, geo, CAST(0 AS BIGINT), (event_id * 37 + geo * 11) % 1000 + 9, CAST(1 AS BIGINT)
             FROM ev""",
     "hits": """
-  SELECT event_id, CAST(11 AS BIGINT) AS dev, CAST(9 AS BIGINT) AS fp, CAST(31 AS BIGINT) AS det,
+  SELECT event_id, CAST(20 AS BIGINT) AS dev, CAST(4 AS BIGINT) AS fp, CAST(50 AS BIGINT) AS det,
          geo, ch, value, edge
-  FROM flat""",
+  FROM flat
+  UNION ALL
+  SELECT event_id, CAST(20 + (k = 0)::INT AS BIGINT), CAST(4 + (k = 1)::INT AS BIGINT),
+         CAST(50 + (k = 2)::INT AS BIGINT), geo, CAST(c AS BIGINT), CAST(7 AS BIGINT), CAST(0 AS BIGINT)
+  FROM ev CROSS JOIN (VALUES (0), (1), (2)) AS m(k) CROSS JOIN (VALUES (0), (4)) AS n(c)""",
     "chmap": """
   SELECT concat('p', CAST(g.geo AS VARCHAR),
                 CASE WHEN c.ch <= 3 THEN 'a' WHEN c.ch <= 6 THEN 'x' ELSE 'y' END) AS cat,
-         CAST((c.ch - 1) % 3 AS BIGINT) AS id, CAST(11 AS BIGINT) AS dev, CAST(9 AS BIGINT) AS fp,
-         CAST(31 AS BIGINT) AS det, CAST(g.geo AS BIGINT) AS geo, CAST(c.ch AS BIGINT) AS ch
+         CAST((c.ch - 1) % 3 AS BIGINT) AS id, CAST(20 AS BIGINT) AS dev, CAST(4 AS BIGINT) AS fp,
+         CAST(50 AS BIGINT) AS det, CAST(g.geo AS BIGINT) AS geo, CAST(c.ch AS BIGINT) AS ch
   FROM (VALUES (0),(1)) AS g(geo)
   CROSS JOIN (VALUES (1),(2),(3),(4),(5),(6),(7),(8),(9)) AS c(ch)
   WHERE NOT (g.geo = 1 AND c.ch = 9)""",
@@ -38,7 +42,7 @@ STEPS = {
     ON h.dev = m.dev AND h.fp = m.fp AND h.det = m.det AND h.geo = m.geo AND h.ch = m.ch""",
     "tref": """
   SELECT event_id, value, dev, fp, det, geo FROM hits
-  WHERE dev = 11 AND fp = 9 AND det = 31 AND geo IN (0, 1) AND ch = 0 AND edge = 0""",
+  WHERE dev = 20 AND fp = 4 AND det = 50 AND geo IN (0, 1) AND ch = 0 AND edge = 0""",
     "subtracted": """
   SELECT m.event_id, m.cat, m.id, m.value - t.value AS value, m.edge
   FROM mapped m LEFT JOIN tref t
@@ -109,7 +113,7 @@ NEEDS = {
     "base": [],
     "ev": ["base"],
     "flat": ["base", "ev"],
-    "hits": ["flat"],
+    "hits": ["flat", "ev"],
     "chmap": [],
     "mapped": ["hits", "chmap"],
     "tref": ["hits"],
@@ -231,20 +235,28 @@ GROUP BY bin_x, bin_y""",
     )
 
 
-STRIP_FULL = query(
-    f"""SELECT e.event_id, a.timings AS a_timing, a.charges AS a_charge, x.ids AS x_id,
-       x.timings AS x_timing, x.charges AS x_charge, {r6('px.pos')} AS x_pos, y.ids AS y_id,
-       y.timings AS y_timing, y.charges AS y_charge, {r6('py.pos')} AS y_pos
-FROM events_seen e
-LEFT JOIN lists a ON a.event_id = e.event_id AND a.cat = 'p0a'
-LEFT JOIN lists x ON x.event_id = e.event_id AND x.cat = 'p0x'
-LEFT JOIN lists y ON y.event_id = e.event_id AND y.cat = 'p0y'
-LEFT JOIN positions px ON px.event_id = e.event_id AND px.cat = 'p0x'
-LEFT JOIN positions py ON py.event_id = e.event_id AND py.cat = 'p0y'""",
-    "lists",
-    "positions",
-    "events_seen",
-)
+def strip_full(more: str = "") -> str:
+    """All columns of both detectors for every event, after the columns `more`."""
+    columns, joins = [], []
+    for d in ("p0", "p1"):
+        columns += [f"{d}a.timings AS {d}a_timing", f"{d}a.charges AS {d}a_charge"]
+        joins.append(f"LEFT JOIN lists {d}a ON {d}a.event_id = e.event_id AND {d}a.cat = '{d}a'")
+        for p in (f"{d}x", f"{d}y"):
+            columns += [f"{p}.ids AS {p}_id", f"{p}.timings AS {p}_timing", f"{p}.charges AS {p}_charge",
+                        f"{r6(f's{p}.pos')} AS {p}_pos"]
+            joins += [f"LEFT JOIN lists {p} ON {p}.event_id = e.event_id AND {p}.cat = '{p}'",
+                      f"LEFT JOIN positions s{p} ON s{p}.event_id = e.event_id AND s{p}.cat = '{p}'"]
+    return query(
+        f"SELECT e.event_id, {more}{', '.join(columns)} FROM events_seen e " + " ".join(joins),
+        "lists",
+        "positions",
+        "events_seen",
+    )
+
+
+STRIP_FULL = strip_full()
+# What the stream adds: run number and arrival time, in seconds.
+STREAM_FULL = strip_full("e.event_id % 7 AS runnumber, 1700000000 + e.event_id % 5 AS stream_uts, ")
 
 
 def strip_short(require: str) -> str:
@@ -344,6 +356,9 @@ TRIGGER_HITS = """(SELECT event_id, id, 0.0244140625::DOUBLE * (value + 0.5::DOU
 
 SALES_SPAN = (0.0, 105000.0)
 
+# Equal rows once, with their number.
+COUNTED = "SELECT event_id, cat, id, value, edge, count(*) AS n FROM {} GROUP BY 1, 2, 3, 4, 5"
+
 
 def oracles() -> dict[str, str]:
     edges = ((0.0, 5000.0), (-500.0, 9500.0))
@@ -354,8 +369,8 @@ def oracles() -> dict[str, str]:
     zone = "CASE WHEN {0} = 0 THEN 0 WHEN {0} = {1} THEN 2 ELSE 1 END"
     zone_x = zone.format(f"({bin_of('charge', 0.0, 500.0, 19)})", 20)
     zone_y = zone.format(f"({bin_of('timing', 0.0, 5000.0, 29)})", 30)
-    decoded = """SELECT event_id, user_id AS runnumber, CAST(round(value * 1000) AS BIGINT) AS ts, CAST(11 AS BIGINT) AS dev,
-       CAST(9 AS BIGINT) AS fp, CAST(0 AS BIGINT) AS mod, CAST(31 AS BIGINT) AS det,
+    decoded = """SELECT event_id, user_id AS runnumber, CAST(round(value * 1000) AS BIGINT) AS ts, CAST(20 AS BIGINT) AS dev,
+       CAST(4 AS BIGINT) AS fp, CAST(0 AS BIGINT) AS mod, CAST(50 AS BIGINT) AS det,
        user_id % 2 AS geo, user_id % 10 AS ch, CAST(round(value * 100) AS BIGINT) AS value,
        event_id % 2 AS edge"""
     curve_points = """SELECT p_brand AS tab, floor(p_retailprice / 2) / 613.0::DOUBLE AS y,
@@ -374,23 +389,26 @@ FROM part WHERE starts_with(p_type, 'S') OR starts_with(p_type, 'PROMO')""",
         "q_read_curves": f"SELECT tab AS \"table\", x, y FROM ({curve_points}) c",
         "q_map_channels": query("SELECT event_id, cat, value, id FROM mapped", "mapped"),
         "q_time_reference": query("SELECT * FROM tref", "tref"),
-        "q_subtract_reference": query("SELECT * FROM subtracted", "subtracted"),
-        "q_subtract_reference_salted": query("SELECT * FROM subtracted", "subtracted"),
+        "q_subtract_reference": query(COUNTED.format("subtracted"), "subtracted"),
+        "q_subtract_reference_salted": query(COUNTED.format("subtracted"), "subtracted"),
         "q_subtract_first_reference": query(
-            """SELECT m.event_id, m.cat, m.id, m.value - t.value AS value, m.edge
+            COUNTED.format(
+                """(SELECT m.event_id, m.cat, m.id, m.value - t.value AS value, m.edge
 FROM mapped m LEFT JOIN (SELECT event_id, dev, fp, det, geo, min(value) AS value FROM tref
                          GROUP BY event_id, dev, fp, det, geo) t
-  ON m.event_id = t.event_id AND m.dev = t.dev AND m.fp = t.fp AND m.det = t.det AND m.geo = t.geo""",
+  ON m.event_id = t.event_id AND m.dev = t.dev AND m.fp = t.fp AND m.det = t.det AND m.geo = t.geo) s"""
+            ),
             "mapped",
             "tref",
         ),
         "q_subtract_by_id": query(
-            """SELECT m.event_id, m.id, m.value - t.value AS value, m.edge
-FROM mapped m LEFT JOIN (SELECT event_id, value FROM tref WHERE geo = 1) t USING (event_id)""",
+            """SELECT m.event_id, m.id, m.value - t.value AS value, m.edge, count(*) AS n
+FROM mapped m LEFT JOIN (SELECT event_id, value FROM tref WHERE geo = 1) t USING (event_id)
+GROUP BY 1, 2, 3, 4""",
             "mapped",
             "tref",
         ),
-        "q_validate_flip": query("SELECT * FROM flipped", "flipped"),
+        "q_validate_flip": query(COUNTED.format("flipped"), "flipped"),
         "q_pair_edges": query("SELECT * FROM pairs", "pairs"),
         "q_pair_edges_cells": query("SELECT * FROM pairs", "pairs"),
         "q_category_totals": query(
@@ -410,7 +428,7 @@ FROM lineitem LEFT JOIN (SELECT s_suppkey, s_acctbal / 1000 AS p0, 1 + s_nationk
        round(p0 + p1 * CASE i WHEN 0 THEN l_extendedprice WHEN 1 THEN l_quantity ELSE l_tax END, 6)
          AS charge
 FROM lineitem CROSS JOIN (VALUES (0), (1), (2)) AS k(i)
-JOIN (SELECT s_suppkey, s_acctbal / 1000 AS p0, 1 + s_nationkey / 100.0::DOUBLE AS p1
+LEFT JOIN (SELECT s_suppkey, s_acctbal / 1000 AS p0, 1 + s_nationkey / 100.0::DOUBLE AS p1
       FROM supplier WHERE s_acctbal > 0) s ON s_suppkey = l_suppkey""",
         "q_interpolate": query(
             f"SELECT event_id, cat, {r6('(c0 - c1) / (c0 + c1)')} AS c0c1, {r6('conv')} AS conv FROM shared",
@@ -532,12 +550,13 @@ WHERE event_id % 4 = 0 AND event_id // 4 >= 20 AND event_type <> 'error' ORDER B
             "SELECT CAST(event_id AS VARCHAR) AS key, event_id, cat, id, charge, timing FROM pairs",
             "pairs",
         ),
-        "q_stream_strip": STRIP_FULL.replace(
-            "SELECT e.event_id, a.timings",
-            "SELECT e.event_id, e.event_id % 7 AS runnumber, a.timings",
+        "q_stream_strip": STREAM_FULL,
+        "q_stream_dedup": STREAM_FULL,
+        "q_decode_batches": query(
+            "SELECT event_id, dev, fp, det, geo, ch, value, edge, event_id % 7 AS runnumber FROM hits", "hits"
         ),
-        "q_stream_dedup": STRIP_FULL.replace(
-            "SELECT e.event_id, a.timings",
-            "SELECT e.event_id, e.event_id % 7 AS runnumber, a.timings",
+        "q_to_float_hash": query(
+            """SELECT event_id, cat, id, charge, timing, CAST(floor(charge) AS BIGINT) AS channel FROM pairs""",
+            "pairs",
         ),
     }

@@ -44,6 +44,7 @@ from hitloom.plans import (
     two_sided_plan,
     wire_plan,
 )
+from hitloom.plans.strip import STRIP_FACTOR as FACTOR
 from hitloom.sinks import to_kafka_rows, write_events
 from hitloom.sources import (
     Paths,
@@ -60,7 +61,6 @@ from workload import fixture as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-FACTOR = 0.09765627
 MODULE = ["event_id", "cat", "value", "id", "edge", "dev", "fp", "det", "geo"]
 FIXTURE_PLANES = (StripPlane("x", 1.0, 2.55), StripPlane("y", 1.0, 2.55))
 FIXTURE_SIDES = TwoSided("p0", pad="a", left="x", right="y", strip="s", window=(-500.0, 500.0))
@@ -179,8 +179,13 @@ def time_reference_(spark: SparkSession, sf: str) -> DataFrame:
     return _references(spark, sf)
 
 
+def _counted(df: DataFrame, *columns: str) -> DataFrame:
+    """Equal rows once, with their number."""
+    return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
+
+
 def _subtracted(df: DataFrame) -> DataFrame:
-    return df.select("event_id", "cat", "id", "value", "edge")
+    return _counted(df, "event_id", "cat", "id", "value", "edge")
 
 
 @register
@@ -202,12 +207,12 @@ def subtract_first_reference(spark: SparkSession, sf: str) -> DataFrame:
 def subtract_by_id_(spark: SparkSession, sf: str) -> DataFrame:
     leading = fx.hits(spark, sf).filter("edge = 0")
     references = map_channels(leading, fx.tmap(spark), ["event_id", "id", "value"])
-    return subtract_by_id(_mapped(spark, sf), references, 1)
+    return _counted(subtract_by_id(_mapped(spark, sf), references, 1), "event_id", "id", "value", "edge")
 
 
 @register
 def validate_flip(spark: SparkSession, sf: str) -> DataFrame:
-    return _flipped(spark, sf)
+    return _subtracted(_flipped(spark, sf))
 
 
 @register
@@ -252,6 +257,14 @@ def to_float_bounds(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register
+def to_float_hash(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs with the channel that each charge falls back to when its hash dither is taken off."""
+    pairs = pair_edges(_flipped(spark, sf)).withColumn("scaled", F.col("charge"))
+    df = to_float(pairs, "scaled", factor=FACTOR, keys=["event_id", "cat", "id", "timing"])
+    return df.select("event_id", "cat", "id", "charge", "timing", F.floor(F.col("scaled") / FACTOR + 1e-9).alias("channel"))
+
+
 def _coefficients(spark: SparkSession, sf: str) -> DataFrame:
     return fx.table(spark, sf, "supplier").filter("s_acctbal > 0").select(
         F.col("s_suppkey").alias("id"),
@@ -276,7 +289,7 @@ def linear_calib_array_(spark: SparkSession, sf: str) -> DataFrame:
         "l_orderkey", "l_linenumber", F.col("l_suppkey").alias("id"),
         F.array("l_extendedprice", "l_quantity", "l_tax").alias("charge"),
     )
-    rows = linear_calib_array(lines, _coefficients(spark, sf)).filter(F.get("charge", F.lit(0)).isNotNull())
+    rows = linear_calib_array(lines, _coefficients(spark, sf))
     return rows.select(
         "l_orderkey", "l_linenumber", "id", F.posexplode("charge").alias("pos", "charge")
     ).withColumn("charge", F.round("charge", 6))
@@ -362,19 +375,22 @@ def _strip(spark: SparkSession, hits: DataFrame, **options) -> DataFrame:
 
 
 def _strip_full(df: DataFrame, *more: str) -> DataFrame:
-    columns = [c for c in df.columns if c.startswith("p0")]
-    return shown(df, {c: c for c in ("event_id", *more)} | {c: c[2:] for c in columns})
+    columns = [c for c in df.columns if c.startswith("p")]
+    return shown(df, {c: c for c in ("event_id", *more, *columns)})
+
+
+DETECTORS = ["p0", "p1"]
 
 
 @register
 def strip_full(spark: SparkSession, sf: str) -> DataFrame:
-    return _strip_full(_strip(spark, fx.hits(spark, sf), detectors=["p0"], full=True))
+    return _strip_full(_strip(spark, fx.hits(spark, sf), detectors=DETECTORS, full=True))
 
 
 @register
 def strip_full_spread(spark: SparkSession, sf: str) -> DataFrame:
     hits = fx.hits(spark, sf)
-    return _strip_full(_strip(spark, hits, detectors=["p0"], full=True, layout=SPREAD))
+    return _strip_full(_strip(spark, hits, detectors=DETECTORS, full=True, layout=SPREAD))
 
 
 @register
@@ -389,7 +405,7 @@ def strip_batch(spark: SparkSession, sf: str) -> DataFrame:
         "run1",
         "strip",
         lambda hits, layout, events: _strip(
-            spark, hits, detectors=["p0"], full=True, layout=layout, events=events
+            spark, hits, detectors=DETECTORS, full=True, layout=layout, events=events
         ),
     )
     return _strip_full(spark.read.parquet(stored))
@@ -604,7 +620,7 @@ def capture(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def decode_first(spark: SparkSession, sf: str) -> DataFrame:
     messages = fx.event_messages(spark, sf).select("value", "timestamp")
-    return explode_hits(decode_events(messages), keep=EVENT_FIELDS)
+    return explode_hits(decode_events(messages, rows="first"), keep=EVENT_FIELDS)
 
 
 @register
@@ -613,6 +629,14 @@ def decode_all(spark: SparkSession, sf: str) -> DataFrame:
     return explode_hits(decode_events(messages, rows="all"))
 
 
+@register
+def decode_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages of several events, each in a record batch of its own and with its fields in another
+    order, decoded with the defaults."""
+    messages = fx.encode(fx.whole_events(fx.hits(spark, sf)), per_message=5, turned=True)
+    return explode_hits(decode_events(messages), keep=["runnumber"])
+
+
 @register
 def kafka_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Rows for a Kafka sink, with the JSON taken apart again."""
@@ -625,7 +649,7 @@ def _streamed(spark: SparkSession, sf: str, copies: int, dedup: bool) -> DataFra
     """Events as stored messages, streamed file by file through the strip plan."""
     folder = work_folder(spark, "stream")
     events = fx.whole_events(fx.hits(spark, sf)).withColumn(
-        "timestamp", F.timestamp_seconds(F.lit(1_700_000_000))
+        "timestamp", F.timestamp_seconds(1_700_000_000 + F.col("event_id") % 5)
     )
     messages = fx.encode(events)
     for _ in range(copies):
@@ -637,14 +661,15 @@ def _streamed(spark: SparkSession, sf: str, copies: int, dedup: bool) -> DataFra
     )
     query = run_stream(
         decode_stream(source),
-        lambda hits: _strip(spark, hits, detectors=["p0"], full=True),
+        lambda hits: _strip(spark, hits, detectors=DETECTORS, full=True),
         f"{folder}/processed",
         f"{folder}/checkpoint",
         dedup=dedup,
         trigger={"availableNow": True},
     )
     query.awaitTermination()
-    return _strip_full(spark.read.parquet(f"{folder}/processed"), "runnumber")
+    done = spark.read.parquet(f"{folder}/processed")
+    return _strip_full(done.withColumn("stream_uts", F.col("stream_uts").cast("long")), "runnumber", "stream_uts")
 
 
 @register
