@@ -15,9 +15,9 @@ MARK = "▁"
 _CHUNK = re.compile(r" +[^ ]*")
 
 # Entries of a task's table; a full table starts anew, which costs time and changes no id.
-TABLE_ENTRIES = 400_000
+TABLE_ENTRIES = 150_000
 # Characters of the texts turned into ids at once.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_000_000
 
 
 def _load(model: str):
