@@ -356,16 +356,17 @@ def repeated_windows(rows: DataFrame, size: int) -> DataFrame:
     joined = rows.join(asked, rows["doc"].eqNullSafe(asked["d"])).select("doc", "text", "asked")
     windows = joined.mapInArrow(_find_windows(size), f"doc {kind}, core long, window long, open boolean")
     windows = stage(windows, "windows")
+    discard(asked)
     again = windows.groupBy("core", "window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core", "window")
     single = windows.filter("open").join(again, ["core", "window"]).select("doc", F.lit(None).cast("long").alias("block"), "window")
-    whole = blocks.join(kinds.filter("n > 1").select("core", "block"), ["core", "block"]).select(
-        "doc", "block", F.lit(None).cast("long").alias("window")
-    )
+    # a block's bytes hold its core, so the block alone tells which it is
+    whole = blocks.select("doc", "block").join(kinds.filter("n > 1").select("block"), "block")
+    whole = whole.select("doc", "block", F.lit(None).cast("long").alias("window"))
     found = whole.unionByName(single).groupBy("doc").agg(
         F.collect_set("block").alias("blocks"), F.collect_set("window").alias("windows")
     )
     found = stage(found, "found_repeats")
-    discard(blocks, kinds, asked, windows)
+    discard(blocks, kinds, windows)
     return found
 
 
