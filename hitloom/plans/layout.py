@@ -46,8 +46,8 @@ def by_layout(
 ) -> DataFrame:
     """``plan(hits, spread)`` for the ordinary events and, if there are any, for the hot ones.
 
-    Hits per event are counted in `events`, a table of the event key of every hit, where there is
-    one, and else in the hits.
+    Hits per event are counted in `events`, a narrow table of event keys
+    (:func:`~hitloom.sources.read_hit_keys`), where there is one, and else in the hits.
     """
     if layout.hot_rows is None:
         return plan(hits, False)

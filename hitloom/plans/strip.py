@@ -115,8 +115,8 @@ def strip_plan(
 
     Short: ``<det>x_pos, <det>y_pos, <det>a_timing, <det>a_charge``, filled where the position in the
     first plane is known; events without it are dropped for the detector named in `require`.
-    Full: also ``id, timing, charge`` arrays of each plane, for all events.  `events` is the event
-    key of every hit from a narrower source than `hits`, where there is one
+    Full: also ``id, timing, charge`` arrays of each plane, for all events.  `events` is a narrower
+    source of the events' keys than `hits`, where there is one
     (:func:`~hitloom.sources.read_hit_keys`).
     """
     wanted = [d + p for d in detectors for p in (ANODE, *[plane.plane for plane in planes])]

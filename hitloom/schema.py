@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 EVENT_KEY = "event_id"
+# Hits of a row that stands for several.
+HIT_COUNT = "_hits"
 MODULE_KEY = ["dev", "fp", "det", "geo"]
 CHANNEL_KEY = [*MODULE_KEY, "ch"]
 

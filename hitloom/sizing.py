@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hitloom.schema import HIT_COUNT
+
 # A dimension row (channel, curve cell, geometry) is about 100 bytes, so the bound keeps a broadcast
 # below some 20 MB whatever happens to the data.
 BROADCAST_ROWS = 200_000
@@ -31,9 +33,10 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def hot_keys(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """Keys holding more than `rows` rows; only the key column is scanned and counts are combined
-    before they are shuffled."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > rows).select(key)
+    """Keys holding more than `rows` rows, or so many hits where `df` has their number; only the key (and
+    the number) is scanned and counts are combined before they are shuffled."""
+    n = F.sum(HIT_COUNT) if HIT_COUNT in df.columns else F.count(F.lit(1))
+    return df.groupBy(key).agg(n.alias("n")).filter(F.col("n") > rows).select(key)
 
 
 def split_hot(df: DataFrame, key: str, hot: DataFrame) -> tuple[DataFrame, DataFrame | None]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hitloom.schema import EVENT_KEY, RAW_EVENT
+from hitloom.schema import EVENT_KEY, HIT_COUNT, RAW_EVENT
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
@@ -15,9 +15,10 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_hit_keys(spark: SparkSession, path: str, event_key: str = EVENT_KEY) -> DataFrame:
-    """The event key of every hit, from two columns of the file.
+    """``event, _hits``: the number of hits of each stored row that has any, from two columns of the file.
 
-    Enough to know which events have hits and how many; the rest of the hits is not read.
+    Enough to know which events have hits and how many; the rest of the hits is not read, and arrays are
+    measured where they lie, not taken apart.
     """
     hit = T.StructType([T.StructField("geo", T.LongType())])
     segment = T.StructType([T.StructField("hits", T.ArrayType(hit))])
@@ -25,5 +26,9 @@ def read_hit_keys(spark: SparkSession, path: str, event_key: str = EVENT_KEY) ->
         [RAW_EVENT[event_key], T.StructField("segdata", T.ArrayType(segment))]
     )
     events = spark.read.schema(schema).parquet(path)
-    hits = events.select(event_key, F.explode("segdata.hits").alias("_hits"))
-    return hits.select(event_key, F.explode("_hits").alias("_hit")).select(event_key)
+    size = F.aggregate(
+        "segdata",
+        F.lit(0).cast("long"),
+        lambda total, s: total + F.when(s["hits"].isNull(), 0).otherwise(F.size(s["hits"])),
+    )
+    return events.select(event_key, size.alias(HIT_COUNT)).filter(F.col(HIT_COUNT) > 0)

@@ -208,7 +208,7 @@ def test_stored_events(spark, tmp_path):
     assert stored.schema == RAW_EVENT
     assert rows(stored, "event_id") == [(1,), (2,)]
     keys = read_hit_keys(spark, path)
-    assert rows(keys) == [(1,), (1,)]
+    assert rows(keys) == [(1, 2)]
 
 
 def test_kafka_rows(spark):
