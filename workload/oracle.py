@@ -386,6 +386,10 @@ def oracles() -> dict[str, str]:
        CAST(p_size AS BIGINT) AS dev, p_partkey % 64 AS fp, p_partkey % 31 AS det,
        p_partkey % 16 AS geo, p_partkey % 128 AS ch
 FROM part WHERE starts_with(p_type, 'S') OR starts_with(p_type, 'PROMO')""",
+        "q_read_map_planes": """SELECT concat('w', CAST(p_partkey % 128 // 16 AS VARCHAR)) AS cat,
+       p_partkey % 128 AS id, CAST(p_size AS BIGINT) AS dev, p_partkey % 64 AS fp, p_partkey % 31 AS det,
+       p_partkey % 16 AS geo, p_partkey AS ch
+FROM part""",
         "q_read_curves": f"SELECT tab AS \"table\", x, y FROM ({curve_points}) c",
         "q_map_channels": query("SELECT event_id, cat, value, id FROM mapped", "mapped"),
         "q_time_reference": query("SELECT * FROM tref", "tref"),

@@ -152,6 +152,19 @@ def read_map_prefix(spark: SparkSession, sf: str) -> DataFrame:
     return read_channel_map(spark, path, ["s", "promo"])
 
 
+@register
+def read_map_planes(spark: SparkSession, sf: str) -> DataFrame:
+    """A map without names, eight planes told apart by their ranges of ids."""
+    part = F.col("p_partkey")
+    path = work_folder(spark, "map")
+    fx.table(spark, sf, "part").select(
+        (part % 128).alias("id"), F.col("p_size").alias("dev"), (part % 64).alias("fp"),
+        (part % 31).alias("det"), (part % 16).alias("geo"), part.alias("ch"),
+    ).write.option("header", True).csv(path)
+    planes = {f"w{i}": (16 * i, 16 * i + 15) for i in range(8)}
+    return read_channel_map(spark, path, category=planes)
+
+
 def _brand_points(spark: SparkSession, sf: str) -> DataFrame:
     """A curve per brand: the price in steps of two, with plateaus."""
     return fx.table(spark, sf, "part").select(
