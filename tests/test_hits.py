@@ -20,16 +20,16 @@ def test_explode_drops_events_without_hits(spark):
         [
             (1, 5, 9, None),
             (2, 5, 9, []),
-            (3, 5, 9, [(11, 9, 0, 31, [])]),
-            (4, 5, 9, [(11, 9, 0, 31, None), None]),
-            (5, 5, 9, [(11, 9, 7, 31, [(0, 1, 100, 0), (0, 2, 101, 1)]), (12, 9, 8, 32, [(3, 4, 5, 1)])]),
+            (3, 5, 9, [(20, 4, 0, 50, [])]),
+            (4, 5, 9, [(20, 4, 0, 50, None), None]),
+            (5, 5, 9, [(20, 4, 7, 50, [(0, 1, 100, 0), (0, 2, 101, 1)]), (21, 5, 8, 51, [(3, 4, 5, 1)])]),
         ],
         RAW_EVENT,
     )
     assert rows(explode_hits(events)) == [
         (5, 20, 4, 50, 0, 1, 100, 0),
         (5, 20, 4, 50, 0, 2, 101, 1),
-        (5, 12, 9, 32, 3, 4, 5, 1),
+        (5, 21, 5, 51, 3, 4, 5, 1),
     ]
     kept = explode_hits(events, keep=["runnumber", "ts", "mod"])
     assert kept.columns[:6] == ["event_id", "runnumber", "ts", "dev", "fp", "mod"]
