@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,15 +33,26 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+# Bytes of text that a task has as Python objects at once; a longer text stands alone.
+PART_BYTES = 1_000_000
+
+
+def parts(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """`batch` in parts of at most `PART_BYTES` of the column `text`."""
+    column = batch.column(batch.schema.get_field_index(text))
+    for a, b in slices(np.asarray(pc.fill_null(pc.binary_length(column), 0)), PART_BYTES):
+        yield batch.slice(a, b - a)
+
+
 def map_batches(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
+    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str = "text"
 ) -> DataFrame:
-    """`fn` on each Arrow batch of `df`."""
+    """`fn` on parts of each Arrow batch of `df` that hold a bounded size of the column `text`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield fn(batch)
+            for part in parts(batch, text):
+                yield fn(part)
 
     return df.mapInArrow(run, schema)
 
@@ -145,6 +157,32 @@ def words_of(batch_texts: list[bytes]) -> np.ndarray:
     return np.bincount(word_hashes(batch_texts)[1], minlength=len(batch_texts))
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables that end where the key changes, from batches sorted by `keys`."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        same = np.ones(batch.num_rows, dtype=bool)
+        for k in keys:
+            v = np.asarray(batch.column(batch.schema.get_field_index(k)))
+            same &= v == v[-1]
+        cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+        if cut:
+            yield pa.Table.from_batches([*rest, batch.slice(0, cut)])
+            rest = [batch.slice(cut)]
+        else:
+            if rest and any(
+                rest[0].column(rest[0].schema.get_field_index(k))[0] != batch.column(batch.schema.get_field_index(k))[0]
+                for k in keys
+            ):
+                yield pa.Table.from_batches(rest)
+                rest = []
+            rest.append(batch)
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
 def text_key(text: Column) -> tuple[Column, Column]:
     """128 bits that stand for a text (two 64-bit hashes with different seeds)."""
     return F.xxhash64(text), F.xxhash64(F.lit(1), text)
@@ -153,34 +191,28 @@ def text_key(text: Column) -> tuple[Column, Column]:
 def classes(links: DataFrame) -> DataFrame:
     """(id, class) of every id in `links` (a, b): the smallest id that links reach.
 
-    Each round takes the smallest class among the neighbours and then the class of that class, so
-    chains shrink by halves. Minima are combined before the shuffle; nothing is collected.
+    Each id points to its smallest neighbour, or to itself; pointers are doubled until all point to the
+    end of their chain; then links between different ends are the links of the next, smaller round. A
+    star takes one round. Minima are combined before the shuffle; nothing is collected.
     """
-    both = stage(
-        links.select(F.col("a").alias("u"), F.col("b").alias("v"))
-        .union(links.select("b", "a"))
-        .filter("u != v")
-        .distinct(),
-        "links",
-    )
-    at = stage(both.groupBy(F.col("u").alias("id")).agg(F.least("id", F.min("v")).alias("class")), "classes")
-    while True:
-        near = (
-            both.join(at.withColumnRenamed("id", "v"), "v")
-            .groupBy(F.col("u").alias("id"))
-            .agg(F.min("class").alias("near"))
-        )
-        low = at.join(near, "id").select("id", F.col("class").alias("was"), F.least("class", "near").alias("low"))
-        jump = at.select(F.col("id").alias("low"), F.col("class").alias("up"))
-        new = stage(
-            low.join(jump, "low", "left").select(
-                "id", "was", F.least("low", F.coalesce("up", "low")).alias("class")
-            ),
-            "classes",
-        )
-        at = new.select("id", "class")
-        if new.filter("was != class").isEmpty():
-            return at
+    edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(links.select("b", "a"))
+    edges = stage(edges.filter("u != v").distinct(), "links")
+    found = None
+    while found is None or not edges.isEmpty():
+        at = stage(edges.groupBy(F.col("u").alias("id")).agg(F.least("id", F.min("v")).alias("class")), "classes")
+        moved = True
+        while moved:
+            up = at.select(F.col("id").alias("class"), F.col("class").alias("up"))
+            new = at.join(up, "class", "left").select("id", F.col("class").alias("was"), F.coalesce("up", "class").alias("class"))
+            new = stage(new, "classes")
+            at, moved = new.select("id", "class"), not new.filter("was != class").isEmpty()
+        ends = edges.join(at.toDF("u", "x"), "u").join(at.toDF("v", "y"), "v")
+        edges = stage(ends.filter("x != y").select(F.col("x").alias("u"), F.col("y").alias("v")).distinct(), "links")
+        if found is None:
+            found = at
+        else:
+            found = found.join(at.toDF("class", "up"), "class", "left").select("id", F.coalesce("up", "class").alias("class"))
+    return found
 
 
 def discard(*tables: DataFrame) -> None:

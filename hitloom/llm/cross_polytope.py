@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import classes, stage
+from hitloom.llm.common import classes, stage, whole_groups
 
 # Rows of a bucket that one task compares with as many others; larger buckets are cut in blocks.
 BLOCK = 256
@@ -92,32 +92,6 @@ def _codes(functions: int, tables: int, probes: int, seed: int):
     return run
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Tables that end where the key changes, from batches sorted by `keys`."""
-    rest: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        same = np.ones(batch.num_rows, dtype=bool)
-        for k in keys:
-            v = np.asarray(batch.column(batch.schema.get_field_index(k)))
-            same &= v == v[-1]
-        cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
-        if cut:
-            yield pa.Table.from_batches([*rest, batch.slice(0, cut)])
-            rest = [batch.slice(cut)]
-        else:
-            if rest and any(
-                rest[0].column(rest[0].schema.get_field_index(k))[0] != batch.column(batch.schema.get_field_index(k))[0]
-                for k in keys
-            ):
-                yield pa.Table.from_batches(rest)
-                rest = []
-            rest.append(batch)
-    if rest:
-        yield pa.Table.from_batches(rest)
-
-
 def _verify(threshold: float, tables: int, probes: int):
     """Links in each group (g, ci, cj): for a vector of the group how many vectors it links with, and the
     smallest vector that links of this group reach. A pair counts in the first table where it meets, and

@@ -1,30 +1,62 @@
-"""Classes of near-equal texts from buckets of possible partners, without all pairs of a bucket.
-
-Two texts that share a bucket may be linked (likeness of at least a threshold). Only classes, the
-connected components, are asked for, so a bucket of n linked texts needs n - 1 comparisons with one of
-them, its head. What the head does not settle is settled by later rounds and, in the end, by a join of
-exactly those pairs that may still join two classes: they share a bucket, belong to different classes, and
-neither the bound on their sizes nor the triangle inequality of the distance (1 - likeness) through the
-head rules them out.
+"""Classes of near-equal texts from buckets of possible partners.
+
+Two texts that share a bucket may be linked: the weighted Jaccard likeness of their items is at least a
+threshold. Only classes, the connected components, are asked for, so a bucket of n linked texts needs
+n - 1 comparisons with one of them, its head. In buckets that then hold more than one class, every text
+outside the largest class is compared with all texts of other classes, so no link between texts that share
+a bucket is lost. This is done block by block inside tasks, against an inverted index of a block; pairs
+are never rows, and a pair that shares several buckets is compared in one of them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import classes, stage
+from hitloom.llm.common import classes, stage, whole_groups
 
 # Members that one task compares with one head before the head is repeated for the next task.
 SALT_ROWS = 1000
 
-# Rounds with heads; what is left after them goes to the join of the remaining pairs.
-ROUNDS = 3
+# Members of a bucket in a block.
+BLOCK = 512
+
+# A text made ready: its different items in ascending order, and their weights.
+Items = tuple[np.ndarray, np.ndarray]
+
+
+def likeness(x: Items, y: Items) -> float:
+    """Weighted Jaccard: sum of the smaller weights over sum of the larger."""
+    _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
+    low = np.minimum(x[1][i], y[1][j]).sum()
+    total = x[1].sum() + y[1].sum() - low
+    return float(low / total) if total else 0.0
+
+
+class Index:
+    """Inverted index of some texts."""
+
+    def __init__(self, texts: list[Items]):
+        items = np.concatenate([t[0] for t in texts])
+        order = np.argsort(items, kind="stable")
+        self.items = items[order]
+        self.weight = np.concatenate([t[1] for t in texts])[order]
+        self.owner = np.repeat(np.arange(len(texts)), [len(t[0]) for t in texts])[order]
+        self.total = np.array([t[1].sum() for t in texts])
 
-def compare(pairs: DataFrame, texts: DataFrame, prepare, likeness) -> DataFrame:
+    def likeness(self, x: Items) -> np.ndarray:
+        """Likeness of `x` with each of the texts."""
+        low = np.searchsorted(self.items, x[0], "left")
+        n = np.searchsorted(self.items, x[0], "right") - low
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        both = np.bincount(self.owner[at], np.minimum(self.weight[at], np.repeat(x[1], n)), len(self.total))
+        return both / np.maximum(self.total + x[1].sum() - both, 1e-300)
+
+def compare(pairs: DataFrame, texts: DataFrame, prepare: Callable[[list[bytes]], list[Items]]) -> DataFrame:
     """(a, b, sim) for each of `pairs` (a, b); `texts` is (id, text).
 
     Members of a head are dealt to tasks by (head, salt) with as many salts as `SALT_ROWS` needs, and the
@@ -67,11 +99,85 @@ def compare(pairs: DataFrame, texts: DataFrame, prepare, likeness) -> DataFrame:
     )
 
 
+def compare_blocks(
+    members: DataFrame, texts: DataFrame, prepare: Callable[[list[bytes]], list[Items]], threshold: float
+) -> DataFrame:
+    """(a, b, sim): links that join the classes of ids which share a bucket of `members` (bucket, id, class);
+    of the links of a group that join the same classes one stands for all.
+
+    Ids outside the bucket's largest class and ids of that class are cut in blocks of some `BLOCK` ids;
+    two blocks, one of them of the first kind, are a group of bounded size. An id carries its buckets; a
+    pair counts in the smallest it shares."""
+    kinds = members.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("n"))
+    blocks = kinds.groupBy("bucket").agg(
+        F.max_by("class", F.struct("n", "class")).alias("major"), F.max("n").alias("most"), F.sum("n").alias("all")
+    )
+    blocks = blocks.select(
+        "bucket", "major", F.ceil((F.col("all") - F.col("most")) / BLOCK).alias("minors"), F.ceil(F.col("most") / BLOCK).alias("majors")
+    )
+    of_id = members.groupBy("id").agg(F.sort_array(F.collect_set("bucket")).alias("buckets"))
+    rows = members.join(blocks, "bucket").join(of_id, "id").join(texts, "id")
+    is_major, deal = F.col("class") == F.col("major"), F.xxhash64(F.lit(3), F.col("id"))
+    rows = rows.withColumn(
+        "chunk", F.when(is_major, F.col("minors") + F.pmod(deal, F.col("majors"))).otherwise(F.pmod(deal, F.col("minors")))
+    )
+    last = F.when(is_major, F.col("minors")).otherwise(F.col("minors") + F.col("majors")) - 1
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last))).select(
+        "bucket", F.least("chunk", "other").alias("ci"), F.greatest("chunk", "other").alias("cj"),
+        "chunk", "id", "class", "buckets", "text",
+    )
+
+    def group(t: pa.Table) -> tuple[list[int], list[int], list[float]]:
+        c = {k: t.column(k).to_pylist() for k in ("bucket", "ci", "cj", "chunk", "id", "class", "buckets")}
+        ready = prepare([x or b"" for x in t.column("text").cast(pa.binary()).to_pylist()])
+        n, first = len(ready), np.array([k == c["ci"][0] for k in c["chunk"]])
+        kind, held = np.array(c["class"]), [frozenset(b) for b in c["buckets"]]
+        left = np.flatnonzero(first)
+        right = np.arange(n) if c["ci"][0] == c["cj"][0] else np.flatnonzero(~first)
+        found: tuple[list[int], list[int], list[float]] = ([], [], [])
+        if not len(left) or not len(right):
+            return found
+        index = Index([ready[k] for k in right])
+        # links that join classes which earlier links of the group have joined say nothing new
+        joined: dict[int, int] = {}
+
+        def root(k: int) -> int:
+            while joined.get(k, k) != k:
+                k = joined[k]
+            return k
+
+        for i in left.tolist():
+            sim = index.likeness(ready[i])
+            for k in np.flatnonzero((sim >= threshold) & (kind[right] != kind[i])).tolist():
+                j = int(right[k])
+                x, y = root(c["class"][i]), root(c["class"][j])
+                if x != y and min(held[i] & held[j]) == c["bucket"][0]:
+                    joined[max(x, y)] = min(x, y)
+                    for column, value in zip(found, (c["id"][i], c["id"][j], float(sim[k])), strict=True):
+                        column.append(value)
+        return found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, ["bucket", "ci", "cj"]):
+            keys = np.stack([np.asarray(table.column(k)) for k in ("bucket", "ci", "cj")])
+            cut = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(0))).tolist()
+            for a, b in zip(cut, [*cut[1:], table.num_rows], strict=True):
+                x, y, sim = group(table.slice(a, b - a))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, pa.int64()), pa.array(y, pa.int64()), pa.array(sim, pa.float64())], names=["a", "b", "sim"]
+                )
+
+    return (
+        rows.repartition("bucket", "ci", "cj")
+        .sortWithinPartitions("bucket", "ci", "cj")
+        .mapInArrow(run, "a long, b long, sim double")
+    )
+
+
 def near_classes(
     buckets: DataFrame,
     fetch: Callable[[DataFrame], DataFrame],
-    prepare: Callable[[list[bytes]], list],
-    likeness: Callable[[object, object], float],
+    prepare: Callable[[list[bytes]], list[Items]],
     threshold: float,
     slack: float = 1e-9,
 ) -> tuple[DataFrame, DataFrame]:
@@ -79,54 +185,25 @@ def near_classes(
 
     `buckets` is (bucket, id, size): texts that share a bucket are possible partners. `size` bounds the
     likeness of two texts from above by (smaller / larger). `fetch` gives (id, text) for a table of ids,
-    those that share a bucket. `prepare` turns texts into what `likeness` compares; 1 - likeness must be
-    a metric.
+    those that share a bucket. `prepare` turns texts into items and weights.
     """
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     member = stage(buckets.join(shared, "bucket"), "bucket_members")
     texts = stage(fetch(member.select("id").distinct()), "candidate_texts")
     bound = F.least("size", "head_size") >= F.lit(threshold - slack) * F.greatest("size", "head_size")
-    known = None
-    open_ = member.select("bucket", "id", "size")
-    for i in range(ROUNDS):
-        # the smallest id of the bucket leads the first round, a hashed order the later ones
-        order = F.col("id") if i == 0 else F.xxhash64(F.lit(i), F.col("id"))
-        head = open_.groupBy("bucket").agg(F.min_by(F.struct(F.col("id").alias("head"), F.col("size").alias("head_size")), order).alias("h"))
-        head = head.select("bucket", "h.head", "h.head_size")
-        pairs = open_.join(head, "bucket").filter("id != head").filter(bound)
-        pairs = pairs.select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
-        if known is not None:
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        found = stage(compare(pairs, texts, prepare, likeness), "compared")
-        known = found if known is None else stage(known.unionByName(found), "compared")
-        at = classes(known.filter(F.col("sim") >= threshold))
-        # buckets that still hold more than one class; two ids have been compared
-        own = open_.select("bucket", "id", "size").join(at, "id", "left").select("bucket", "id", "size", F.coalesce("class", "id").alias("class"))
-        mixed = own.groupBy("bucket").agg(
-            F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("n")
-        )
-        mixed = mixed.filter("lo != hi and n > 2").select("bucket")
-        open_ = stage(own.join(mixed, "bucket").select("bucket", "id", "size", "class"), "open_buckets")
-        if open_.isEmpty():
-            return at, known.filter(F.col("sim") >= threshold)
-        last_head = head
-    # the rest: pairs of different classes in a bucket that no bound rules out
-    to_head = known.select("a", "b", "sim").unionByName(known.select(F.col("b").alias("a"), F.col("a").alias("b"), "sim"))
-    placed = open_.join(last_head, "bucket").join(
-        to_head.select(F.col("a").alias("head"), F.col("b").alias("id"), "sim"), ["head", "id"], "left"
-    )
-    # an id whose distance to the head is unknown (ruled out by size) is bounded by nothing
-    placed = placed.select("bucket", "id", "size", "class", F.when(F.col("id") == F.col("head"), 0.0).otherwise(1 - F.col("sim")).alias("far"))
-    x, y = placed.alias("x"), placed.alias("y")
-    reach = 1 - threshold + slack
-    rest = (
-        x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.class") != F.col("y.class")))
-        .filter(F.least("x.size", "y.size") >= F.lit(threshold - slack) * F.greatest("x.size", "y.size"))
-        .filter(F.coalesce(F.abs(F.col("x.far") - F.col("y.far")) <= reach, F.lit(True)))
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        .distinct()
-        .join(known, ["a", "b"], "left_anti")
+    head = member.groupBy("bucket").agg(F.min(F.struct(F.col("id").alias("head"), F.col("size").alias("head_size"))).alias("h"))
+    pairs = member.join(head.select("bucket", "h.head", "h.head_size"), "bucket").filter("id != head").filter(bound)
+    pairs = pairs.select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
+    links = stage(compare(pairs, texts, prepare).filter(F.col("sim") >= threshold), "head_links")
+    at = classes(links)
+    # buckets that still hold more than one class; two ids have been compared
+    own = member.join(at, "id", "left").select("bucket", "id", F.coalesce("class", "id").alias("class"))
+    mixed = own.groupBy("bucket").agg(
+        F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("n")
     )
-    found = stage(compare(rest, texts, prepare, likeness), "compared")
-    links = known.unionByName(found).filter(F.col("sim") >= threshold)
+    open_ = stage(own.join(mixed.filter("lo != hi and n > 2").select("bucket"), "bucket"), "open_buckets")
+    more = stage(compare_blocks(open_, texts, prepare, threshold), "block_links")
+    if more.isEmpty():
+        return at, links
+    links = links.unionByName(more)
     return classes(links), links

@@ -9,10 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitloom.llm.common import fresh, map_batches, mix, shingle_hashes, slices, stage, words_of
-from hitloom.llm.near_links import near_classes
+from hitloom.llm.near_links import Items, near_classes
 from hitloom.sizing import broadcast_if_small
 
-SLICE_BYTES = 1_500_000
+SLICE_BYTES = 500_000
 
 # Bands and rows of a band: a pair of likeness 0.8 shares a band with probability 0.999.
 BANDS, ROWS = 10, 3
@@ -40,23 +40,18 @@ def signatures(texts: list[bytes], size: int, seed: int) -> tuple[np.ndarray, np
     return keys.view(np.int64), np.diff(np.append(start, len(shingle)))
 
 
-def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
-    """Sorted different shingles of each text."""
+def shingle_sets(texts: list[bytes], size: int) -> list[Items]:
+    """Sorted different shingles of each text, of weight 1."""
     out = []
     for a, b in slices(np.array([len(t) for t in texts]), SLICE_BYTES):
         shingle, owner = shingle_hashes(texts[a:b], size)
         order = np.lexsort((shingle, owner))
         shingle, cut = shingle[order], np.searchsorted(owner, np.arange(b - a + 1))
-        out += [np.unique(shingle[i:j]) for i, j in zip(cut[:-1], cut[1:], strict=True)]
+        sets = [np.unique(shingle[i:j]) for i, j in zip(cut[:-1], cut[1:], strict=True)]
+        out += [(s, np.ones(len(s))) for s in sets]
     return out
 
 
-def jaccard(x: np.ndarray, y: np.ndarray) -> float:
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    total = len(x) + len(y) - both
-    return both / total if total else 0.0
-
-
 def _paragraphs(text: bytes | None, min_words: int, counted) -> tuple[list[bytes], list[int]]:
     parts = (text or b"").split(b"\n")
     long = [i for i, p in enumerate(parts) if len(p) >= 2 * min_words - 1]
@@ -133,7 +128,7 @@ def dedup_paragraphs(
         one = held.select(F.explode(F.transform("asked", lambda a: F.struct(a["id"].alias("id"), F.get(parts, a["place"].cast("int")).alias("text")))).alias("p"))
         return one.select("p.id", "p.text").dropDuplicates(["id"])
 
-    at, _ = near_classes(buckets, fetch, lambda texts: shingle_sets(texts, shingle), jaccard, threshold)
+    at, _ = near_classes(buckets, fetch, lambda texts: shingle_sets(texts, shingle), threshold)
     classed = distinct.select("p1", "p2", "n", "first").join(at.withColumnRenamed("id", "p1"), "p1", "left")
     classed = classed.withColumn("class", F.coalesce("class", "p1"))
     heads = classed.groupBy("class").agg(F.sum("n").alias("total"), F.min("first").alias("head")).filter("total > 1")
@@ -172,4 +167,4 @@ def dedup_paragraphs(
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     kinds = ["long", "long", "array<long>", "long", "array<long>"]
-    return map_batches(joined, remove, f"{fields}, " + ", ".join(f"`{n}` {k}" for n, k in zip(more, kinds, strict=True)))
+    return map_batches(joined, remove, f"{fields}, " + ", ".join(f"`{n}` {k}" for n, k in zip(more, kinds, strict=True)), text_col)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import fresh, map_batches, mix, shingle_hashes, slices, stage, text_bytes, text_key
+from hitloom.llm.common import fresh, map_batches, mix, parts, shingle_hashes, slices, stage, text_bytes, text_key
 from hitloom.llm.near_links import near_classes
 from hitloom.sizing import broadcast_if_small
 
@@ -17,7 +17,7 @@ from hitloom.sizing import broadcast_if_small
 COUNTERS = 1 << 18
 # Rows of the table of random draws per sample; shingles are dealt to them by a hash of their own.
 DRAWS = 1 << 14
-SLICE_BYTES = 1_500_000
+SLICE_BYTES = 500_000
 
 # Bands and samples in a band: a pair of likeness 0.8 shares a band with probability 0.9998.
 BANDS, ROWS = 12, 3
@@ -48,10 +48,9 @@ def document_frequencies(docs: DataFrame, text_col: str, size: int) -> tuple[np.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(COUNTERS, dtype=np.int64), 0
         for batch in batches:
-            texts = text_bytes(batch.column(0))
-            rows += len(texts)
-            for a, b in slices(np.array([len(t) for t in texts]), SLICE_BYTES):
-                shingle, _, _ = weights(texts[a:b], np.ones(COUNTERS), size)
+            rows += batch.num_rows
+            for part in parts(batch, "text"):
+                shingle, _, _ = weights(text_bytes(part.column(0)), np.ones(COUNTERS), size)
                 total += np.bincount((shingle >> np.uint64(46)).astype(np.int64), minlength=COUNTERS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
@@ -112,14 +111,6 @@ def sampler(samples: int, seed: int) -> Sampler:
     return _SAMPLERS[samples, seed]
 
 
-def weighted_jaccard(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
-    """Sum of the smaller weights over sum of the larger; shingles are sorted and different."""
-    _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
-    low = np.minimum(x[1][i], y[1][j]).sum()
-    total = x[1].sum() + y[1].sum() - low
-    return float(low / total) if total else 0.0
-
-
 def near_documents(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -165,7 +156,7 @@ def near_documents(
             size[a + owner[start]] = np.add.reduceat(w, start)
         offsets = np.arange(len(texts) + 1, dtype=np.int32) * BANDS
         return pa.RecordBatch.from_arrays(
-            [*batch.columns[:3], pa.array([t is not None for t in batch.column(3)]), pa.array(size),
+            [*batch.columns[:3], batch.column(3).is_valid(), pa.array(size),
              pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.ravel()))],
             names=["id", "x1", "x2", "known", "size", "bands"],
         )
@@ -193,7 +184,7 @@ def near_documents(
             out += [(s[i:j], w[i:j]) for i, j in zip(cut[:-1], cut[1:], strict=True)]
         return out
 
-    at, _ = near_classes(buckets, fetch, prepare, weighted_jaccard, threshold)
+    at, _ = near_classes(buckets, fetch, prepare, threshold)
     named = distinct.select("x1", "x2", "rep").join(at.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select("x1", "x2", F.coalesce("class", "rep").alias("class"))
     classed = usable.select("id", "x1", "x2").join(named, ["x1", "x2"]).select("id", "class")
