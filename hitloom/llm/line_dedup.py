@@ -179,4 +179,4 @@ def dedup_lines(
         )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_batches(joined, run, f"{fields}, `{n_lines}` long, `{n_dropped}` long")
+    return map_batches(joined, run, f"{fields}, `{n_lines}` long, `{n_dropped}` long", text_col)
