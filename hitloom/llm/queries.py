@@ -145,8 +145,7 @@ def tokenizer_model() -> str:
 def tokens(docs: DataFrame) -> DataFrame:
     """`docs` without the text, with ids and end id, their number and digest, and the decoded text's digest."""
     model = tokenizer_model()
-    ids = sentencepiece_chunks.encode(docs, model, eos=True)
-    done = sentencepiece_chunks.decode(ids.drop("text"), model)
+    done = sentencepiece_chunks.encode_and_decode(docs, model, eos=True).drop("text")
     return done.withColumns(
         {
             "n_tokens": F.size("ids").cast("long"),

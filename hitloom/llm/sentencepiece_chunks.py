@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from hitloom.llm.common import fresh, slices
@@ -17,7 +18,7 @@ _CHUNK = re.compile(r" +[^ ]*")
 # Entries of a task's table; a full table starts anew, which costs time and changes no id.
 TABLE_ENTRIES = 150_000
 # Characters of the texts turned into ids at once.
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 500_000
 
 
 def _load(model: str):
@@ -198,3 +199,28 @@ def decode(df: DataFrame, model: str, ids_col: str = "ids", text_col: str = "dec
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     return df.mapInArrow(run, f"{fields}, `{name}` string")
+
+
+def encode_and_decode(
+    df: DataFrame, model: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded", eos: bool = True
+) -> DataFrame:
+    """:func:`encode` and then :func:`decode` of its ids in one pass, by one Python worker for each task."""
+    check_model(model)
+    names = fresh(df, ids_col, decoded_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, pieces = ChunkTable(model), PieceTable(model)
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index(text_col))
+            for a, b in slices(np.asarray(pc.fill_null(pc.utf8_length(column), 0)), SLICE_CHARS):
+                part = batch.slice(a, b - a)
+                ids, n = words.encode(column.slice(a, b - a).to_pylist(), eos)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+                text = pa.array(pieces.decode(ids, n), pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.ListArray.from_arrays(offsets, pa.array(ids)), text],
+                    names=[*batch.schema.names, *names],
+                )
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return df.mapInArrow(run, f"{fields}, `{names[0]}` array<int>, `{names[1]}` string")

@@ -65,6 +65,9 @@ def test_sentencepiece_equals_the_library(spark):
         want = sp.encode(r.text or "", add_eos=True)
         assert r.ids_ == want
         assert r.decoded == sp.decode(want)
+    both = sentencepiece_chunks.encode_and_decode(docs, model)
+    assert both.columns == done.columns
+    assert Counter(map(str, both.collect())) == Counter(map(str, done.collect()))
 
 
 def test_decoding_of_any_ids(spark):
