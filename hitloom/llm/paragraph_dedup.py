@@ -8,8 +8,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import fresh, map_batches, mix, shingle_hashes, slices, stage, words_of
+from hitloom.llm.common import discard, fresh, map_batches, mix, shingle_hashes, slices, stage, words_of
 from hitloom.llm.near_links import Items, near_classes
+from hitloom.llm.passages import cut_passages
 from hitloom.sizing import broadcast_if_small
 
 SLICE_BYTES = 500_000
@@ -74,10 +75,14 @@ def dedup_paragraphs(
     too; of each connected component the first paragraph (smallest id, then place) stays in its document
     and all others are removed, also where the component lies within one document.
 
-    All columns stay; the text holds the lines left, joined by ``\\n`` (null stays null); five follow, with
-    underscores where the name is taken: ``n_paragraphs`` (of `min_words` words), ``n_removed``, ``removed``
-    (places of the removed lines, from 0), ``removed_bytes`` and ``kept_in`` (the ids whose paragraphs
-    stayed for them). Rows that repeat id and text are one document. A null id is one that comes first.
+    Then passages go that repeat earlier ones word for word, inside a line or over lines of any length: runs of
+    at least `min_words` words of pieces that stand earlier (see :mod:`hitloom.llm.passages`). The words at the
+    ends of a passage, up to where its first piece starts and its last ends, stay.
+
+    All columns stay; the text holds what is left, lines joined by ``\\n`` (null stays null); five follow, with
+    underscores where the name is taken: ``n_paragraphs`` (of `min_words` words), ``n_removed`` (paragraphs and
+    passages), ``removed`` (places, from 0, of the lines that lost all or a part), ``removed_bytes`` and
+    ``kept_in`` (the ids whose paragraphs or pieces stayed for them). Rows that repeat id and text are one document. A null id is one that comes first.
     An empty table gives an empty table. Paragraphs are told apart by 128 bits and named by 64 of them.
 
     Equal paragraphs are one row with a count from the first shuffle on. See
@@ -167,4 +172,7 @@ def dedup_paragraphs(
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     kinds = ["long", "long", "array<long>", "long", "array<long>"]
-    return map_batches(joined, remove, f"{fields}, " + ", ".join(f"`{n}` {k}" for n, k in zip(more, kinds, strict=True)), text_col)
+    left = map_batches(joined, remove, f"{fields}, " + ", ".join(f"`{n}` {k}" for n, k in zip(more, kinds, strict=True)), text_col)
+    left = stage(left, "paragraphs_left")
+    discard(found, distinct, repeated)
+    return cut_passages(left, id_col, text_col, more[1:], min_words)

@@ -142,6 +142,28 @@ def test_short_lines_are_no_paragraphs(spark):
     assert {r.n_removed for r in paragraph_dedup.dedup_paragraphs(docs).collect()} == {0}
 
 
+def test_passages_inside_and_over_lines(spark):
+    passage = prose(55, 77)
+    w = passage.split()
+    texts = [
+        f"{prose(70, 1)} {passage} {prose(70, 2)}",
+        f"{prose(90, 3)} {passage.upper()}\n{prose(40, 4)}",
+        "\n".join([prose(30, 5), *[" ".join(w[i : i + 11]) for i in range(0, 55, 11)], prose(30, 6)]),
+        prose(200, 8),
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in paragraph_dedup.dedup_paragraphs(docs).collect()}
+    assert [got[i].n_removed for i in range(4)] == [0, 1, 1, 0]
+    assert got[0].text == texts[0] and got[3].text == texts[3]
+    assert got[1].removed == [0] and got[1].kept_in == [0] and set(got[2].removed) <= set(range(1, 6))
+    for i in (1, 2):
+        # what surrounds the passage stays, and of the passage a few words at its ends
+        assert got[i].removed_bytes >= 0.7 * len(passage)
+        left, rest = got[i].text.lower().split(), iter(texts[i].lower().split())
+        assert all(x in rest for x in left)
+        assert set(texts[i].lower().split()) - set(left) <= set(w)
+
+
 def _repeats(texts, size):
     seen = Counter(t[i : i + size] for t in texts for i in range(len(t) - size + 1))
     out = []
