@@ -33,8 +33,8 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five words, likeness 0.8 or more."""
-    return weighted_minhash.keep_one_of_each(docs, threshold=0.8, shingle=5)
+    """One document of each group of near copies stays: five words, likeness 0.8 or more, weighted or plain."""
+    return weighted_minhash.keep_one_of_each(docs, threshold=0.8, shingle=5, plain=True)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,10 +37,19 @@ def likeness(x: Items, y: Items) -> float:
     return float(low / total) if total else 0.0
 
 
+def plain_likeness(x: Items, y: Items) -> float:
+    """Jaccard of the items without their weights."""
+    both = len(np.intersect1d(x[0], y[0], assume_unique=True))
+    total = len(x[0]) + len(y[0]) - both
+    return both / total if total else 0.0
+
+
 class Index:
     """Inverted index of some texts."""
 
-    def __init__(self, texts: list[Items]):
+    def __init__(self, texts: list[Items], plain: bool = False):
+        if plain:
+            texts = [(t[0], np.ones(len(t[0]))) for t in texts]
         items = np.concatenate([t[0] for t in texts])
         order = np.argsort(items, kind="stable")
         self.items = items[order]
@@ -56,8 +65,12 @@ class Index:
         both = np.bincount(self.owner[at], np.minimum(self.weight[at], np.repeat(x[1], n)), len(self.total))
         return both / np.maximum(self.total + x[1].sum() - both, 1e-300)
 
-def compare(pairs: DataFrame, texts: DataFrame, prepare: Callable[[list[bytes]], list[Items]]) -> DataFrame:
-    """(a, b, sim) for each of `pairs` (a, b); `texts` is (id, text).
+
+def compare(
+    pairs: DataFrame, texts: DataFrame, prepare: Callable[[list[bytes]], list[Items]], plain: bool = False
+) -> DataFrame:
+    """(a, b, sim) for each of `pairs` (a, b); `texts` is (id, text). With `plain` the likeness is the larger
+    of the weighted one and that without weights.
 
     Members of a head are dealt to tasks by (head, salt) with as many salts as `SALT_ROWS` needs, and the
     head's text is sent once for each. A task holds one prepared head and streams its members.
@@ -82,7 +95,10 @@ def compare(pairs: DataFrame, texts: DataFrame, prepare: Callable[[list[bytes]],
                 if kind[i] == 0:
                     current, ready = (a[i], salt[i]), made[i]
                 elif current == (a[i], salt[i]):
-                    for column, value in zip(out, (a[i], b[i], likeness(ready, made[i])), strict=True):
+                    sim = likeness(ready, made[i])
+                    if plain:
+                        sim = max(sim, plain_likeness(ready, made[i]))
+                    for column, value in zip(out, (a[i], b[i], sim), strict=True):
                         column.append(value)
                 else:
                     raise ValueError("member without its head")
@@ -100,7 +116,11 @@ def compare(pairs: DataFrame, texts: DataFrame, prepare: Callable[[list[bytes]],
 
 
 def compare_blocks(
-    members: DataFrame, texts: DataFrame, prepare: Callable[[list[bytes]], list[Items]], threshold: float
+    members: DataFrame,
+    texts: DataFrame,
+    prepare: Callable[[list[bytes]], list[Items]],
+    threshold: float,
+    plain: bool = False,
 ) -> DataFrame:
     """(a, b, sim): links that join the classes of ids which share a bucket of `members` (bucket, id, class);
     of the links of a group that join the same classes one stands for all.
@@ -138,6 +158,7 @@ def compare_blocks(
         if not len(left) or not len(right):
             return found
         index = Index([ready[k] for k in right])
+        bare = Index([ready[k] for k in right], plain=True) if plain else None
         # links that join classes which earlier links of the group have joined say nothing new
         joined: dict[int, int] = {}
 
@@ -148,6 +169,8 @@ def compare_blocks(
 
         for i in left.tolist():
             sim = index.likeness(ready[i])
+            if bare is not None:
+                sim = np.maximum(sim, bare.likeness((ready[i][0], np.ones(len(ready[i][0])))))
             for k in np.flatnonzero((sim >= threshold) & (kind[right] != kind[i])).tolist():
                 j = int(right[k])
                 x, y = root(c["class"][i]), root(c["class"][j])
@@ -180,12 +203,14 @@ def near_classes(
     prepare: Callable[[list[bytes]], list[Items]],
     threshold: float,
     slack: float = 1e-9,
+    plain: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(id, class) of the ids that are linked, and the verified links (a, b, sim).
 
     `buckets` is (bucket, id, size): texts that share a bucket are possible partners. `size` bounds the
     likeness of two texts from above by (smaller / larger). `fetch` gives (id, text) for a table of ids,
-    those that share a bucket. `prepare` turns texts into items and weights.
+    those that share a bucket. `prepare` turns texts into items and weights. With `plain` texts are linked
+    too whose likeness without weights is at least the threshold; `size` is that of the bucket's own measure.
     """
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
     member = stage(buckets.join(shared, "bucket"), "bucket_members")
@@ -194,7 +219,7 @@ def near_classes(
     head = member.groupBy("bucket").agg(F.min(F.struct(F.col("id").alias("head"), F.col("size").alias("head_size"))).alias("h"))
     pairs = member.join(head.select("bucket", "h.head", "h.head_size"), "bucket").filter("id != head").filter(bound)
     pairs = pairs.select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
-    links = stage(compare(pairs, texts, prepare).filter(F.col("sim") >= threshold), "head_links")
+    links = stage(compare(pairs, texts, prepare, plain).filter(F.col("sim") >= threshold), "head_links")
     at = classes(links)
     # buckets that still hold more than one class; two ids have been compared
     own = member.join(at, "id", "left").select("bucket", "id", F.coalesce("class", "id").alias("class"))
@@ -202,7 +227,7 @@ def near_classes(
         F.min("class").alias("lo"), F.max("class").alias("hi"), F.count(F.lit(1)).alias("n")
     )
     open_ = stage(own.join(mixed.filter("lo != hi and n > 2").select("bucket"), "bucket"), "open_buckets")
-    more = stage(compare_blocks(open_, texts, prepare, threshold), "block_links")
+    more = stage(compare_blocks(open_, texts, prepare, threshold, plain), "block_links")
     if more.isEmpty():
         return at, links
     links = links.unionByName(more)

@@ -202,7 +202,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return weighted_minhash.near_documents(docs, threshold=0.8, shingle=5)
+    return weighted_minhash.near_documents(docs, threshold=0.8, shingle=5, plain=True)
 
 
 @query

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from hitloom.llm.common import fresh, map_batches, mix, parts, shingle_hashes, slices, stage, text_bytes, text_key
 from hitloom.llm.near_links import near_classes
+from hitloom.llm.paragraph_dedup import BANDS as PLAIN
+from hitloom.llm.paragraph_dedup import signatures
 from hitloom.sizing import broadcast_if_small
 
 # Counters of document frequencies; a shingle's frequency is that of its counter.
@@ -118,6 +120,7 @@ def near_documents(
     threshold: float = 0.8,
     shingle: int = 5,
     seed: int = 11,
+    plain: bool = False,
 ) -> DataFrame:
     """(id, class, kept): documents whose texts have a weighted Jaccard likeness >= `threshold` over the
     TF-IDF weights of their runs of `shingle` words are linked; linked documents are a class, named by its
@@ -130,6 +133,10 @@ def near_documents(
     and ``kept`` is true). Rows that repeat an id and a text are all kept or all dropped. Other columns are
     left out, an empty table gives an empty table.
 
+    With `plain` documents are linked too whose sets of shingles have a Jaccard likeness >= `threshold`: in a
+    large group of copies the shared shingles weigh little, so copies of plain likeness 0.8 are less alike by
+    weight. Their candidates share one of the bands of :func:`hitloom.llm.paragraph_dedup.signatures`.
+
     Equal texts are compared once. Candidates share one of `BANDS` bands of `ROWS` samples; see
     :mod:`hitloom.llm.near_links` for large groups.
     """
@@ -143,6 +150,7 @@ def near_documents(
         texts = text_bytes(batch.column(3))
         bands = np.zeros((len(texts), BANDS), dtype=np.int64)
         size = np.zeros(len(texts))
+        more, items = np.zeros((len(texts), PLAIN if plain else 0), dtype=np.int64), np.zeros(len(texts))
         for a, b in slices(np.array([len(t) for t in texts]), SLICE_BYTES):
             s, owner, w = weights(texts[a:b], shared.value, shingle)
             if not len(s):
@@ -154,21 +162,33 @@ def near_documents(
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) ^ words[:, :, r])
             bands[a + owner[start]] = key.view(np.int64)
             size[a + owner[start]] = np.add.reduceat(w, start)
+            if plain:
+                more[a + owner[start]], items[a + owner[start]] = signatures(texts[a:b], shingle, seed)
+        also = np.arange(len(texts) + 1, dtype=np.int32) * more.shape[1]
         offsets = np.arange(len(texts) + 1, dtype=np.int32) * BANDS
         return pa.RecordBatch.from_arrays(
             [*batch.columns[:3], batch.column(3).is_valid(), pa.array(size),
-             pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.ravel()))],
-            names=["id", "x1", "x2", "known", "size", "bands"],
+             pa.ListArray.from_arrays(pa.array(offsets), pa.array(bands.ravel())), pa.array(items),
+             pa.ListArray.from_arrays(pa.array(also), pa.array(more.ravel()))],
+            names=["id", "x1", "x2", "known", "size", "bands", "items", "plain"],
         )
 
     signed = stage(
-        map_batches(rows, sign, "id long, x1 long, x2 long, known boolean, size double, bands array<long>"), "signed"
+        map_batches(
+            rows, sign,
+            "id long, x1 long, x2 long, known boolean, size double, bands array<long>, items double, plain array<long>",
+        ),
+        "signed",
     )
     usable = signed.filter("known and id is not null")
     # one row for each different text; its smallest id stands for it
-    distinct = usable.groupBy("x1", "x2").agg(F.min("id").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands"))
+    distinct = usable.groupBy("x1", "x2").agg(F.min("id").alias("rep"), F.first(F.struct("size", "bands", "items", "plain")).alias("s")).select("x1", "x2", "rep", "s.*")
     distinct = stage(distinct, "distinct_texts")
-    buckets = distinct.filter("size > 0").select(F.explode("bands").alias("bucket"), F.col("rep").alias("id"), "size")
+    worded = distinct.filter("size > 0")
+    buckets = worded.select(F.explode("bands").alias("bucket"), F.col("rep").alias("id"), "size")
+    if plain:
+        bare = worded.select(F.explode("plain").alias("bucket"), F.col("rep").alias("id"), F.col("items").alias("size"))
+        buckets = buckets.unionByName(bare)
 
     def fetch(ids: DataFrame) -> DataFrame:
         wanted = ids.join(distinct.select(F.col("rep").alias("id"), "x1", "x2"), "id")
@@ -184,7 +204,7 @@ def near_documents(
             out += [(s[i:j], w[i:j]) for i, j in zip(cut[:-1], cut[1:], strict=True)]
         return out
 
-    at, _ = near_classes(buckets, fetch, prepare, threshold)
+    at, _ = near_classes(buckets, fetch, prepare, threshold, plain=plain)
     named = distinct.select("x1", "x2", "rep").join(at.withColumnRenamed("id", "rep"), "rep", "left")
     named = named.select("x1", "x2", F.coalesce("class", "rep").alias("class"))
     classed = usable.select("id", "x1", "x2").join(named, ["x1", "x2"]).select("id", "class")

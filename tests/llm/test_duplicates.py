@@ -94,6 +94,17 @@ def test_near_documents(spark):
     assert {r.doc_id for r in left.collect()} == {k for k, c in want if k == c}
 
 
+def test_plain_copies_of_a_large_group_are_linked(spark):
+    # 40 copies of a text, each with 2 words of its own: 90 of 100 shingles shared, 10 rare
+    base = prose(104, 21).split()
+    copies = [" ".join([*base[:30], f"own{i}", *base[31:70], f"mine{i}", *base[71:]]) for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate([*copies, *[prose(104, 300 + i) for i in range(40)]])), "doc_id long, text string")
+    weighted = weighted_minhash.near_documents(docs)
+    assert len({r["class"] for r in weighted.collect() if r.doc_id < 40}) > 1
+    out = {r.doc_id: r["class"] for r in weighted_minhash.near_documents(docs, plain=True).collect()}
+    assert {out[i] for i in range(40)} == {0} and all(out[i] == i for i in range(40, 80))
+
+
 def test_buckets_of_several_classes_lose_no_link(spark, monkeypatch):
     # a chain: each text is like its neighbours only, so no head links all
     words = prose(400, 3).split()
