@@ -18,6 +18,10 @@ SLICE_BYTES = 500_000
 # Letters of a text fall in three overlapping trigrams, so a trigram counts as a third of a draw.
 OVERLAP = 3.0
 
+# Texts of a label that the fitting sample takes at least, on average; range of the hashes that choose them.
+LEAST = 40
+RANGE = 1 << 40
+
 # A-Z folded; other ASCII than letters is one separator; bytes of non-ASCII letters stay.
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -64,15 +68,23 @@ class LanguageModel:
 def train(labelled: DataFrame, text: Column, language: Column, sample: int = 4000) -> LanguageModel:
     """A model from about `sample` labelled rows, chosen by the hash of their text.
 
+    Up to `sample` rows all are used. Of more, each label gets an equal part of the sample, but `LEAST` at
+    least, out of its different texts: copies count once, and a label with fewer texts is used whole.
     The bound is on rows used for fitting only; which rows are scored and all priors are counted over
     every row. Counts are summed in the tasks; the driver gets at most `BINS` numbers per language.
     Rows without language or text are not used; no row at all gives a model without languages.
     """
     rows = labelled.select(language.cast("string").alias("lang"), text.cast("string").alias("text"))
     rows = rows.filter("lang is not null and text is not null")
-    share = sample / max(rows.count(), 1)
-    if share < 1:
-        rows = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+    if rows.count() > sample:
+        rows = rows.withColumn("h", F.xxhash64("text"))
+        per = stage(rows.select("lang", "h").distinct().groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "labels")
+        quota = max(sample / max(per.count(), 1), LEAST)
+        # all texts of a label up to its quota, then those of the smallest hashes
+        limit = F.when(F.col("n") <= quota, F.lit(RANGE)).otherwise((F.lit(float(RANGE)) * quota / F.col("n")).cast("long"))
+        per = per.select(F.col("lang").alias("label"), limit.alias("limit"))
+        rows = rows.join(broadcast_if_small(per), rows["lang"] == per["label"])
+        rows = rows.filter(F.pmod("h", F.lit(RANGE)) < F.col("limit")).dropDuplicates(["lang", "h"]).select("lang", "text")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         names = np.array(batch.column(0).to_pylist(), dtype=object)

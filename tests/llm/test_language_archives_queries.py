@@ -12,7 +12,7 @@ from hitloom.llm import language_id, line_dedup, mixing, queries, sentencepiece_
 from hitloom.llm.common import stage
 from pyspark.sql import functions as F
 
-from .helpers import awkward_texts, documents
+from .helpers import awkward_texts, documents, prose
 
 SF = "/root/testdata/sf0.001"
 
@@ -198,3 +198,11 @@ def test_pipeline(spark):
         assert r.ids[-1] == sp.eos_id() and r.n_tokens == len(r.ids)
         assert hashlib.sha256(sp.decode(r.ids).encode()).hexdigest() == r.decoded_sha256
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF).collect()} == {r.doc_id for r in rows}
+
+
+def test_rare_and_copied_languages_are_fitted(spark):
+    texts = [("aa", prose(12, i)) for i in range(3000)] + [("zz", f"žluť kůň {i}") for i in range(3)]
+    texts += [("cc", "une phrase copiée partout")] * 1500
+    rows = spark.createDataFrame(texts, "lang string, text string")
+    model = language_id.train(rows, F.col("text"), F.col("lang"), sample=60)
+    assert model.languages == ["aa", "cc", "zz"]
