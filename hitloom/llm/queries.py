@@ -29,7 +29,10 @@ def sha256(text: str) -> F.Column:
 
 
 def source_tree() -> tuple[list[F.Column], list[F.Column]]:
-    """Levels (domain, language, source) and their weights; sources are dealt to four domains by number."""
+    """Levels (domain, language, source) and their weights; sources are dealt to four domains by number.
+
+    A source that is null or has no digits has no domain and weight 0: its documents are left out.
+    """
     domain = F.concat(F.lit("d"), F.regexp_extract("source", r"(\d+)", 1).try_cast("int") % 4)
     weight = F.when(domain == "d0", 4.0).when(domain == "d1", 3.0).when(domain == "d2", 2.0).when(domain == "d3", 1.0)
     lang = F.when(F.col("lang") == "en", 2.0).otherwise(1.0)
