@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import cross_polytope, fingerprints, language_id, line_dedup, mixing, paragraph_dedup, sentencepiece_chunks, suffix_dedup, warc_zst, weighted_minhash
+from hitloom.llm import cross_polytope, fingerprints, language_id, license_scan, line_dedup, mixing, paragraph_dedup, sentencepiece_chunks, suffix_dedup, warc_zst, weighted_minhash
 from hitloom.llm.common import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,3 +227,71 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(docs, size=200).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), "spans"
     )
+
+
+@query
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return scanned.drop("places")
+
+
+def _license_sql() -> str:
+    """The scan in SQL; templates and phrases are written out as lists."""
+
+    def listed(words: list[str]) -> str:
+        return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+    templates = ", ".join(f"({i}, '{t.label}', {listed(t.words)})" for i, t in enumerate(license_scan.TEMPLATES))
+    phrases = ", ".join(
+        f"({i}, {listed(license_scan.words_of(p))})" for i, t in enumerate(license_scan.TEMPLATES) for p in t.phrases
+    )
+    base = ", ".join(f"('{label}', {listed(license_scan.words_of(p))})" for p, label in license_scan.BASE.items())
+    return rf"""
+WITH template(t, label, words) AS (VALUES {templates}),
+phrase(t, words) AS (VALUES {phrases}),
+base(label, words) AS (VALUES {base}),
+d AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(
+    translate(coalesce(text, ''), '{license_scan.UPPER}', '{license_scan.LOWER}'), '{license_scan.WORD}') AS ws
+  FROM documents),
+w AS (SELECT r, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM d),
+tw AS (SELECT t, unnest(words) AS word, unnest(range(len(words))) AS pos FROM template),
+first_of AS (SELECT t, word, min(pos) AS off FROM tw GROUP BY t, word),
+df AS (SELECT word, count(DISTINCT r) AS df FROM w WHERE word IN (SELECT word FROM tw) GROUP BY word),
+n AS (SELECT count(*) AS n FROM d),
+weighed AS (
+  SELECT t, word, off, floor(1000 * ln((2 * n.n + 2) / (2 * coalesce(df, 0) + 1)))::BIGINT AS idf
+  FROM first_of LEFT JOIN df USING (word), n),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY idf DESC, word) AS rk FROM weighed),
+anchor AS (SELECT t, word, off, greatest(idf, 1) AS weight FROM ranked WHERE rk <= {license_scan.ANCHORS}),
+total AS (SELECT t, sum(weight) AS total FROM anchor GROUP BY t),
+lead_of AS (
+  SELECT t, arg_min(word, rk) AS word, arg_min(off, rk) AS off FROM ranked
+  WHERE (t, word) IN (SELECT t, unnest(words) FROM phrase) GROUP BY t),
+place AS (SELECT DISTINCT r, t, pos - off AS origin FROM w JOIN lead_of USING (word)),
+found AS (
+  SELECT DISTINCT p.r, p.t, origin, a.word, weight FROM place p JOIN anchor a ON a.t = p.t
+  JOIN w ON w.r = p.r AND w.word = a.word AND w.pos BETWEEN origin + off - {license_scan.SLACK} AND origin + off + {license_scan.SLACK}),
+scored AS (
+  SELECT r, t, origin, sum(weight) / any_value(total) AS score FROM found JOIN total USING (t)
+  GROUP BY r, t, origin HAVING sum(weight) / any_value(total) >= {license_scan.COVERAGE}),
+checked AS (
+  SELECT r, t, any_value(label) AS label, any_value(score) AS score
+  FROM scored JOIN d USING (r) JOIN template USING (t) JOIN phrase p USING (t)
+  GROUP BY r, t, origin
+  HAVING bool_and(len(list_filter(range(greatest(origin - {license_scan.SLACK}, 0), origin + len(template.words) + {license_scan.SLACK + 1}),
+    lambda q: ws[q + 1 : q + len(p.words)] = p.words)) > 0)),
+of_method AS (SELECT r, list(DISTINCT label) AS labels, max(score) AS score FROM checked GROUP BY r),
+hit AS (
+  SELECT r, label, unnest(list_filter(range(len(ws)), lambda q: ws[q + 1 : q + len(words)] = words)) AS start
+  FROM d, base),
+of_base AS (
+  SELECT r, count(*) AS n, min(start) AS lo, max(start) AS hi, list(DISTINCT label) AS labels FROM hit GROUP BY r)
+SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_base, lo AS first_word, hi AS last_word,
+  coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(m.labels, [])))), ',') AS labels,
+  CASE WHEN n > 0 THEN 1.0::DOUBLE ELSE coalesce(score, 0.0) END AS score
+FROM d LEFT JOIN of_base b USING (r) LEFT JOIN of_method m USING (r)"""
+
+
+SQL["op13_licenses"] = _license_sql()
