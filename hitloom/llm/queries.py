@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import cross_polytope, fingerprints, language_id, license_scan, line_dedup, mixing, paragraph_dedup, sentencepiece_chunks, suffix_dedup, warc_zst, weighted_minhash
+from hitloom.llm import cross_polytope, dual_tree, fingerprints, language_id, license_scan, line_dedup, mixing, paragraph_dedup, sentencepiece_chunks, suffix_dedup, warc_zst, weighted_minhash
 from hitloom.llm.common import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -295,3 +295,37 @@ FROM d LEFT JOIN of_base b USING (r) LEFT JOIN of_method m USING (r)"""
 
 
 SQL["op13_licenses"] = _license_sql()
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dual_tree.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+SQL["op12_ranked_search"] = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+d AS (SELECT r, doc_id, len(ws)::BIGINT AS n FROM words WHERE len(ws) > 0),
+s AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM d),
+i AS (
+  SELECT item_id, row_number() OVER () AS i, list_distinct(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS ws
+  FROM benchmark),
+it AS (SELECT i, item_id, unnest(ws) AS term FROM i),
+t AS (SELECT r, unnest(ws) AS term FROM words),
+tf AS (SELECT r, term, count(*)::BIGINT AS tf FROM t WHERE term IN (SELECT term FROM it) GROUP BY r, term),
+w AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tf, s GROUP BY term),
+x AS (
+  SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))) AS gain
+  FROM tf JOIN w USING (term) JOIN d USING (r), s),
+g AS (SELECT i, item_id, r, doc_id, sum(gain)::BIGINT AS score FROM it JOIN x USING (term) GROUP BY i, item_id, r, doc_id),
+k AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM g WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10"""
