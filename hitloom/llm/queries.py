@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm import cross_polytope, dual_tree, fingerprints, language_id, license_scan, line_dedup, mixing, paragraph_dedup, sentencepiece_chunks, suffix_dedup, warc_zst, weighted_minhash
+from hitloom.llm import cross_polytope, dual_tree, fingerprints, language_id, license_scan, line_dedup, mixing, paragraph_dedup, sentencepiece_chunks, suffix_dedup, warc_zst, weighted_minhash, whitening
 from hitloom.llm.common import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -329,3 +329,8 @@ k AS (
   SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
   FROM g WHERE score > 0)
 SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10"""
+
+
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), most=16)
