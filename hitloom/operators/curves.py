@@ -1,88 +1,72 @@
-"""Piecewise linear conversion curves as one equality join."""
+"""Piecewise linear conversion curves: one row a curve, searched by bisection."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hitloom.sizing import BROADCAST_ROWS
 
 
-# Pieces of a curve in a cell above which the cell is cut once more.
-CROWDED = 4
-
+def curve_arrays(points: DataFrame) -> DataFrame:
+    """``table, _xs, _ys``: each curve in one row, its points ordered by x, then y.  A point without x is none."""
+    ordered = F.sort_array(F.collect_list(F.struct("x", "y"))).alias("_points")
+    curves = points.filter(F.col("x").isNotNull()).groupBy("table").agg(ordered)
+    return curves.select("table", F.col("_points.x").alias("_xs"), F.col("_points.y").alias("_ys"))
 
-def cell(x: Column, low: Column, high: Column, cells: Column) -> Column:
-    """Which of `cells` equal cells from `low` to `high` has `x`; values outside belong to the first or
-    last one.  It never falls as `x` grows."""
-    inside = F.least(F.greatest(x, low), high)
-    number = F.floor((inside - low) / (high - low) * cells)
-    return F.when(high <= low, F.lit(0).cast("long")).otherwise(F.least(number, cells - 1))
 
+@dataclass(frozen=True)
+class Curves:
+    """Curves in rows (``_curve, _xs, _ys``), whether they are few, and the points of the longest."""
 
-def curve_limits(points: DataFrame) -> DataFrame:
-    """``table, _low, _high, _n``: range and number of points of each curve, the layout of its cells."""
-    return points.groupBy("table").agg(
-        F.min("x").alias("_low"), F.max("x").alias("_high"), F.count("x").alias("_n")
-    )
-
+    rows: DataFrame
+    small: bool
+    longest: int
 
-def curve_segments(points: DataFrame, limits: DataFrame) -> DataFrame:
-    """Pieces ``[_from, _to)`` of each curve with their line, repeated for each cell they touch.
 
-    A curve has as many cells as points, over its own range, so a dense curve beside a wide one keeps a
-    piece or two for each cell.
+def read_curve_points(points: DataFrame) -> Curves:
+    """Curves ready for :func:`look_up`.
 
-    A level piece before the first point and one from the last point on make each curve cover the
-    whole axis.  NaN, which Spark sorts above all numbers, is the open upper end.
+    At most ``BROADCAST_ROWS + 1`` points are fetched; if that is all of them they are read no more.
     """
-    along = Window.partitionBy("table").orderBy("x")
-    x, y = F.col("x"), F.col("y")
-    next_x, next_y = F.lead("x").over(along), F.lead("y").over(along)
-    known = points.select(
-        "table", "x", "y", next_x.alias("_x"), next_y.alias("_y"), F.lag("x").over(along).alias("_p")
-    )
-    slope = (F.col("_y") - y) / (F.col("_x") - x)
-
-    def piece(start: Column, end: Column, slope: Column) -> Column:
-        return F.struct(
-            start.alias("_from"), end.alias("_to"), x.alias("_x0"), y.alias("_y0"), slope.alias("_slope")
-        )
-
-    level = F.lit(0.0)
-    before = piece(F.lit(float("-inf")), x, level)
-    after = piece(
-        x,
-        F.coalesce("_x", F.lit(float("nan"))),
-        F.when(F.col("_x").isNull(), level).otherwise(slope),
+    points = points.select("table", "x", "y")
+    head = points.limit(BROADCAST_ROWS + 1).toArrow()
+    small = head.num_rows <= BROADCAST_ROWS
+    if small:
+        numbers = head.column("table").combine_chunks().value_counts().field("counts").to_pylist()
+        longest = max(numbers, default=0)
+        # a table known to be small needs no shuffle to be grouped
+        points = points.sparkSession.createDataFrame(head, points.schema).coalesce(1)
+    else:
+        longest = points.groupBy("table").agg(F.count("x").alias("n")).agg(F.max("n")).first()[0]
+    return Curves(curve_arrays(points).withColumnRenamed("table", "_curve"), small, longest)
+
+
+def curve_value(value: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Value of a curve between two neighbouring points: level below the first and from the last one on,
+    where `x1` is null; null for null, NaN for NaN."""
+    slope = (y1 - y0) / (x1 - x0)
+    return (
+        F.when(F.isnan(value), value)
+        .when((value < x0) | x1.isNull() | (y1 == y0), y0)
+        .otherwise(y0 + slope * (value - x0))
     )
-    pieces = F.when(F.col("_p").isNull(), F.array(before, after)).otherwise(F.array(after))
-    size = [F.col("_low"), F.col("_high"), F.col("_n")]
-    cells = F.sequence(cell(F.col("_from"), *size), cell(F.col("_to"), *size))
-    placed = known.select("table", F.inline(pieces)).join(limits, "table")
-    return placed.withColumn("_cell", F.explode(cells))
-
 
-def crowded_cells(segments: DataFrame) -> DataFrame:
-    """``table, _cell, _edges``: cells of many pieces, and where they are cut in parts of about as many
-    pieces as there are parts, so that points that crowd at one place of a curve are dealt evenly."""
-    starts = F.sort_array(F.collect_list("_from"))
-    cells = segments.groupBy("table", "_cell").agg(starts.alias("_starts")).filter(F.size("_starts") > CROWDED)
-    step = F.ceil(F.sqrt(F.size("_starts")))
-    return cells.select("table", "_cell", F.filter("_starts", lambda v, i: i % step == 0).alias("_edges"))
 
-
-def _part(x: Column) -> Column:
-    """Part of `x` within its crowded cell, 0 in other cells; it never falls as `x` grows."""
-    number = F.size(F.filter("_edges", lambda e: e <= x))
-    return F.when(F.col("_edges").isNull(), F.lit(0)).otherwise(number)
-
-
-def split_crowded(segments: DataFrame, crowded: DataFrame) -> DataFrame:
-    """`segments` repeated for each part of a crowded cell they touch, in ``_part``."""
-    parts = F.sequence(_part(F.col("_from")), _part(F.col("_to")))
-    placed = segments.join(crowded, ["table", "_cell"], "left")
-    return placed.withColumn("_part", F.explode(parts)).drop("_edges")
+def look_up(df: DataFrame, curves: Curves, x: str, output: str, table: str) -> DataFrame:
+    """:func:`interpolate` with curves that are ready."""
+    placed = df.withColumns({"_v": F.col(x).cast("double"), "_of": F.col(table)})
+    rows = F.broadcast(curves.rows) if curves.small else curves.rows
+    placed = placed.join(rows, F.col("_of") == F.col("_curve"), "left").withColumn("_at", F.lit(0))
+    step = 1 << max(curves.longest - 1, 0).bit_length() >> 1
+    while step:
+        further = F.get("_xs", F.col("_at") + step) <= F.col("_v")
+        placed = placed.withColumn("_at", F.when(further, F.col("_at") + step).otherwise(F.col("_at")))
+        step >>= 1
+    ends = [F.get(axis, F.col("_at") + i) for i in (0, 1) for axis in ("_xs", "_ys")]
+    return placed.select(*[F.col(c) for c in df.columns], curve_value(F.col("_v"), *ends).alias(output))
 
 
 def interpolate(
@@ -90,49 +74,9 @@ def interpolate(
 ) -> DataFrame:
     """Add `output`, the value at `x` of the curve named in column `table`.
 
-    Linear between the points, the end value outside, null for null or for an unknown curve.  Every
-    row meets the few pieces of its cell, and of its part of a crowded cell, through an equality join,
-    and exactly one of them contains it, so rows are neither lost nor repeated.
+    Linear between the points, the end value outside, null for null or for an unknown curve.  A row meets its
+    curve by one equality join, so rows are neither lost nor repeated, and finds the last point not above
+    it by bisection: each step is one comparison with an element of the sorted array, and there are as many
+    as the longest curve needs.  Curves are broadcast as long as all their points are few.
     """
-    size = points.agg(F.count("x").alias("points"), F.count_distinct("table").alias("tables")).first()
-    # A level piece per curve and, on average, two cells per piece; as much again for crowded cells.
-    small = 4 * size.points + 6 * size.tables <= BROADCAST_ROWS
-    # A table known to be small needs no shuffle to be ordered.
-    points = points.coalesce(1) if small else points
-
-    def sent(table: DataFrame) -> DataFrame:
-        return F.broadcast(table) if small else table
-
-    limits = sent(curve_limits(points))
-    segments = curve_segments(points, limits)
-    crowded = sent(crowded_cells(segments))
-    pieces = split_crowded(segments, crowded).drop("_low", "_high", "_n")
-    value = F.col("_v")
-    rows = df.withColumns({"_v": F.col(x).cast("double"), "_of": F.col(table)})
-    placed = rows.join(limits, rows["_of"] == limits["table"], "left").drop(limits["table"])
-    placed = placed.withColumn(
-        "_at", F.when(value.isNotNull(), cell(value, F.col("_low"), F.col("_high"), F.col("_n")))
-    )
-    placed = placed.join(
-        sent(crowded.withColumnsRenamed({"table": "_ct", "_cell": "_cc"})),
-        (F.col("_of") == F.col("_ct")) & (F.col("_at") == F.col("_cc")),
-        "left",
-    ).drop("_ct", "_cc")
-    placed = placed.withColumn("_cell", F.col("_at")).withColumn("_in", _part(value)).drop("_cell")
-    pieces = pieces.withColumnRenamed("table", "_pt")
-    found = placed.join(
-        sent(pieces),
-        (F.col("_of") == F.col("_pt"))
-        & (F.col("_at") == F.col("_cell"))
-        & (F.col("_in") == F.col("_part"))
-        & (value >= F.col("_from"))
-        & (value < F.col("_to")),
-        "left",
-    )
-    on_line = F.col("_y0") + F.col("_slope") * (value - F.col("_x0"))
-    result = (
-        F.when(F.isnan(value), value)
-        .when(F.col("_slope") == 0, F.col("_y0"))
-        .otherwise(on_line)
-    )
-    return found.select(*[F.col(c) for c in df.columns], result.alias(output))
+    return look_up(df, read_curve_points(points), x, output, table)

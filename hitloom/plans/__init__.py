@@ -1,5 +1,6 @@
 from hitloom.plans.batch import run_batch
 from hitloom.plans.layout import Layout
+from hitloom.plans.local import strip_local, two_sided_local, wire_local
 from hitloom.plans.pulses import calibrated_pulses
 from hitloom.plans.strip import STRIP_PLANES, StripPlane, strip_plan
 from hitloom.plans.trigger import trigger_plan
@@ -13,8 +14,11 @@ __all__ = [
     "TwoSided",
     "calibrated_pulses",
     "run_batch",
+    "strip_local",
     "strip_plan",
     "trigger_plan",
+    "two_sided_local",
     "two_sided_plan",
+    "wire_local",
     "wire_plan",
 ]

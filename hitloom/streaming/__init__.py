@@ -1,3 +1,3 @@
-from hitloom.streaming.run import decode_stream, read_kafka, run_stream, unique_events
+from hitloom.streaming.run import decode_stream, read_kafka, run_local, run_stream, unique_events
 
-__all__ = ["decode_stream", "read_kafka", "run_stream", "unique_events"]
+__all__ = ["decode_stream", "read_kafka", "run_local", "run_stream", "unique_events"]

@@ -87,3 +87,28 @@ def run_stream(
     if trigger is not None:
         writer = writer.trigger(**trigger)
     return writer.start()
+
+
+def run_local(
+    events: DataFrame,
+    plan: Callable[[DataFrame], DataFrame],
+    output: str,
+    checkpoint: str,
+    dedup: bool = False,
+    lateness: str = LATENESS,
+    event_key: str = EVENT_KEY,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Append ``plan(events)`` to the Parquet table `output`, for plans that keep an event in its row
+    (:mod:`hitloom.plans.local`).
+
+    There is no batch function: the rows of a batch go from the source to the file in one stage, and the file
+    sink's log shows readers whole batches only.
+    """
+    if dedup:
+        events = unique_events(events, lateness, event_key)
+    writer = plan(events).writeStream.format("parquet").outputMode("append")
+    writer = writer.option("checkpointLocation", checkpoint).option("path", output)
+    if trigger is not None:
+        writer = writer.trigger(**trigger)
+    return writer.start()

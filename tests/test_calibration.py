@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from hitloom.operators import interpolate, linear_calib, linear_calib_array, to_float
 from hitloom.sources.curves import drop_plateaus
-from hitloom.operators.curves import crowded_cells, curve_limits, curve_segments, split_crowded
-from tests.conftest import rows
+from hitloom.operators import curves as curve_module
+from tests.conftest import plan_tree, rows
 
 
 def test_mid_dither_is_linear(spark):
@@ -87,23 +87,26 @@ def test_interpolation_equals_numpy(spark, threshold, monkeypatch):
             assert got[name, i] == pytest.approx(float(np.interp(v, *tables[name])), abs=1e-12)
 
 
-def test_cells_of_uneven_curves_stay_small(spark):
+@pytest.mark.parametrize("bound", [None, 10])
+def test_uneven_curves_take_one_join(spark, monkeypatch, bound):
+    if bound:
+        monkeypatch.setattr(curve_module, "BROADCAST_ROWS", bound)
     dense = [("dense", 1.0 + i / 1e6, float(i)) for i in range(20_000)]
     wide = [("wide", -1e6, 0.0), ("wide", 1e6, 1.0)]
     # most points of this one crowd at one end
     bent = [("bent", 10.0 ** (-6 + 8 * i / 2000), float(i)) for i in range(2000)]
-    points = spark.createDataFrame(dense + wide + bent, "table string, x double, y double")
-    limits = curve_limits(points)
-    segments = curve_segments(points, limits)
-    pieces = split_crowded(segments, crowded_cells(segments))
-    most = pieces.groupBy("table", "_cell", "_part").count().groupBy("table").agg({"count": "max"}).collect()
-    assert dict(map(tuple, most))["dense"] <= 5 and dict(map(tuple, most))["wide"] <= 5
-    assert dict(map(tuple, most))["bent"] <= 2 * 2000**0.5
+    odd = [("odd", None, 5.0), ("odd", 1.0, 1.0), ("odd", 1.0, 2.0), ("odd", 3.0, 4.0), ("none", None, 1.0)]
+    points = spark.createDataFrame(dense + wide + bent + odd, "table string, x double, y double")
     values = [(t, 1.0 + i / 997e3) for i in range(500) for t in ("dense", "wide", "bent")]
     df = spark.createDataFrame(values, "table string, v double")
     curves = {n: ([p[1] for p in c], [p[2] for p in c]) for n, c in (("dense", dense), ("wide", wide), ("bent", bent))}
-    for r in interpolate(df, points, "v", "y").collect():
+    found = interpolate(df, points, "v", "y")
+    tree = plan_tree(found)
+    assert tree.count("Join") == 1 and "Window" not in tree and ("Broadcast" in tree) == (bound is None)
+    for r in found.collect():
         assert r.y == pytest.approx(float(np.interp(r.v, *curves[r.table])), abs=1e-6)
+    edge = spark.createDataFrame([("odd", 0.0), ("odd", 1.0), ("odd", 2.0), ("odd", 9.0), ("none", 1.0)], "table string, v double")
+    assert [r.y for r in interpolate(edge, points, "v", "y").orderBy("table", "v").collect()] == [None, 1.0, 2.0, 3.0, 4.0]
 
 
 def test_plateaus_keep_their_first_point(spark):

@@ -477,6 +477,8 @@ LEFT JOIN top2 y ON y.event_id = e.event_id AND y.cat = 'p0y'""",
         "q_strip_full": STRIP_FULL,
         "q_strip_full_spread": STRIP_FULL,
         "q_strip_batch": STRIP_FULL,
+        "q_strip_local": STRIP_FULL,
+        "q_strip_local_short": strip_short("INNER"),
         "q_strip_short": strip_short("LEFT"),
         "q_strip_require": strip_short("INNER"),
         "q_two_sided": two_sided_rows("pulses", "-2000", "2000", False, "pulses"),
@@ -485,7 +487,9 @@ LEFT JOIN top2 y ON y.event_id = e.event_id AND y.cat = 'p0y'""",
         "q_two_sided_short": two_sided_event(False, False),
         "q_two_sided_require": two_sided_event(False, True),
         "q_two_sided_spread": two_sided_event(True, False),
+        "q_two_sided_local": two_sided_event(True, False),
         "q_wire": _wire(False),
+        "q_wire_local": _wire(False),
         "q_wire_spread": _wire(False),
         "q_wire_by_id": _wire(True),
         "q_trigger": query(
@@ -556,6 +560,8 @@ WHERE event_id % 4 = 0 AND event_id // 4 >= 20 AND event_type <> 'error' ORDER B
         ),
         "q_stream_strip": STREAM_FULL,
         "q_stream_dedup": STREAM_FULL,
+        "q_stream_local": STREAM_FULL,
+        "q_stream_local_dedup": STREAM_FULL,
         "q_decode_batches": query(
             "SELECT event_id, dev, fp, det, geo, ch, value, edge, event_id % 7 AS runnumber FROM hits", "hits"
         ),

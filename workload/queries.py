@@ -39,9 +39,12 @@ from hitloom.plans import (
     TwoSided,
     calibrated_pulses,
     run_batch,
+    strip_local,
     strip_plan,
     trigger_plan,
+    two_sided_local,
     two_sided_plan,
+    wire_local,
     wire_plan,
 )
 from hitloom.plans.strip import STRIP_FACTOR as FACTOR
@@ -56,7 +59,7 @@ from hitloom.sources import (
 )
 from hitloom.sources.curves import drop_plateaus
 from hitloom.storage import work_folder
-from hitloom.streaming import decode_stream, run_stream
+from hitloom.streaming import decode_stream, run_local, run_stream
 from workload import fixture as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -375,8 +378,8 @@ def assemble_(spark: SparkSession, sf: str) -> DataFrame:
     return assemble(fx.hits(spark, sf), parts, require="x")
 
 
-def _strip(spark: SparkSession, hits: DataFrame, **options) -> DataFrame:
-    return strip_plan(
+def _strip(spark: SparkSession, hits: DataFrame, plan: Callable[..., DataFrame] = strip_plan, **options) -> DataFrame:
+    return plan(
         hits,
         fx.chmap(spark),
         fx.tmap(spark),
@@ -406,6 +409,19 @@ def strip_full_spread(spark: SparkSession, sf: str) -> DataFrame:
     return _strip_full(_strip(spark, hits, detectors=DETECTORS, full=True, layout=SPREAD))
 
 
+@register
+def strip_local_(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole events in nested rows: no hit is shuffled."""
+    events = fx.whole_events(fx.hits(spark, sf))
+    return _strip_full(_strip(spark, events, strip_local, detectors=DETECTORS, full=True))
+
+
+@register
+def strip_local_short(spark: SparkSession, sf: str) -> DataFrame:
+    short = _strip(spark, fx.whole_events(fx.hits(spark, sf)), strip_local, detectors=DETECTORS, require="p0")
+    return shown(short, {c: c for c in short.columns})
+
+
 @register
 def strip_batch(spark: SparkSession, sf: str) -> DataFrame:
     """Stored nested events to a stored result table."""
@@ -453,10 +469,10 @@ def two_sided_compat(spark: SparkSession, sf: str) -> DataFrame:
     return _two_sided(spark, sf, True)
 
 
-def _two_sided_event(spark: SparkSession, sf: str, **options) -> DataFrame:
-    df = two_sided_plan(
-        fx.hits(spark, sf), fx.chmap(spark), fx.tmap(spark), [FIXTURE_SIDES], dither="mid", **options
-    )
+def _two_sided_event(spark: SparkSession, sf: str, local: bool = False, **options) -> DataFrame:
+    hits = fx.hits(spark, sf)
+    plan, source = (two_sided_local, fx.whole_events(hits)) if local else (two_sided_plan, hits)
+    df = plan(source, fx.chmap(spark), fx.tmap(spark), [FIXTURE_SIDES], dither="mid", **options)
     renamed = {"p0a": "pad", "p0x": "left", "p0y": "right", "p0s": "strip"}
     names = {c: renamed[c[:3]] + c[3:] for c in df.columns if c != "event_id"}
     return shown(df, {"event_id": "event_id"} | names)
@@ -472,6 +488,11 @@ def two_sided_spread(spark: SparkSession, sf: str) -> DataFrame:
     return _two_sided_event(spark, sf, full=True, layout=SPREAD)
 
 
+@register
+def two_sided_local_(spark: SparkSession, sf: str) -> DataFrame:
+    return _two_sided_event(spark, sf, local=True, full=True)
+
+
 @register
 def two_sided_short(spark: SparkSession, sf: str) -> DataFrame:
     return _two_sided_event(spark, sf)
@@ -494,6 +515,13 @@ def wire(spark: SparkSession, sf: str) -> DataFrame:
     return _wire(spark, sf)
 
 
+@register
+def wire_local_(spark: SparkSession, sf: str) -> DataFrame:
+    events = fx.whole_events(fx.hits(spark, sf))
+    df = wire_local(events, fx.chmap(spark), fx.tmap(spark), fx.PLANES, dither="mid")
+    return shown(df, {c: c for c in df.columns})
+
+
 @register
 def wire_spread(spark: SparkSession, sf: str) -> DataFrame:
     return _wire(spark, sf, layout=SPREAD)
@@ -658,7 +686,7 @@ def kafka_rows(spark: SparkSession, sf: str) -> DataFrame:
     return to_kafka_rows(pairs).select("key", fields.alias("row")).select("key", "row.*")
 
 
-def _streamed(spark: SparkSession, sf: str, copies: int, dedup: bool) -> DataFrame:
+def _streamed(spark: SparkSession, sf: str, copies: int, dedup: bool, local: bool = False) -> DataFrame:
     """Events as stored messages, streamed file by file through the strip plan."""
     folder = work_folder(spark, "stream")
     events = fx.whole_events(fx.hits(spark, sf)).withColumn(
@@ -672,9 +700,13 @@ def _streamed(spark: SparkSession, sf: str, copies: int, dedup: bool) -> DataFra
         .option("maxFilesPerTrigger", 8)
         .parquet(f"{folder}/messages")
     )
-    query = run_stream(
+
+    def nested(events: DataFrame) -> DataFrame:
+        return _strip(spark, events, strip_local, detectors=DETECTORS, full=True, keep=["runnumber", "stream_uts"])
+
+    query = (run_local if local else run_stream)(
         decode_stream(source),
-        lambda hits: _strip(spark, hits, detectors=DETECTORS, full=True),
+        nested if local else lambda hits: _strip(spark, hits, detectors=DETECTORS, full=True),
         f"{folder}/processed",
         f"{folder}/checkpoint",
         dedup=dedup,
@@ -690,6 +722,17 @@ def stream_strip(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(spark, sf, 1, False)
 
 
+@register
+def stream_local(spark: SparkSession, sf: str) -> DataFrame:
+    """Append mode, each event in its row from message to result."""
+    return _streamed(spark, sf, 1, False, local=True)
+
+
+@register
+def stream_local_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return _streamed(spark, sf, 2, True, local=True)
+
+
 @register
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return _streamed(spark, sf, 2, True)
