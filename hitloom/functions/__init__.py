@@ -1,5 +1,7 @@
 from hitloom.functions.columns import (
     asymmetry,
+    band_cell,
+    band_cells,
     bin_edge,
     bin_guess,
     bin_number,
@@ -12,6 +14,8 @@ from hitloom.functions.columns import (
 
 __all__ = [
     "asymmetry",
+    "band_cell",
+    "band_cells",
     "bin_edge",
     "bin_guess",
     "bin_number",

@@ -120,3 +120,22 @@ def bin_number(
         .when((guess < bins) & (value >= upper), guess + 1)
         .otherwise(guess)
     )
+
+
+def _band(window: tuple[float, float]) -> tuple[float, float]:
+    """Width of the cells of a band join, and how far its intervals are widened against rounding."""
+    reach = float(window[1]) - float(window[0])
+    return (reach * 1.001, reach * 0.0004) if reach > 0 else (1.0, 0.0004)
+
+
+def band_cell(value: Column, window: tuple[float, float]) -> Column:
+    """Cell of `value` in a band join: what lies within `window` of it, ``low <= value - other <= high``, has
+    this cell among its two :func:`band_cells`."""
+    width, margin = _band(window)
+    return F.floor((value - F.lit(float(window[1]) + margin)) / F.lit(width))
+
+
+def band_cells(other: Column, window: tuple[float, float]) -> Column:
+    """The two cells of the other side of a band join, as an array."""
+    own = F.floor(other / F.lit(_band(window)[0]))
+    return F.array(own, own - 1)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hitloom.functions import band_cell, band_cells, in_open_window
 from hitloom.operators.hits import map_channels
 from hitloom.schema import CHANNEL_KEY, EVENT_KEY, MODULE_KEY
 from hitloom.sizing import broadcast_if_small
@@ -28,6 +29,7 @@ def subtract_reference(
     match: Sequence[str] = MODULE_KEY,
     first: bool = False,
     salt: int = 1,
+    window: tuple[float, float] | None = None,
 ) -> DataFrame:
     """Replace ``value`` by its distance to the reference of the same event and module.
 
@@ -35,21 +37,31 @@ def subtract_reference(
     the earliest with `first`.  `match` are the columns compared besides the event.  With `salt` > 1
     the hits of one event and module are spread over that many join keys and the (few) references
     repeated for each.
+
+    With `window` only rows whose distance lies strictly inside it are made: values are cut into cells a
+    little wider than the window, a hit meets the references of two cells at most, and all others of its
+    module are never paired with it.
     """
     key = [event_key, *match]
     if first:
         references = references.groupBy(key).agg(F.min("value").alias("value"))
     references = references.select(*key, F.col("value").alias("_reference"))
     columns = mapped.columns
+    how = "left"
+    if window is not None:
+        mapped = mapped.withColumn("_cell", band_cell(F.col("value"), window))
+        references = references.withColumn("_cell", F.explode(band_cells(F.col("_reference"), window)))
+        key, how = [*key, "_cell"], "inner"
     if salt > 1:
         mapped = mapped.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salt)))
         salts = F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))
         references = references.withColumn("_salt", F.explode(salts))
         key = [*key, "_salt"]
-    difference = (F.col("value") - F.col("_reference")).alias("value")
-    return mapped.join(references, key, "left").select(
-        *[difference if c == "value" else F.col(c) for c in columns]
-    )
+    difference = F.col("value") - F.col("_reference")
+    met = mapped.join(references, key, how)
+    if window is not None:
+        met = met.filter(in_open_window(difference, *window))
+    return met.select(*[difference.alias("value") if c == "value" else F.col(c) for c in columns])
 
 
 def subtract_by_id(
@@ -87,24 +99,35 @@ def subtract_tagged(
     match: Sequence[str] = MODULE_KEY,
     first: bool = False,
     merge_equal: bool = False,
+    window: tuple[float, float] | None = None,
 ) -> DataFrame:
     """:func:`subtract_reference` on tagged hits that already lie together by event.
 
     The references of an event's module are found by a window, so neither side is read or shuffled
     again.  Hits without a reference, which would become null, are dropped.  `merge_equal` takes equal
     references once, for uses where repeated rows do not count.
+
+    With `window` only rows strictly inside it are made, and a hit meets the references of two cells of
+    values at most: each reference stands in the group of both, a hit in that of one.
     """
-    group = Window.partitionBy(event_key, *match)
+    cells = window is not None and not first
+    if cells:
+        own = F.array(band_cell(F.col("value"), window))
+        cell = F.when(F.col("is_reference"), band_cells(F.col("value"), window)).otherwise(own)
+        tagged = tagged.withColumn("_cell", F.explode(cell))
+    group = Window.partitionBy(event_key, *match, *(["_cell"] if cells else []))
     reference = F.when(F.col("is_reference"), F.col("value"))
     if first:
         found = F.array_compact(F.array(F.min(reference).over(group)))
     else:
         collect = F.collect_set if merge_equal else F.collect_list
         found = collect(reference).over(group)
-    difference = (F.col("value") - F.col("_reference")).alias("value")
-    return (
+    difference = F.col("value") - F.col("_reference")
+    met = (
         tagged.withColumn("_references", found)
         .filter(~F.col("is_reference"))
         .withColumn("_reference", F.explode("_references"))
-        .select(event_key, "cat", "id", difference, "edge")
     )
+    if window is not None:
+        met = met.filter(in_open_window(difference, *window))
+    return met.select(event_key, "cat", "id", difference.alias("value"), "edge")

@@ -1,4 +1,4 @@
-"""Coincidences between the two ends of a strip: a band match without a join."""
+"""Coincidences between the two ends of a strip: a band match, by a sweep of each event or by an equality join."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitloom.functions import pair_features
+from hitloom.functions import band_cell, band_cells, pair_features
 from hitloom.schema import EVENT_KEY
 
 FEATURES = ["tdiff", "tavg", "qdiff", "qavg", "qlog", "qsqsum"]
@@ -52,6 +52,36 @@ def match_sides(
     )
 
 
+def band_pairs(
+    left: DataFrame,
+    right: DataFrame,
+    group: Sequence[str],
+    window: tuple[float, float],
+    compat: bool = False,
+) -> DataFrame:
+    """`group` and the features of every left/right pulse pair of a group whose difference lies in `window`.
+
+    An equality join: time is cut into cells a little wider than the window, a left pulse goes to one cell and
+    a right pulse to two, so each pair meets exactly once.  No row holds a list, and a group with many pulses
+    is spread over its cells.
+    """
+    left = left.select(*group, "charge", "timing", band_cell(F.col("timing"), window).alias("_cell"))
+    right = right.select(
+        *group,
+        F.col("charge").alias("_charge"),
+        F.col("timing").alias("_timing"),
+        F.explode(band_cells(F.col("timing"), window)).alias("_cell"),
+    )
+    met = left.join(right, [*group, "_cell"]).filter((F.col("timing") - F.col("_timing")).between(*window))
+    named = pair_features(F.col("timing"), F.col("_timing"), F.col("charge"), F.col("_charge"), compat)
+    return met.select(*group, *[named[f].alias(f) for f in FEATURES])
+
+
+def strip_features(pairs: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The pairs of each group in one row: ``_found``, ordered by ``tdiff`` and then by the other features."""
+    return pairs.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct(*FEATURES))).alias("_found"))
+
+
 def two_sided(
     left: DataFrame,
     right: DataFrame,
@@ -65,20 +95,9 @@ def two_sided(
     Both limits are included.  Columns are prefixed with `name`; arrays are ordered by ``tdiff`` and
     then by the other features.
     """
-    columns = [event_key, "id", "charge", "timing"]
     usable = F.col(event_key).isNotNull() & F.col("id").isNotNull()
-    pulses = (
-        left.select(*columns, F.lit("L").alias("side"))
-        .unionByName(right.select(*columns, F.lit("R").alias("side")))
-        .filter(usable)
-    )
     group = [event_key, "id"]
-    matched = match_sides(pulses, group, window, "_found", compat)
-    found = (
-        matched.filter(F.size("_found") > 0)
-        .groupBy(*group)
-        .agg(F.sort_array(F.flatten(F.collect_list("_found"))).alias("_found"))
-    )
+    found = strip_features(band_pairs(left.filter(usable), right.filter(usable), group, window, compat), group)
     return found.select(
         event_key,
         F.col("id").alias(f"{name}_id"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitloom.operators.calibration import to_float
-from hitloom.operators.hits import VALUE_WINDOW, flip_edges, validate
+from hitloom.operators.hits import VALUE_WINDOW, flip_edges
 from hitloom.operators.pairing import pair_edges, pair_gathered
 from hitloom.operators.reference import subtract_reference, subtract_tagged, tag_channels
 from hitloom.plans.layout import Layout
@@ -30,11 +30,13 @@ def referenced_hits(
     reference_id: int | None = None,
     first_reference: bool = False,
     merge_equal: bool = True,
+    window: tuple[float, float] | None = None,
 ) -> DataFrame:
     """``event, cat, id, value, edge`` of mapped hits with the time reference subtracted.
 
     `reference_id` takes that one reference for all modules of an event.  `merge_equal` says that
-    repeated rows do not count, so equal references and, in a hot event, equal hits are merged.
+    repeated rows do not count, so equal references and, in a hot event, equal hits are merged.  With `window`
+    only values strictly inside it are made.
     """
     match: Sequence[str] = MODULE_KEY
     if reference_id is not None:
@@ -43,13 +45,13 @@ def referenced_hits(
     tagged = tag_channels(hits, channel_map, reference_map, event_key)
     if not spread:
         gathered = layout.gather(tagged, event_key)
-        return subtract_tagged(gathered, event_key, match, first_reference, merge_equal)
+        return subtract_tagged(gathered, event_key, match, first_reference, merge_equal, window)
     mapped = tagged.filter(~F.col("is_reference")).drop("is_reference")
     references = tagged.filter(F.col("is_reference")).select(event_key, *MODULE_KEY, "value")
     if merge_equal:
         mapped, references = mapped.distinct(), references.distinct()
     return subtract_reference(
-        mapped, references, event_key, match, first_reference, HOT_SALT
+        mapped, references, event_key, match, first_reference, HOT_SALT, window
     ).select(event_key, "cat", "id", "value", "edge")
 
 
@@ -79,9 +81,8 @@ def calibrated_pulses(
         event_key,
         reference_id,
         first_reference,
+        window=window,
     )
-    if window is not None:
-        df = validate(df, window)
     if flip:
         df = flip_edges(df)
     if spread:

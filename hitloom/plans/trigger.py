@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from hitloom.operators.calibration import to_float
-from hitloom.operators.hits import VALUE_WINDOW, validate
+from hitloom.operators.hits import VALUE_WINDOW
 from hitloom.operators.triggers import trigger_table
 from hitloom.plans.layout import Layout, by_layout, with_all_events
 from hitloom.plans.pulses import referenced_hits
@@ -29,9 +29,9 @@ def trigger_plan(
 
     def plan(hits: DataFrame, spread: bool) -> DataFrame:
         df = referenced_hits(
-            hits, trigger_map, reference_map, layout, spread, event_key, merge_equal=not full
+            hits, trigger_map, reference_map, layout, spread, event_key, merge_equal=not full, window=window
         )
-        df = to_float(validate(df, window), "value", factor=factor, dither=dither)
+        df = to_float(df, "value", factor=factor, dither=dither)
         return trigger_table(df, full, event_key)
 
     result = by_layout(hits, events, layout, plan, event_key)

@@ -8,8 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hitloom.operators.events import pulse_list
 from hitloom.operators.hits import VALUE_WINDOW
-from hitloom.operators.two_sided import FEATURES, TIME_WINDOW, match_sides
+from hitloom.operators.two_sided import FEATURES, TIME_WINDOW, band_pairs, match_sides, strip_features
 from hitloom.plans.layout import Layout, by_layout, with_all_events
 from hitloom.plans.pulses import calibrated_pulses
 from hitloom.schema import EVENT_KEY
@@ -88,6 +89,8 @@ def two_sided_plan(
             event_key=event_key,
             first_reference=first_reference,
         )
+        if spread:
+            return spread_out(pulses)
         sided = pulses.withColumn("_detector", detector).withColumn("side", side)
         group = [event_key, "_detector", "side_known", "id"]
         sided = sided.withColumn("side_known", F.col("side").isNotNull())
@@ -128,6 +131,26 @@ def two_sided_plan(
             result = result.withColumn(d.name, F.explode_outer(d.name))
         return result.select(event_key, *[c for d in detectors for c in columns(d)])
 
+    def spread_out(pulses: DataFrame) -> DataFrame:
+        """Hot events: pairs come from a join by time cells, so only the lists of the result meet in a row, and
+        a strip's row is made once."""
+        # the sides are needed in the full table only; without them a list is that of the pad
+        listed = wanted if full else [d.name + d.pad for d in detectors]
+        lists = [pulse_list(cat == c).alias(c) for c in listed]
+        result = pulses.groupBy(event_key).agg(*lists)
+        group = [event_key, "id"]
+        for d in detectors:
+            _, left, right = d.categories
+            pairs = band_pairs(pulses.filter(cat == left), pulses.filter(cat == right), group, d.window, compat)
+            strips = strip_features(pairs, group).select(
+                event_key, F.struct("id", F.col("_found").alias("found")).alias(d.name)
+            )
+            needed = d.name == require and not full
+            result = result.join(strips, event_key, "inner" if needed else "left")
+            if needed:
+                result = result.filter(F.col(d.name + d.pad).isNotNull())
+        return result.select(event_key, *[c for d in detectors for c in columns(d)])
+
     def columns(d: TwoSided) -> list[Column]:
         pad, left, right = d.categories
         strip = d.name + d.strip
