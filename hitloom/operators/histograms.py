@@ -6,6 +6,9 @@ row per bin leaves each task.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -212,3 +215,117 @@ def hist2d_stats(
         (F.col("id") % 3).cast("int").alias("zone_y"),
     )
     return every.join(zones, ["zone_x", "zone_y"], "left").fillna(0, ["n"])
+
+
+@dataclass(frozen=True)
+class Histogram:
+    """One histogram among several: one or two columns with their bins and ranges, as in :func:`hist1d` and
+    :func:`hist2d`.  `outer` adds the outer bins of a histogram of one column."""
+
+    columns: tuple[str, ...]
+    nbins: tuple[int, ...]
+    span: tuple[Range, ...]
+    array: bool = False
+    edges: str = "points"
+    nan: str | None = None
+    outer: bool = False
+
+    @property
+    def bins(self) -> list[int]:
+        return [_bins(n, self.edges) for n in self.nbins]
+
+
+def _entry(number: int, h: Histogram, values: list[Column], guesses: list[Column]) -> Column:
+    """The cell of a value (pair) as struct(hist, bin_x, bin_y); null for what the histogram leaves out."""
+    closed = h.edges == "numpy"
+    nan = h.nan or ("drop" if closed else "error")
+    if nan not in ("error", "drop"):
+        raise ValueError(f"unknown NaN choice {nan!r}")
+    chosen, numbers = F.lit(True), []
+    for value, guess, bins, span in zip(values, guesses, h.bins, h.span, strict=True):
+        kept = value.isNotNull() & ~F.isnan(value)
+        if not h.outer:
+            low, high = F.lit(float(span[0])), F.lit(float(span[1]))
+            kept = (value >= low) & (value <= high if closed else value < high) & ~F.isnan(value)
+        chosen = chosen & kept
+        numbers.append(bin_number(value, guess, *span, bins, closed).cast("long"))
+    cell = F.struct(
+        F.lit(number).alias("hist"), numbers[0].alias("bin_x"), (numbers[1] if len(numbers) > 1 else F.lit(None).cast("long")).alias("bin_y")
+    )
+    found = F.when(F.coalesce(chosen, F.lit(False)), cell)
+    if nan == "error":
+        refused = F.lit(False)
+        for value in values:
+            refused = refused | F.coalesce(F.isnan(value), F.lit(False))
+        stop = F.raise_error(F.lit("NaN in a histogram column")).cast("struct<hist:int,bin_x:bigint,bin_y:bigint>")
+        found = F.when(refused, stop).otherwise(found)
+    return found
+
+
+def histograms(df: DataFrame, wanted: Mapping[str, Histogram]) -> DataFrame:
+    """``hist, bin_x, bin_y, x, y, n`` of several histograms from one scan and one exchange.
+
+    Each row gives an entry (histogram, cell) to every histogram it counts in, and entries are counted map-side,
+    so that a task passes on one row at most for each cell.  Histograms of one column have a row for every bin,
+    empty ones too, with null ``bin_y`` and ``y``; those of two columns a row for each cell that is not empty.
+    ``x`` and ``y`` are bin centres, null for outer bins.  Rules as in :func:`hist1d` and :func:`hist2d`.
+    """
+    specs = list(wanted.items())
+    for name, h in specs:
+        if not 1 <= len(h.columns) == len(h.nbins) == len(h.span) <= 2 or (h.outer and len(h.columns) > 1):
+            raise ValueError(f"histogram {name!r} needs one or two columns with bins and ranges, outer bins one")
+    values, guesses, lists = {}, {}, []
+    for i, (_, h) in enumerate(specs):
+        if h.array:
+            parts = [F.col(c) for c in h.columns]
+            both = F.arrays_zip(*[p.alias(f"v{a}") for a, p in enumerate(parts)])
+            common = F.slice(both, F.lit(1), F.least(*[F.size(p) for p in parts], F.lit((1 << 31) - 1)))
+
+            def guessed(e: Column, h: Histogram = h) -> list[Column]:
+                out = []
+                for a, (bins, span) in enumerate(zip(h.bins, h.span, strict=True)):
+                    v = e[f"v{a}"].cast("double")
+                    out += [v.alias(f"v{a}"), bin_guess(v, *span, bins).alias(f"g{a}")]
+                return out
+
+            lists.append(_array_entries(i, h, common, guessed))
+            continue
+        for a, (c, bins, span) in enumerate(zip(h.columns, h.bins, h.span, strict=True)):
+            values[f"_v{i}_{a}"] = F.col(c).cast("double")
+            guesses[f"_g{i}_{a}"] = bin_guess(F.col(f"_v{i}_{a}"), *span, bins)
+        own = [[F.col(f"_{k}{i}_{a}") for a in range(len(h.columns))] for k in "vg"]
+        lists.append(F.array(_entry(i, h, *own)))
+    kept = {c for _, h in specs if h.array for c in h.columns}
+    rows = df.select(*[F.col(c) for c in sorted(kept)], *[v.alias(k) for k, v in values.items()])
+    rows = rows.select("*", *[v.alias(k) for k, v in guesses.items()])
+    entries = rows.select(F.inline(F.array_compact(F.flatten(F.array(*lists)))))
+    counts = entries.groupBy("hist", "bin_x", "bin_y").agg(F.count(F.lit(1)).alias("n"))
+
+    single = [(i, 0 if h.outer else 1, h.bins[0] + h.outer) for i, (_, h) in enumerate(specs) if len(h.columns) == 1]
+    every = df.sparkSession.createDataFrame(single, "_hist int, first long, last long")
+    every = every.select("_hist", F.explode(F.sequence("first", "last")).alias("_bin"))
+    same = (F.col("_hist") == F.col("hist")) & (F.col("_bin") == F.col("bin_x"))
+    filled = counts.join(F.broadcast(every), same, "full").select(
+        F.coalesce("hist", "_hist").alias("hist"), F.coalesce("bin_x", "_bin").alias("bin_x"), "bin_y", F.coalesce("n", F.lit(0).cast("long")).alias("n")
+    )
+    x, y, label = F.lit(None).cast("double"), F.lit(None).cast("double"), F.lit(None).cast("string")
+    for i, (name, h) in enumerate(specs):
+        is_it = F.col("hist") == i
+
+        def center(axis: int, column: str, h: Histogram = h) -> Column:
+            low = bin_edge(F.col(column) - 1, *h.span[axis], h.bins[axis])
+            middle = 0.5 * (low + bin_edge(F.col(column), *h.span[axis], h.bins[axis]))
+            return F.when(F.col(column).between(1, h.bins[axis]), middle)
+
+        x, label = F.when(is_it, center(0, "bin_x")).otherwise(x), F.when(is_it, F.lit(name)).otherwise(label)
+        if len(h.columns) > 1:
+            y = F.when(is_it, center(1, "bin_y")).otherwise(y)
+    return filled.select(label.alias("hist"), "bin_x", "bin_y", x.alias("x"), y.alias("y"), "n")
+
+
+def _array_entries(number: int, h: Histogram, elements: Column, guessed) -> Column:
+    """The entries of the elements of array columns; null arrays have none."""
+    axes = range(len(h.columns))
+    named = F.transform(elements, lambda e: F.struct(*guessed(e)))
+    found = F.transform(named, lambda e: _entry(number, h, [e[f"v{a}"] for a in axes], [e[f"g{a}"] for a in axes]))
+    return F.coalesce(found, F.array().cast("array<struct<hist:int,bin_x:bigint,bin_y:bigint>>"))

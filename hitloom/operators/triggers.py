@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hitloom.operators.chunks import chunked
 from hitloom.schema import EVENT_KEY
 
 
@@ -26,3 +27,14 @@ def trigger_table(hits: DataFrame, full: bool = False, event_key: str = EVENT_KE
         F.col("_hits.value").alias("trig_timing"),
         F.get("_hits.id", F.lit(0)).alias("trig"),
     )
+
+
+def trigger_chunks(hits: DataFrame, size: int, spread: bool = False, event_key: str = EVENT_KEY) -> DataFrame:
+    """The full form of :func:`trigger_table` in rows of at most `size` hits, numbered in ``part``."""
+    lists = {"_hits": (F.lit(True), ["id", "value"])}
+    parts = chunked(hits, lists, size, order=["value", "id"], spread=spread, event_key=event_key)
+    first = trigger_table(hits, False, event_key).withColumnRenamed(event_key, "_event")
+    joined = parts.join(first, parts[event_key].eqNullSafe(first["_event"]))
+    return joined.select(
+        event_key, "part", F.col("_hits.id").alias("trig_id"), F.col("_hits.value").alias("trig_timing"), "trig"
+    )

@@ -1,3 +1,19 @@
-from hitloom.streaming.run import decode_stream, read_kafka, run_local, run_stream, unique_events
+from hitloom.streaming.run import (
+    decode_stream,
+    read_kafka,
+    run_local,
+    run_stream,
+    state_size,
+    unique_events,
+    use_bounded_state,
+)
 
-__all__ = ["decode_stream", "read_kafka", "run_local", "run_stream", "unique_events"]
+__all__ = [
+    "decode_stream",
+    "read_kafka",
+    "run_local",
+    "run_stream",
+    "state_size",
+    "unique_events",
+    "use_bounded_state",
+]

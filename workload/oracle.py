@@ -312,7 +312,10 @@ FROM events_seen e
     )
 
 
-def _wire(by_id: bool) -> str:
+def _wire(by_id: bool, chunk: int | None = None) -> str:
+    """All planes of an event, or with `chunk` so many pulses of each plane to a row."""
+    part = "0" if chunk is None else f"(row_number() OVER (PARTITION BY event_id, cat ORDER BY timing, id, charge) - 1) // {chunk}"
+    shown = "" if chunk is None else "coalesce(part, 0) AS part, "
     # The chamber takes all values: there is no window before pairing.
     reference = (
         "LEFT JOIN (SELECT * FROM tref WHERE geo = 0) t ON m.event_id = t.event_id"
@@ -327,19 +330,19 @@ def _wire(by_id: bool) -> str:
         for q, c in (("ids", "id"), ("timings", "timing"), ("charges", "charge"))
     )
     return query(
-        f"""SELECT e.event_id, {columns}
+        f"""SELECT e.event_id, {shown}{columns}
 FROM events_seen e LEFT JOIN (
-  SELECT event_id, cat, string_agg(CAST(id AS VARCHAR), ',' ORDER BY timing, id, charge) AS ids,
+  SELECT event_id, cat, part, string_agg(CAST(id AS VARCHAR), ',' ORDER BY timing, id, charge) AS ids,
          {micro_list('timing', 'timing, id, charge')} AS timings,
          {micro_list('charge', 'timing, id, charge')} AS charges
-  FROM (SELECT l.event_id, l.cat, l.id,
+  FROM (SELECT *, {part} AS part FROM (SELECT l.event_id, l.cat, l.id,
                0.0244140625::DOUBLE * (t.value - l.value + 0.5::DOUBLE) AS charge,
                0.0244140625::DOUBLE * (l.value + 0.5::DOUBLE) AS timing
         FROM (SELECT DISTINCT event_id, cat, id, value FROM s WHERE edge = 0) l
         ASOF JOIN (SELECT event_id, cat, id, value FROM s WHERE edge = 1) t
-          ON l.event_id = t.event_id AND l.cat = t.cat AND l.id = t.id AND l.value < t.value) p
-  GROUP BY event_id, cat) w ON w.event_id = e.event_id
-GROUP BY e.event_id""",
+          ON l.event_id = t.event_id AND l.cat = t.cat AND l.id = t.id AND l.value < t.value) q) p
+  GROUP BY event_id, cat, part) w ON w.event_id = e.event_id
+GROUP BY e.event_id, part""",
         "mapped",
         "tref",
         "events_seen",
@@ -375,6 +378,18 @@ def oracles() -> dict[str, str]:
        event_id % 2 AS edge"""
     curve_points = """SELECT p_brand AS tab, floor(p_retailprice / 2) / 613.0::DOUBLE AS y,
        min(p_retailprice) AS x FROM part GROUP BY 1, 2"""
+    trigger_chunks = query(
+        f"""SELECT e.event_id, coalesce(part, 0) AS part, trig_id, trig_timing, f.trig
+FROM events_seen e LEFT JOIN (
+  SELECT event_id, rk // 2 AS part, string_agg(CAST(id AS VARCHAR), ',' ORDER BY timing, id) AS trig_id,
+         {micro_list('timing', 'timing, id')} AS trig_timing
+  FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY timing, id) - 1 AS rk FROM {TRIGGER_HITS})
+  GROUP BY event_id, rk // 2) c ON c.event_id = e.event_id
+LEFT JOIN (SELECT event_id, arg_min(id, timing * 4096 + id) AS trig FROM {TRIGGER_HITS} GROUP BY event_id) f
+  ON f.event_id = e.event_id""",
+        "valid",
+        "events_seen",
+    )
     return {
         "q_explode_hits": query("SELECT * FROM hits", "hits"),
         "q_explode_hits_keep": query(
@@ -492,6 +507,8 @@ LEFT JOIN top2 y ON y.event_id = e.event_id AND y.cat = 'p0y'""",
         "q_wire_local": _wire(False),
         "q_wire_spread": _wire(False),
         "q_wire_by_id": _wire(True),
+        "q_wire_chunks": _wire(False, 2),
+        "q_wire_chunks_spread": _wire(False, 2),
         "q_trigger": query(
             f"""SELECT e.event_id, arg_min(t.id, t.timing * 4096 + t.id) AS trig
 FROM events_seen e LEFT JOIN {TRIGGER_HITS} t ON t.event_id = e.event_id GROUP BY e.event_id""",
@@ -506,6 +523,20 @@ FROM events_seen e LEFT JOIN {TRIGGER_HITS} t ON t.event_id = e.event_id GROUP B
             "valid",
             "events_seen",
         ),
+        "q_trigger_chunks": trigger_chunks,
+        "q_trigger_chunks_spread": trigger_chunks,
+        "q_histograms": f"""
+SELECT 'price' AS hist, bin AS bin_x, NULL::BIGINT AS bin_y, center AS x, NULL::DOUBLE AS y, n
+FROM ({hist1d("lineitem", "l_extendedprice", 0.0, 105000.0, 100, False, True)})
+UNION ALL SELECT 'tax', bin, NULL, center, NULL, n FROM ({hist1d("lineitem", "l_tax", 0.0, 0.08, 9, True, False)})
+UNION ALL SELECT 'both', bin_x, bin_y, x, y, n
+FROM ({hist2d("lineitem", "l_quantity", "l_extendedprice", sales, (50, 42), False)})""",
+        "q_histograms_array": f"""
+SELECT 'charge' AS hist, bin AS bin_x, NULL::BIGINT AS bin_y, center AS x, NULL::DOUBLE AS y, n
+FROM ({hist1d(plane, "charge", 0.0, 5000.0, 49, False, True, "pulses")})
+UNION ALL SELECT 'timing', bin, NULL, center, NULL, n FROM ({hist1d(plane, "timing", 0.0, 9000.0, 60, True, False, "pulses")})
+UNION ALL SELECT 'both', bin_x, bin_y, x, y, n
+FROM ({hist2d(plane, "charge", "timing", edges, (39, 59), False, "pulses")})""",
         "q_hist1d": hist1d(pulse, "charge", 0.0, 5000.0, 49, False, True, "pulses"),
         "q_hist1d_sales": hist1d("lineitem", "l_extendedprice", *SALES_SPAN, 100, False, True),
         "q_hist1d_numpy": hist1d(pulse, "charge", 0.0, 5000.0, 50, True, False, "pulses"),

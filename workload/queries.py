@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitloom.operators import (
+    Histogram,
     assemble,
     collect_planes,
     distinct_events,
@@ -17,6 +18,7 @@ from hitloom.operators import (
     hist1d_stats,
     hist2d,
     hist2d_stats,
+    histograms,
     interpolate,
     linear_calib,
     linear_calib_array,
@@ -48,7 +50,7 @@ from hitloom.plans import (
     wire_plan,
 )
 from hitloom.plans.strip import STRIP_FACTOR as FACTOR
-from hitloom.sinks import to_kafka_rows, write_events
+from hitloom.sinks import read_committed, to_kafka_rows, write_events
 from hitloom.sources import (
     Paths,
     capture_messages,
@@ -532,9 +534,20 @@ def wire_by_id(spark: SparkSession, sf: str) -> DataFrame:
     return _wire(spark, sf, reference_id=0)
 
 
-def _trigger(spark: SparkSession, sf: str, full: bool) -> DataFrame:
+@register
+def wire_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    """Two pulses of each plane to a row."""
+    return _wire(spark, sf, chunk=2)
+
+
+@register
+def wire_chunks_spread(spark: SparkSession, sf: str) -> DataFrame:
+    return _wire(spark, sf, chunk=2, layout=SPREAD)
+
+
+def _trigger(spark: SparkSession, sf: str, full: bool, **options) -> DataFrame:
     triggers = fx.chmap(spark).filter(F.col("cat").endswith("a"))
-    df = trigger_plan(fx.hits(spark, sf), triggers, fx.tmap(spark), full, dither="mid")
+    df = trigger_plan(fx.hits(spark, sf), triggers, fx.tmap(spark), full, dither="mid", **options)
     return shown(df, {c: c for c in df.columns})
 
 
@@ -548,6 +561,16 @@ def trigger_full(spark: SparkSession, sf: str) -> DataFrame:
     return _trigger(spark, sf, True)
 
 
+@register
+def trigger_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    return _trigger(spark, sf, True, chunk=2)
+
+
+@register
+def trigger_chunks_spread(spark: SparkSession, sf: str) -> DataFrame:
+    return _trigger(spark, sf, True, chunk=2, layout=SPREAD)
+
+
 def _centered(df: DataFrame) -> DataFrame:
     return df.withColumn("center", r6("center"))
 
@@ -638,6 +661,29 @@ def hist2d_stats_(spark: SparkSession, sf: str) -> DataFrame:
     return hist2d_stats(_pulses(spark, sf), ("charge", "timing"), (20, 30), span)
 
 
+@register
+def histograms_(spark: SparkSession, sf: str) -> DataFrame:
+    """Three histograms of one table from one scan."""
+    wanted = {
+        "price": Histogram(("l_extendedprice",), (101,), ((0.0, 105000.0),), outer=True),
+        "tax": Histogram(("l_tax",), (9,), ((0.0, 0.08),), edges="numpy"),
+        "both": Histogram(("l_quantity", "l_extendedprice"), (51, 43), ((1.0, 51.0), (0.0, 105000.0))),
+    }
+    return _cells(histograms(fx.table(spark, sf, "lineitem"), wanted))
+
+
+@register
+def histograms_array(spark: SparkSession, sf: str) -> DataFrame:
+    """The same over array columns."""
+    columns = ("p0x_charge", "p0x_timing")
+    wanted = {
+        "charge": Histogram(columns[:1], (50,), SPAN2[:1], array=True, outer=True),
+        "timing": Histogram(columns[1:], (60,), ((0.0, 9000.0),), array=True, edges="numpy"),
+        "both": Histogram(columns, (40, 60), SPAN2, array=True),
+    }
+    return _cells(histograms(_plane_arrays(spark, sf), wanted))
+
+
 @register
 def zip_arrays_(spark: SparkSession, sf: str) -> DataFrame:
     pairs = zip_arrays(_plane_arrays(spark, sf), "p0x_charge", "p0x_timing")
@@ -713,7 +759,8 @@ def _streamed(spark: SparkSession, sf: str, copies: int, dedup: bool, local: boo
         trigger={"availableNow": True},
     )
     query.awaitTermination()
-    done = spark.read.parquet(f"{folder}/processed")
+    processed = f"{folder}/processed"
+    done = spark.read.parquet(processed) if local else read_committed(spark, processed)
     return _strip_full(done.withColumn("stream_uts", F.col("stream_uts").cast("long")), "runnumber", "stream_uts")
 
 
