@@ -299,15 +299,12 @@ def histograms(df: DataFrame, wanted: Mapping[str, Histogram]) -> DataFrame:
     rows = df.select(*[F.col(c) for c in sorted(kept)], *[v.alias(k) for k, v in values.items()])
     rows = rows.select("*", *[v.alias(k) for k, v in guesses.items()])
     entries = rows.select(F.inline(F.array_compact(F.flatten(F.array(*lists)))))
-    counts = entries.groupBy("hist", "bin_x", "bin_y").agg(F.count(F.lit(1)).alias("n"))
-
     single = [(i, 0 if h.outer else 1, h.bins[0] + h.outer) for i, (_, h) in enumerate(specs) if len(h.columns) == 1]
-    every = df.sparkSession.createDataFrame(single, "_hist int, first long, last long")
-    every = every.select("_hist", F.explode(F.sequence("first", "last")).alias("_bin"))
-    same = (F.col("_hist") == F.col("hist")) & (F.col("_bin") == F.col("bin_x"))
-    filled = counts.join(F.broadcast(every), same, "full").select(
-        F.coalesce("hist", "_hist").alias("hist"), F.coalesce("bin_x", "_bin").alias("bin_x"), "bin_y", F.coalesce("n", F.lit(0).cast("long")).alias("n")
+    every = df.sparkSession.createDataFrame(single, "hist int, first long, last long").select(
+        "hist", F.explode(F.sequence("first", "last")).alias("bin_x"), F.lit(None).cast("long").alias("bin_y"), F.lit(0).cast("long").alias("n")
     )
+    entries = entries.withColumn("n", F.lit(1).cast("long")).unionByName(every)
+    filled = entries.groupBy("hist", "bin_x", "bin_y").agg(F.sum("n").alias("n"))
     x, y, label = F.lit(None).cast("double"), F.lit(None).cast("double"), F.lit(None).cast("string")
     for i, (name, h) in enumerate(specs):
         is_it = F.col("hist") == i

@@ -58,7 +58,7 @@ def use_bounded_state(spark: SparkSession) -> None:
 
 
 def state_size(query: StreamingQuery) -> dict[str, int]:
-    """Rows and bytes of memory that the state of a query held after its last batch."""
+    """Rows and bytes of memory that the state of a query held after its last batch, as its store counts them."""
     progress = query.lastProgress
     operators = progress["stateOperators"] if progress else []
     return {

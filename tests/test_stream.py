@@ -2,8 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from hitloom.plans import Layout, strip_plan
+from hitloom.sinks import CommittedBatches, read_committed
 from hitloom.storage import work_folder
-from hitloom.streaming import decode_stream, run_stream
+from hitloom.streaming import decode_stream, run_stream, state_size
 from tests.conftest import rows
 from workload import fixture as fx
 from workload.queries import FIXTURE_PLANES
@@ -40,7 +41,7 @@ def _run(spark, folder, **options):
         trigger={"availableNow": True}, **options,
     )
     query.awaitTermination()
-    return spark.read.parquet(f"{folder}/out")
+    return read_committed(spark, f"{folder}/out")
 
 
 def test_stream_equals_batch(spark, events):
@@ -70,17 +71,69 @@ def test_repeated_messages_are_dropped_across_batches(spark, events):
     assert rows(out.select(batch.columns)) == rows(batch)
 
 
-def test_replayed_batch_overwrites_itself(spark, events):
+def test_replayed_batch_is_not_written_twice(spark, events):
     folder = work_folder(spark, "stream")
     fx.encode(events.limit(20)).write.parquet(f"{folder}/messages")
-    first = _run(spark, folder).count()
-    # As after a crash between writing the result and committing the batch.
+    first = _run(spark, folder)
+    attempts = CommittedBatches(spark, f"{folder}/out").listed()
+    # As after a crash between the commit in the table and that of the query.
     query = run_stream(
         _source(spark, folder), _plan(spark), f"{folder}/out", f"{folder}/checkpoint2",
         trigger={"availableNow": True},
     )
     query.awaitTermination()
-    assert spark.read.parquet(f"{folder}/out").count() == first
+    assert CommittedBatches(spark, f"{folder}/out").listed() == attempts
+    assert rows(read_committed(spark, f"{folder}/out")) == rows(first)
+
+
+@pytest.mark.parametrize("written", [False, True])
+def test_a_batch_that_dies_is_never_seen_half(spark, events, monkeypatch, written):
+    folder = work_folder(spark, "stream")
+    fx.encode(events.repartition(8)).write.parquet(f"{folder}/messages")
+    whole, failed = CommittedBatches.write, []
+
+    def dying(self, df, batch_id):
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            part = df if written else df.limit(3)
+            part.write.parquet(self.folder(batch_id, "adead"))
+            raise OSError("killed before the commit")
+        whole(self, df, batch_id)
+
+    monkeypatch.setattr(CommittedBatches, "write", dying)
+    with pytest.raises(Exception, match="killed before the commit"):
+        _run(spark, folder)
+    seen = read_committed(spark, f"{folder}/out")
+    assert {r.batch_id for r in seen.select("batch_id").distinct().collect()} == {0}
+    out = _run(spark, folder)
+    batch = _plan(spark)(fx.hits(spark, SF))
+    assert rows(out.select(batch.columns)) == rows(batch)
+    # the dead attempt is still there and in nobody's result
+    assert spark.read.parquet(f"{folder}/out/batch_id=1/attempt=adead").count() > 0
+
+
+def test_nothing_committed_is_an_error(spark):
+    with pytest.raises(FileNotFoundError):
+        read_committed(spark, work_folder(spark, "none"))
+
+
+def test_restarted_query_remembers_what_it_saw(spark, events):
+    folder = work_folder(spark, "stream")
+    messages = fx.encode(events.repartition(2))
+    messages.write.parquet(f"{folder}/messages")
+    first = _run(spark, folder, dedup=True).count()
+    messages.write.mode("append").parquet(f"{folder}/messages")
+    query = run_stream(
+        _source(spark, folder), _plan(spark), f"{folder}/out", f"{folder}/checkpoint", dedup=True,
+        trigger={"availableNow": True},
+    )
+    query.awaitTermination()
+    assert read_committed(spark, f"{folder}/out").count() == first
+    held = state_size(query)
+    # the store counts a key again when it is replayed from the change log
+    assert held["rows"] >= events.select("event_id").distinct().count() and held["bytes"] > 0
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    assert provider.endswith("RocksDBStateStoreProvider")
 
 
 def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
