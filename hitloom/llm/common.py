@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -21,6 +22,28 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# Bytes of text in a bucket, on average.
+BUCKET_BYTES = 128_000_000
+
+
+def bucketed(df: DataFrame, key: str, text: str, name: str) -> DataFrame:
+    """`df` stored in buckets of `key` below ``spark.checkpoint.dir``: joins on `key` move the other side only.
+
+    There are as many buckets as shuffle partitions, or more where a bucket would hold over `BUCKET_BYTES` of the
+    column `text`. The catalog keeps no entry: the table is known by its files.
+    """
+    spark = df.sparkSession
+    size = df.agg(F.coalesce(F.sum(F.octet_length(f"`{text}`")), F.lit(0))).first()[0]
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    table = f"{name}_{uuid.uuid4().hex}"
+    writer = df.repartition(n, key).write.format("parquet").bucketBy(n, key).option("path", work_folder(spark, name))
+    writer.saveAsTable(table)
+    stored = spark.table(table)
+    stored.schema  # resolved while the catalog still knows it
+    spark.sql(f"DROP TABLE {table}")
+    return stored
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names that no column of `df` has, made of `names` with underscores."""
     taken = {c.lower() for c in df.columns}

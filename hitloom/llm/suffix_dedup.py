@@ -10,12 +10,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import byte_table, discard, fresh, prefix_hash, range_hash, slices, stage
+from hitloom.llm.common import bucketed, byte_table, discard, fresh, prefix_hash, range_hash, slices, stage
 from hitloom.llm.suffix_groups import suffix_order
 
 # Bytes whose hash places an anchor.
 GRAM = 16
 SLICE_BYTES = 600_000
+# Phrases of the runs that one task orders, on average.
+RANGE_PHRASES = 500_000
 
 _BYTES = byte_table(fold_case=False, seed=3)
 
@@ -246,7 +248,6 @@ def _close_ranges(ordered: DataFrame) -> DataFrame:
 def find_repeats(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
     """(doc, phrases) of the phrases that repeat, and (doc, exceptions) of the runs of these that share fewer
     phrases with another place than they have: (run, shared)."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = rows.schema["doc"].dataType.simpleString()
     found = stage(rows.mapInArrow(_find_phrases(size), f"doc {kind}, at array<int>, phrases array<long>"), "phrases")
     each = found.select("doc", F.explode("phrases").alias("phrase")).filter("phrase != 0")
@@ -254,11 +255,13 @@ def find_repeats(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
     mine = each.join(repeated, "phrase").groupBy("doc").agg(F.collect_set("phrase").alias("repeated"))
     mine = stage(mine, "repeated_phrases")
     held = mine.withColumnRenamed("doc", "d")
-    joined = found.join(held, found["doc"].eqNullSafe(held["d"])).select("doc", "at", "phrases", "repeated")
+    joined = found.join(held, found["doc"] == held["d"]).select("doc", "at", "phrases", "repeated")
     runs = joined.mapInArrow(_find_runs(size), f"doc {kind}, run array<long>")
     runs = runs.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("doc"))
     runs = stage(runs, "runs")
     discard(found, repeated)
+    total = runs.agg(F.coalesce(F.sum(F.size("run")), F.lit(0))).first()[0]
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_PHRASES))
     ordered = runs.repartitionByRange(parts, "run").mapInArrow(
         _order_runs, f"doc {kind}, run array<long>, n long, shared long, part long, end long"
     )
@@ -331,6 +334,11 @@ def _find_windows(size: int):
     return run
 
 
+def small(lists: DataFrame) -> DataFrame:
+    """The side of a join with texts in buckets that is moved and held: lists of a bucket's texts, never texts."""
+    return lists.hint("shuffle_hash")
+
+
 def repeated_windows(rows: DataFrame, size: int) -> DataFrame:
     """(doc, blocks, windows): what repeats in each document, named by its bytes. All windows of a block in
     `blocks` repeat; of other blocks those in `windows` do. Documents without any are left out."""
@@ -338,7 +346,7 @@ def repeated_windows(rows: DataFrame, size: int) -> DataFrame:
     phrases, less = find_repeats(rows, size)
     held = phrases.withColumnRenamed("doc", "d")
     less = less.withColumnRenamed("doc", "e")
-    joined = rows.join(held, rows["doc"].eqNullSafe(held["d"])).join(less, F.col("doc").eqNullSafe(less["e"]), "left")
+    joined = rows.join(small(held), rows["doc"] == held["d"]).join(small(less), rows["doc"] == less["e"], "left")
     blocks = joined.select("doc", "text", "repeated", "less").mapInArrow(
         _find_blocks(size), f"doc {kind}, core long, block long"
     )
@@ -353,7 +361,7 @@ def repeated_windows(rows: DataFrame, size: int) -> DataFrame:
         F.collect_list(F.struct("block", (F.col("n") == 1).alias("open"))).alias("asked")
     )
     asked = stage(asked, "asked_blocks")
-    joined = rows.join(asked, rows["doc"].eqNullSafe(asked["d"])).select("doc", "text", "asked")
+    joined = rows.join(small(asked), rows["doc"] == asked["d"]).select("doc", "text", "asked")
     windows = joined.mapInArrow(_find_windows(size), f"doc {kind}, core long, window long, open boolean")
     windows = stage(windows, "windows")
     discard(asked)
@@ -377,8 +385,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     input. All columns stay but the text, which gives way to what is left as binary in ``kept`` (a cut may part
     a character); ``n_bytes``, ``n_removed``, ``n_spans`` and ``spans`` (start and end of the maximal removed
     runs) follow, with underscores where a name is taken. Rows that repeat a text are documents that
-    repeat each other; rows of one id (null is one) share what is looked up by id, which names strings by
-    their bytes and so cannot mix them up. An empty table gives an empty table.
+    repeat each other; rows of one id and text share what is looked up, which names strings by their bytes.
+    Texts are read in slices of a bounded size, a longer one alone and whole. An empty table gives an empty table.
 
     1. Texts are cut into phrases at anchors that depend on the bytes around them (:class:`Scan`), so that equal
        windows share the phrases of their core. Phrases that stand once end the search.
@@ -388,15 +396,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     3. Exact check: windows of one core that lie side by side are a block. Equal blocks are one row with a
        count; blocks that stand alone but share their core with others are compared window by window.
 
+    Texts are stored once in buckets, and what is found is joined to them there, so only lists move; the number
+    of buckets and of ranges follows the input, so no task grows with it.
+
     Phrases, runs, blocks and windows are compared by 64-bit hashes, blocks and windows within their core.
     Hot strings are counted before they are shuffled and never listed; lists are of one document.
     """
-    rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"))
+    key, own, blocks, windows = fresh(docs, "repeat_key", "repeat_doc", "repeat_blocks", "repeat_windows")
+    text = F.col(f"`{text_col}`").cast("string")
+    # texts are moved once, to the buckets of a key that no two different texts of an id, or of no id, share
+    stored = bucketed(docs.withColumn(key, F.xxhash64(F.col(f"`{id_col}`"), text)), key, text_col, "texts")
+    rows = stored.select(F.col(key).alias("doc"), text.alias("text"))
     rows = rows.filter(F.octet_length("text") >= size)
     found = repeated_windows(rows, size)
-    own, blocks, windows = fresh(docs, "repeat_doc", "repeat_blocks", "repeat_windows")
     found = found.select(F.col("doc").alias(own), F.col("blocks").alias(blocks), F.col("windows").alias(windows))
-    joined = docs.join(found, docs[id_col].eqNullSafe(found[own]), "left").drop(own)
+    joined = stored.join(small(found), stored[key] == found[own], "left").drop(own, key)
     names = [c for c in docs.columns if c != text_col]
     more = fresh(docs.drop(text_col), "kept", "n_bytes", "n_removed", "n_spans", "spans")
 
