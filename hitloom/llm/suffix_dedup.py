@@ -361,20 +361,22 @@ def repeated_windows(rows: DataFrame, size: int) -> DataFrame:
         F.collect_list(F.struct("block", (F.col("n") == 1).alias("open"))).alias("asked")
     )
     asked = stage(asked, "asked_blocks")
+    # a block's bytes hold its core, so the block alone tells which it is
+    whole = blocks.select("doc", "block").join(kinds.filter("n > 1").select("block"), "block")
+    whole = stage(whole.groupBy("doc").agg(F.collect_set("block").alias("blocks")), "whole_blocks")
+    discard(blocks, kinds)
     joined = rows.join(small(asked), rows["doc"] == asked["d"]).select("doc", "text", "asked")
     windows = joined.mapInArrow(_find_windows(size), f"doc {kind}, core long, window long, open boolean")
     windows = stage(windows, "windows")
     discard(asked)
     again = windows.groupBy("core", "window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core", "window")
-    single = windows.filter("open").join(again, ["core", "window"]).select("doc", F.lit(None).cast("long").alias("block"), "window")
-    # a block's bytes hold its core, so the block alone tells which it is
-    whole = blocks.select("doc", "block").join(kinds.filter("n > 1").select("block"), "block")
-    whole = whole.select("doc", "block", F.lit(None).cast("long").alias("window"))
-    found = whole.unionByName(single).groupBy("doc").agg(
-        F.collect_set("block").alias("blocks"), F.collect_set("window").alias("windows")
+    single = windows.filter("open").join(again, ["core", "window"]).groupBy("doc").agg(F.collect_set("window").alias("windows"))
+    none = F.array().cast("array<long>")
+    found = whole.join(single, "doc", "full").select(
+        "doc", F.coalesce("blocks", none).alias("blocks"), F.coalesce("windows", none).alias("windows")
     )
     found = stage(found, "found_repeats")
-    discard(blocks, kinds, windows)
+    discard(whole, windows)
     return found
 
 
