@@ -26,24 +26,33 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 BUCKET_BYTES = 128_000_000
 
 
-def bucketed(df: DataFrame, key: str, text: str, name: str) -> DataFrame:
-    """`df` stored in buckets of `key` below ``spark.checkpoint.dir``: joins on `key` move the other side only.
+def bucket_count(df: DataFrame, text: str) -> int:
+    """Shuffle partitions, or more where a bucket would hold over `BUCKET_BYTES` of the column `text`."""
+    size = df.agg(F.coalesce(F.sum(F.octet_length(f"`{text}`")), F.lit(0))).first()[0]
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+
+
+def bucketed(df: DataFrame, key: str, n: int, name: str, dealt: bool = False) -> DataFrame:
+    """`df` stored in `n` buckets of `key` below ``spark.checkpoint.dir``: joins on `key` move the other side only.
 
-    There are as many buckets as shuffle partitions, or more where a bucket would hold over `BUCKET_BYTES` of the
-    column `text`. The catalog keeps no entry: the table is known by its files.
+    With `dealt` the rows of a bucket lie in one partition already, and nothing is shuffled. The catalog keeps no
+    entry: the table is known by its files.
     """
     spark = df.sparkSession
-    size = df.agg(F.coalesce(F.sum(F.octet_length(f"`{text}`")), F.lit(0))).first()[0]
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     table = f"{name}_{uuid.uuid4().hex}"
-    writer = df.repartition(n, key).write.format("parquet").bucketBy(n, key).option("path", work_folder(spark, name))
-    writer.saveAsTable(table)
+    placed = df if dealt else df.repartition(n, key)
+    placed.write.format("parquet").bucketBy(n, key).option("path", work_folder(spark, name)).saveAsTable(table)
     stored = spark.table(table)
     stored.schema  # resolved while the catalog still knows it
     spark.sql(f"DROP TABLE {table}")
     return stored
 
 
+def small(lists: DataFrame) -> DataFrame:
+    """The side of a join with texts in buckets that is moved and held: lists of a bucket's texts, never texts."""
+    return lists.hint("shuffle_hash")
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names that no column of `df` has, made of `names` with underscores."""
     taken = {c.lower() for c in df.columns}

@@ -8,10 +8,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import discard, fresh, map_batches, mix, shingle_hashes, slices, stage, words_of
+from hitloom.llm.common import bucket_count, bucketed, discard, fresh, map_batches, mix, shingle_hashes, slices, small, stage, words_of
 from hitloom.llm.near_links import Items, near_classes
 from hitloom.llm.passages import cut_passages
-from hitloom.sizing import broadcast_if_small
 
 SLICE_BYTES = 500_000
 
@@ -88,8 +87,13 @@ def dedup_paragraphs(
     Equal paragraphs are one row with a count from the first shuffle on. See
     :mod:`hitloom.llm.near_links` for buckets of many.
     """
-    x = F.xxhash64(F.col(text_col))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), x.alias("x"), F.col(text_col).cast("string").alias("text"))
+    key, cut, kept_in, dx = fresh(docs, "text_key", "cut_places", "cut_heads", "cut_x")
+    doc = F.col(f"`{id_col}`").cast("long")
+    # texts are moved once, to buckets; what is found of a text is joined to it there
+    buckets_of_texts = bucket_count(docs, text_col)
+    stored = docs.withColumn(key, F.xxhash64(doc, F.col(f"`{text_col}`")))
+    stored = bucketed(stored, key, buckets_of_texts, "texts")
+    rows = stored.select(doc.alias("doc"), F.col(key).alias("x"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         owner, place, found = [], [], []
@@ -124,13 +128,15 @@ def dedup_paragraphs(
     def fetch(ids: DataFrame) -> DataFrame:
         """Texts of paragraphs, each from its first document."""
         wanted = ids.join(distinct.select(F.col("p1").alias("id"), "first"), "id")
-        wanted = wanted.groupBy(F.col("first.doc").alias("d"), F.col("first.x").alias("dx")).agg(
-            F.collect_list(F.struct("id", F.col("first.place").alias("place"))).alias("asked")
+        wanted = wanted.groupBy(F.col("first.x").alias("dx")).agg(
+            F.collect_list(F.struct("id", F.col("first.place").alias("place"), F.col("first.doc").alias("doc"))).alias("asked")
         )
         wanted = stage(wanted, "wanted_paragraphs")
-        held = rows.join(broadcast_if_small(wanted), rows["doc"].eqNullSafe(wanted["d"]) & (rows["x"] == wanted["dx"]))
+        held = rows.join(small(wanted), rows["x"] == wanted["dx"])
+        # texts of one key are told apart by their ids
+        asked = F.filter("asked", lambda a: a["doc"].eqNullSafe(F.col("doc")))
         parts = F.split("text", "\n")
-        one = held.select(F.explode(F.transform("asked", lambda a: F.struct(a["id"].alias("id"), F.get(parts, a["place"].cast("int")).alias("text")))).alias("p"))
+        one = held.select(F.explode(F.transform(asked, lambda a: F.struct(a["id"].alias("id"), F.get(parts, a["place"].cast("int")).alias("text")))).alias("p"))
         return one.select("p.id", "p.text").dropDuplicates(["id"])
 
     at, _ = near_classes(buckets, fetch, lambda texts: shingle_sets(texts, shingle), threshold)
@@ -140,13 +146,18 @@ def dedup_paragraphs(
     repeated = stage(classed.select("p1", "p2", "class").join(heads, "class").select("p1", "p2", "head"), "repeated_paragraphs")
     gone = found.select("doc", "x", "place", "p1", "p2").join(repeated, ["p1", "p2"])
     gone = gone.filter(~F.struct("doc", "place", "x").eqNullSafe(F.col("head")))
-    cut, kept_in, d, dx = fresh(docs, "cut_places", "cut_heads", "cut_doc", "cut_x")
-    gone = gone.groupBy(F.col("doc").alias(d), F.col("x").alias(dx)).agg(
-        F.array_sort(F.collect_set("place")).alias(cut), F.array_sort(F.collect_set("head.doc")).alias(kept_in)
+    gone = gone.groupBy(F.col("x").alias(dx)).agg(
+        F.collect_set(F.struct("doc", "place")).alias(cut), F.collect_set(F.struct("doc", F.col("head.doc").alias("head"))).alias(kept_in)
     )
-    same = docs[id_col].cast("long").eqNullSafe(gone[d]) & x.eqNullSafe(gone[dx])
-    joined = docs.join(gone, same, "left").drop(d, dx)
-    names = docs.columns
+
+    def own(lists: str, field: str) -> F.Column:
+        """Of the entries of a key those of the row's id."""
+        mine = F.filter(lists, lambda e: e["doc"].eqNullSafe(doc))
+        return F.array_sort(F.array_distinct(F.transform(mine, lambda e: e[field])))
+
+    joined = stored.join(small(gone), stored[key] == gone[dx], "left").drop(dx)
+    joined = joined.withColumns({cut: own(cut, "place"), kept_in: own(kept_in, "head")})
+    names = stored.columns
     more = fresh(docs, "n_paragraphs", "n_removed", "removed", "removed_bytes", "kept_in")
 
     def remove(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -170,9 +181,9 @@ def dedup_paragraphs(
             names=[*names, *more],
         )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stored.schema)
     kinds = ["long", "long", "array<long>", "long", "array<long>"]
     left = map_batches(joined, remove, f"{fields}, " + ", ".join(f"`{n}` {k}" for n, k in zip(more, kinds, strict=True)), text_col)
-    left = stage(left, "paragraphs_left")
-    discard(found, distinct, repeated)
-    return cut_passages(left, id_col, text_col, more[1:], min_words)
+    left = bucketed(left, key, buckets_of_texts, "paragraphs_left", dealt=True)
+    discard(found, distinct, repeated, stored)
+    return cut_passages(left, id_col, text_col, key, more[1:], min_words).drop(key)

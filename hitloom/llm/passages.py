@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import _SPACE, _WORD_TABLE, fresh, map_batches, mix, prefix_hash, range_hash, slices, stage, text_bytes
+from hitloom.llm.common import _SPACE, _WORD_TABLE, fresh, map_batches, mix, prefix_hash, range_hash, slices, small, stage, text_bytes
 from hitloom.sizing import broadcast_if_small
 
 SLICE_BYTES = 500_000
@@ -71,15 +71,15 @@ def _cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[last:]])
 
 
-def cut_passages(docs: DataFrame, id_col: str, text_col: str, more: list[str], min_words: int) -> DataFrame:
+def cut_passages(docs: DataFrame, id_col: str, text_col: str, key: str, more: list[str], min_words: int) -> DataFrame:
     """`docs` without the runs of at least `min_words` words that are made of pieces which stand earlier,
     in the order of id and place; the first occurrence of each piece stays.
 
-    `more` names the columns for the number of removed parts, the places of their lines, their bytes and the
+    `docs` lies in buckets of `key`, a hash of id and text; `more` names the columns for the number of removed parts, the places of their lines, their bytes and the
     ids that keep them, which are added to. Pieces are told apart by 128 bits.
     """
-    x = F.xxhash64(F.col(text_col))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), x.alias("x"), F.col(text_col).cast("string").alias("text"))
+    own_id = F.col(f"`{id_col}`").cast("long")
+    rows = docs.select(own_id.alias("doc"), F.col(key).alias("x"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def cut_up(texts: list[bytes]) -> list[np.ndarray]:
         done = []
@@ -108,12 +108,13 @@ def cut_passages(docs: DataFrame, id_col: str, text_col: str, more: list[str], m
     heads = found.groupBy("h", "h2").agg(F.min(where).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     heads = stage(heads.drop("n"), "first_pieces")
     gone = found.join(broadcast_if_small(heads), ["h", "h2"]).filter(~where.eqNullSafe(F.col("head")))
-    d, dx, cut = fresh(docs, "passage_doc", "passage_x", "passage_cut")
-    gone = gone.groupBy(F.col("doc").alias(d), F.col("x").alias(dx)).agg(
-        F.collect_set(F.struct("place", F.col("head.doc").alias("head"))).alias(cut)
+    dx, cut = fresh(docs, "passage_x", "passage_cut")
+    gone = gone.groupBy(F.col("x").alias(dx)).agg(
+        F.collect_set(F.struct("doc", "place", F.col("head.doc").alias("head"))).alias(cut)
     )
-    same = docs[id_col].cast("long").eqNullSafe(gone[d]) & x.eqNullSafe(gone[dx])
-    joined = docs.join(gone, same, "left").drop(d, dx)
+    joined = docs.join(small(gone), docs[key] == gone[dx], "left").drop(dx)
+    # texts of one key are told apart by their ids
+    joined = joined.withColumn(cut, F.filter(cut, lambda e: e["doc"].eqNullSafe(own_id)))
     names = docs.columns
 
     def remove(batch: pa.RecordBatch) -> pa.RecordBatch:

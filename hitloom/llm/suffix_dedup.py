@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import bucketed, byte_table, discard, fresh, prefix_hash, range_hash, slices, stage
+from hitloom.llm.common import bucket_count, bucketed, byte_table, discard, fresh, parts, prefix_hash, range_hash, slices, small, stage
 from hitloom.llm.suffix_groups import suffix_order
 
 # Bytes whose hash places an anchor.
@@ -123,18 +123,19 @@ def _members(values: np.ndarray, wanted: pa.Array) -> np.ndarray:
 
 def _find_phrases(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, s in _scans(batch.column(1), size):
-                cut = np.searchsorted(s.anchor_doc, np.arange(len(rows) + 1)).astype(np.int32)
-                at = s.anchor - s.first[s.anchor_doc]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(rows)),
-                        pa.ListArray.from_arrays(pa.array(cut), pa.array(at.astype(np.int32))),
-                        pa.ListArray.from_arrays(pa.array(cut), _i64(s.phrase)),
-                    ],
-                    names=["doc", "at", "phrases"],
-                )
+        for whole in batches:
+            for batch in parts(whole, "text"):
+                for rows, s in _scans(batch.column(1), size):
+                    cut = np.searchsorted(s.anchor_doc, np.arange(len(rows) + 1)).astype(np.int32)
+                    at = s.anchor - s.first[s.anchor_doc]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).take(pa.array(rows)),
+                            pa.ListArray.from_arrays(pa.array(cut), pa.array(at.astype(np.int32))),
+                            pa.ListArray.from_arrays(pa.array(cut), _i64(s.phrase)),
+                        ],
+                        names=["doc", "at", "phrases"],
+                    )
 
     return run
 
@@ -261,8 +262,8 @@ def find_repeats(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
     runs = stage(runs, "runs")
     discard(found, repeated)
     total = runs.agg(F.coalesce(F.sum(F.size("run")), F.lit(0))).first()[0]
-    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_PHRASES))
-    ordered = runs.repartitionByRange(parts, "run").mapInArrow(
+    ranges = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_PHRASES))
+    ordered = runs.repartitionByRange(ranges, "run").mapInArrow(
         _order_runs, f"doc {kind}, run array<long>, n long, shared long, part long, end long"
     )
     ordered = stage(ordered, "ordered_runs")
@@ -278,26 +279,27 @@ def _find_blocks(size: int):
     """(doc, core, block) for each core of a document that stands somewhere else too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            repeated, less = batch.column(2), batch.column(3)
-            for rows, s in _scans(batch.column(1), size):
-                flag = np.zeros(len(s.anchor), dtype=bool)
-                cut = np.searchsorted(s.anchor_doc, np.arange(len(rows) + 1))
-                for k, row in enumerate(rows.tolist()):
-                    part = slice(cut[k], cut[k + 1])
-                    flag[part] = _members(s.phrase[part], repeated[row].values)
-                shared, keys = s.runs(flag & (s.phrase != 0))
-                for k, row in enumerate(rows.tolist()):
-                    if less[row].is_valid:
-                        known = {d["run"]: d["shared"] for d in less[row].as_py()}
-                        part = np.arange(cut[k], cut[k + 1])
-                        mine = part[_members(keys[part], pa.array(list(known), pa.int64()))]
-                        shared[mine] = [known[x] for x in keys[mine].view(np.int64).tolist()]
-                own = np.flatnonzero(shared[s.from_anchor] >= s.n_phrases)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(rows[s.doc[own]])), _i64(s.core[own]), _i64(s.block[own])],
-                    names=["doc", "core", "block"],
-                )
+        for whole in batches:
+            for batch in parts(whole, "text"):
+                repeated, less = batch.column(2), batch.column(3)
+                for rows, s in _scans(batch.column(1), size):
+                    flag = np.zeros(len(s.anchor), dtype=bool)
+                    cut = np.searchsorted(s.anchor_doc, np.arange(len(rows) + 1))
+                    for k, row in enumerate(rows.tolist()):
+                        part = slice(cut[k], cut[k + 1])
+                        flag[part] = _members(s.phrase[part], repeated[row].values)
+                    shared, keys = s.runs(flag & (s.phrase != 0))
+                    for k, row in enumerate(rows.tolist()):
+                        if less[row].is_valid:
+                            known = {d["run"]: d["shared"] for d in less[row].as_py()}
+                            part = np.arange(cut[k], cut[k + 1])
+                            mine = part[_members(keys[part], pa.array(list(known), pa.int64()))]
+                            shared[mine] = [known[x] for x in keys[mine].view(np.int64).tolist()]
+                    own = np.flatnonzero(shared[s.from_anchor] >= s.n_phrases)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(pa.array(rows[s.doc[own]])), _i64(s.core[own]), _i64(s.block[own])],
+                        names=["doc", "core", "block"],
+                    )
 
     return run
 
@@ -306,39 +308,35 @@ def _find_windows(size: int):
     """(doc, core, window, open) for the windows of the blocks asked for (block, open)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            asked = batch.column(2)
-            for rows, s in _scans(batch.column(1), size):
-                cut = np.searchsorted(s.doc, np.arange(len(rows) + 1))
-                picked, is_open = [], []
-                for k, row in enumerate(rows.tolist()):
-                    wanted = {d["block"]: d["open"] for d in asked[row].as_py()}
-                    part = np.arange(cut[k], cut[k + 1])
-                    mine = part[_members(s.block[part], pa.array(list(wanted), pa.int64()))]
-                    # a block that stands twice in the document is asked for once
-                    _, once = np.unique(s.block[mine], return_index=True)
-                    mine = mine[np.sort(once)]
-                    picked.append(mine)
-                    is_open += [wanted[b] for b in s.block[mine].view(np.int64).tolist()]
-                cores = np.concatenate(picked) if picked else np.zeros(0, dtype=np.int64)
-                start, core = s.windows(cores)
-                count = s.high[cores] - s.low[cores] + 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(rows[s.doc[core]])), _i64(s.core[core]), _i64(s.window_hash(start)),
-                        pa.array(np.repeat(np.array(is_open, dtype=bool), count)),
-                    ],
-                    names=["doc", "core", "window", "open"],
-                )
+        for whole in batches:
+            for batch in parts(whole, "text"):
+                asked = batch.column(2)
+                for rows, s in _scans(batch.column(1), size):
+                    cut = np.searchsorted(s.doc, np.arange(len(rows) + 1))
+                    picked, is_open = [], []
+                    for k, row in enumerate(rows.tolist()):
+                        wanted = {d["block"]: d["open"] for d in asked[row].as_py()}
+                        part = np.arange(cut[k], cut[k + 1])
+                        mine = part[_members(s.block[part], pa.array(list(wanted), pa.int64()))]
+                        # a block that stands twice in the document is asked for once
+                        _, once = np.unique(s.block[mine], return_index=True)
+                        mine = mine[np.sort(once)]
+                        picked.append(mine)
+                        is_open += [wanted[b] for b in s.block[mine].view(np.int64).tolist()]
+                    cores = np.concatenate(picked) if picked else np.zeros(0, dtype=np.int64)
+                    start, core = s.windows(cores)
+                    count = s.high[cores] - s.low[cores] + 1
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).take(pa.array(rows[s.doc[core]])), _i64(s.core[core]), _i64(s.window_hash(start)),
+                            pa.array(np.repeat(np.array(is_open, dtype=bool), count)),
+                        ],
+                        names=["doc", "core", "window", "open"],
+                    )
 
     return run
 
 
-def small(lists: DataFrame) -> DataFrame:
-    """The side of a join with texts in buckets that is moved and held: lists of a bucket's texts, never texts."""
-    return lists.hint("shuffle_hash")
-
-
 def repeated_windows(rows: DataFrame, size: int) -> DataFrame:
     """(doc, blocks, windows): what repeats in each document, named by its bytes. All windows of a block in
     `blocks` repeat; of other blocks those in `windows` do. Documents without any are left out."""
@@ -407,7 +405,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     key, own, blocks, windows = fresh(docs, "repeat_key", "repeat_doc", "repeat_blocks", "repeat_windows")
     text = F.col(f"`{text_col}`").cast("string")
     # texts are moved once, to the buckets of a key that no two different texts of an id, or of no id, share
-    stored = bucketed(docs.withColumn(key, F.xxhash64(F.col(f"`{id_col}`"), text)), key, text_col, "texts")
+    stored = docs.withColumn(key, F.xxhash64(F.col(f"`{id_col}`"), text))
+    stored = bucketed(stored, key, bucket_count(docs, text_col), "texts")
     rows = stored.select(F.col(key).alias("doc"), text.alias("text"))
     rows = rows.filter(F.octet_length("text") >= size)
     found = repeated_windows(rows, size)
@@ -417,47 +416,48 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     more = fresh(docs.drop(text_col), "kept", "n_bytes", "n_removed", "n_spans", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index(text_col))
-            texts = [t or b"" for t in column.cast(pa.string()).cast(pa.binary()).to_pylist()]
-            by_block, by_window = batch.column(blocks), batch.column(windows)
-            spans: list[list[int]] = [[] for _ in texts]
-            hit = np.array([v.is_valid for v in by_block])
-            long = pa.array([t if h else None for t, h in zip(texts, hit, strict=True)], pa.binary())
-            for rows, s in _scans(long, size):
-                cut = np.searchsorted(s.doc, np.arange(len(rows) + 1))
-                for k, row in enumerate(rows.tolist()):
-                    part = np.arange(cut[k], cut[k + 1])
-                    all_of = _members(s.block[part], by_block[row].values)
-                    start, _ = s.windows(part[~all_of])
-                    if len(by_window[row].values):
-                        start = start[_members(s.window_hash(start), by_window[row].values)]
-                    else:
-                        start = start[:0]
-                    base = s.first[k]
-                    delta = np.zeros(len(texts[row]) + 1, dtype=np.int64)
-                    np.add.at(delta, s.low[part[all_of]] - base, 1)
-                    np.add.at(delta, s.high[part[all_of]] - base + size, -1)
-                    np.add.at(delta, start - base, 1)
-                    np.add.at(delta, start - base + size, -1)
-                    gone = np.cumsum(delta)[:-1] > 0
-                    spans[row] = np.flatnonzero(np.diff(gone, prepend=False, append=False)).tolist()
-            kept = []
-            for text, edges in zip(texts, spans, strict=True):
-                bounds = [0, *edges, len(text)]
-                kept.append(b"".join(text[a:b] for a, b in zip(bounds[0::2], bounds[1::2], strict=True)))
-            pairs = [[{"start": a, "end": b} for a, b in zip(e[0::2], e[1::2], strict=True)] for e in spans]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(batch.schema.get_field_index(c)) for c in names],
-                    pa.array(kept, pa.binary()),
-                    pa.array([len(t) for t in texts], pa.int64()),
-                    pa.array([len(t) - len(x) for t, x in zip(texts, kept, strict=True)], pa.int64()),
-                    pa.array([len(p) for p in pairs], pa.int64()),
-                    pa.array(pairs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                ],
-                names=[*names, *more],
-            )
+        for whole in batches:
+            for batch in parts(whole, text_col):
+                column = batch.column(batch.schema.get_field_index(text_col))
+                texts = [t or b"" for t in column.cast(pa.string()).cast(pa.binary()).to_pylist()]
+                by_block, by_window = batch.column(blocks), batch.column(windows)
+                spans: list[list[int]] = [[] for _ in texts]
+                hit = np.array([v.is_valid for v in by_block])
+                long = pa.array([t if h else None for t, h in zip(texts, hit, strict=True)], pa.binary())
+                for rows, s in _scans(long, size):
+                    cut = np.searchsorted(s.doc, np.arange(len(rows) + 1))
+                    for k, row in enumerate(rows.tolist()):
+                        part = np.arange(cut[k], cut[k + 1])
+                        all_of = _members(s.block[part], by_block[row].values)
+                        start, _ = s.windows(part[~all_of])
+                        if len(by_window[row].values):
+                            start = start[_members(s.window_hash(start), by_window[row].values)]
+                        else:
+                            start = start[:0]
+                        base = s.first[k]
+                        delta = np.zeros(len(texts[row]) + 1, dtype=np.int64)
+                        np.add.at(delta, s.low[part[all_of]] - base, 1)
+                        np.add.at(delta, s.high[part[all_of]] - base + size, -1)
+                        np.add.at(delta, start - base, 1)
+                        np.add.at(delta, start - base + size, -1)
+                        gone = np.cumsum(delta)[:-1] > 0
+                        spans[row] = np.flatnonzero(np.diff(gone, prepend=False, append=False)).tolist()
+                kept = []
+                for text, edges in zip(texts, spans, strict=True):
+                    bounds = [0, *edges, len(text)]
+                    kept.append(b"".join(text[a:b] for a, b in zip(bounds[0::2], bounds[1::2], strict=True)))
+                pairs = [[{"start": a, "end": b} for a, b in zip(e[0::2], e[1::2], strict=True)] for e in spans]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[batch.column(batch.schema.get_field_index(c)) for c in names],
+                        pa.array(kept, pa.binary()),
+                        pa.array([len(t) for t in texts], pa.int64()),
+                        pa.array([len(t) - len(x) for t, x in zip(texts, kept, strict=True)], pa.int64()),
+                        pa.array([len(p) for p in pairs], pa.int64()),
+                        pa.array(pairs, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                    ],
+                    names=[*names, *more],
+                )
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text_col]
     kinds = ["binary", "long", "long", "long", "array<struct<start:long,end:long>>"]
