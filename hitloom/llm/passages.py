@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hitloom.llm.common import _SPACE, _WORD_TABLE, fresh, map_batches, mix, prefix_hash, range_hash, slices, small, stage, text_bytes
-from hitloom.sizing import broadcast_if_small
 
 SLICE_BYTES = 500_000
 
@@ -103,11 +102,11 @@ def cut_passages(docs: DataFrame, id_col: str, text_col: str, key: str, more: li
     counted = map_batches(rows.select("text"), hashes, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     several = stage(counted.filter("n > 1").select("h"), "repeated_pieces")
     found = map_batches(rows, places, "doc long, x long, place long, h long, h2 long")
-    found = stage(found.join(broadcast_if_small(several), "h"), "pieces")
+    found = stage(found.join(small(several), "h"), "pieces")
     where = F.struct("doc", "place", "x")
     heads = found.groupBy("h", "h2").agg(F.min(where).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     heads = stage(heads.drop("n"), "first_pieces")
-    gone = found.join(broadcast_if_small(heads), ["h", "h2"]).filter(~where.eqNullSafe(F.col("head")))
+    gone = found.join(small(heads), ["h", "h2"]).filter(~where.eqNullSafe(F.col("head")))
     dx, cut = fresh(docs, "passage_x", "passage_cut")
     gone = gone.groupBy(F.col("x").alias(dx)).agg(
         F.collect_set(F.struct("doc", "place", F.col("head.doc").alias("head"))).alias(cut)
