@@ -49,7 +49,7 @@ def curve_value(value: Column, x0: Column, y0: Column, x1: Column, y1: Column) -
     where `x1` is null; null for null, NaN for NaN."""
     slope = (y1 - y0) / (x1 - x0)
     return (
-        F.when(F.isnan(value), value)
+        F.when(value.isNull() | F.isnan(value), value)
         .when((value < x0) | x1.isNull() | (y1 == y0), y0)
         .otherwise(y0 + slope * (value - x0))
     )
