@@ -141,10 +141,12 @@ def dedup_lines(
     )
     keys = stage(keys, "line_keys")
     runs = LineRuns(spark, min_docs)
-    for i in range(batches):
-        runs.add(keys.filter(F.col("batch") == i))
-    settled = stage(runs.settled(), "settled_lines")
-    runs.drop()
+    try:
+        for i in range(batches):
+            runs.add(keys.filter(F.col("batch") == i))
+        settled = stage(runs.settled(), "settled_lines")
+    finally:
+        runs.drop()
     hit, at = fresh(docs, "dropped_keys", "hit_doc")
     hits = (
         keys.join(settled, KEY)

@@ -286,6 +286,18 @@ def test_phrases_do_not_depend_on_the_offset():
     assert len(runs) <= 4
 
 
+def test_likeness_is_that_of_the_phrases():
+    off = []
+    for seed in range(12):
+        x, y = prose(400, seed), prose(300, 50 + seed)
+        for z in (x, fingerprints.edit(x, y), y, x[: len(x) * 3 // 4] + y[:200], "start " + x):
+            a, b = (set(fingerprints.parse([t])[0].tolist()) for t in (x, z))
+            f, g = fingerprints.fingerprints([x, z])
+            off.append(fingerprints.likeness(f, g, len(x), len(z)) - len(a & b) / len(a | b))
+    # 64 values: a standard error of at most 1/16 each
+    assert max(map(abs, off)) < 0.28 and abs(sum(off) / len(off)) < 0.03
+
+
 def test_classes_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7)], "a long, b long")
     got = {(r.id, r["class"]) for r in classes(links).collect()}

@@ -52,6 +52,17 @@ def test_runs_are_levelled_and_compacted(spark):
     runs.drop()
 
 
+def test_failed_batches_leave_no_runs(spark, monkeypatch):
+    def broken(self):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(line_dedup.LineRuns, "settled", broken)
+    before = {t.name for t in spark.catalog.listTables()}
+    with pytest.raises(RuntimeError, match="lost"):
+        line_dedup.dedup_lines(documents(spark))
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
 def test_sentencepiece_equals_the_library(spark):
     import sentencepiece
 
