@@ -31,10 +31,10 @@ def sha256(text: str) -> F.Column:
 def source_tree() -> tuple[list[F.Column], list[F.Column]]:
     """Levels (domain, language, source) and their weights; sources are dealt to four domains by number.
 
-    A source that is null or has no digits has no domain and weight 0: its documents are left out.
+    A source that is null or has no usable number is of the null domain, which has weight 1 like the fourth.
     """
     domain = F.concat(F.lit("d"), F.regexp_extract("source", r"(\d+)", 1).try_cast("int") % 4)
-    weight = F.when(domain == "d0", 4.0).when(domain == "d1", 3.0).when(domain == "d2", 2.0).when(domain == "d3", 1.0)
+    weight = F.when(domain == "d0", 4.0).when(domain == "d1", 3.0).when(domain == "d2", 2.0).otherwise(1.0)
     lang = F.when(F.col("lang") == "en", 2.0).otherwise(1.0)
     return [domain, F.col("lang"), F.col("source")], [weight, lang, F.lit(1.0)]
 
@@ -68,7 +68,7 @@ WITH r AS (
   FROM documents),
 leaf AS (
   SELECT domain, lang, source, sum(tokens)::DOUBLE AS supply,
-    CASE domain WHEN 'd0' THEN 4.0 WHEN 'd1' THEN 3.0 WHEN 'd2' THEN 2.0 WHEN 'd3' THEN 1.0 ELSE 0.0 END::DOUBLE AS w0,
+    CASE domain WHEN 'd0' THEN 4.0 WHEN 'd1' THEN 3.0 WHEN 'd2' THEN 2.0 ELSE 1.0 END::DOUBLE AS w0,
     CASE WHEN lang = 'en' THEN 2.0 ELSE 1.0 END::DOUBLE AS w1, 1.0::DOUBLE AS w2
   FROM r GROUP BY domain, lang, source),
 c AS (SELECT *, supply * 3.0::DOUBLE AS c2 FROM leaf),

@@ -9,7 +9,7 @@ from hitloom.llm import line_dedup, mixing, queries, sentencepiece_chunks
 from hitloom.llm.suffix_groups import suffix_order
 from pyspark.sql import functions as F
 
-from .helpers import awkward_texts, documents
+from .helpers import awkward_texts, documents, prose
 
 
 def _key(line):
@@ -140,6 +140,19 @@ def test_mixing_without_usable_weights(spark):
         assert mixing.mix_sources(docs, [F.col("lang")], [F.lit(w).cast("double")]).count() == 0
 
 
+def test_sources_without_a_number_take_part(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    names = [None, "web", "", "src1", "src2", "src7", "src99999999999"]
+    rows = [(i, prose(20 + i % 13, i), ["en", "de", None][i % 3], names[i % 7], 1) for i in range(140)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(path)
+    out = [tuple(r) for r in queries.QUERIES["op3_mixing"](spark, str(tmp_path)).collect()]
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    assert Counter(out) == Counter(con.execute(queries.SQL["op3_mixing"]).fetchall())
+    assert {r[2] for r in out} == set(names)
+
+
 def test_suffix_order_equals_sorting():
     import random
 
