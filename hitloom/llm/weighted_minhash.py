@@ -17,8 +17,6 @@ from hitloom.sizing import broadcast_if_small
 
 # Counters of document frequencies; a shingle's frequency is that of its counter.
 COUNTERS = 1 << 18
-# Rows of the table of random draws per sample; shingles are dealt to them by a hash of their own.
-DRAWS = 1 << 14
 SLICE_BYTES = 500_000
 
 # Bands and samples in a band: a pair of likeness 0.8 shares a band with probability 0.9998.
@@ -68,6 +66,18 @@ def document_frequencies(docs: DataFrame, text_col: str, size: int) -> tuple[np.
     return out, int(found["n"][~real].sum())
 
 
+def _halves(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Upper and lower 32 bits."""
+    return (h >> np.uint64(32)).astype(np.uint32), h.astype(np.uint32)
+
+
+def _gamma(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Gamma(2, 1) numbers, above 0, from the upper 24 bits of two words: -ln of a product of uniform numbers."""
+    p = (u >> np.uint32(8)).view(np.int32).astype(np.float32) + np.float32(0.5)
+    p *= ((v >> np.uint32(8)).view(np.int32).astype(np.float32) + np.float32(0.5)) * np.float32(2.0**-48)
+    return np.maximum(-np.log(p), np.float32(2.0**-24))
+
+
 class Sampler:
     """Improved consistent weighted sampling.
 
@@ -77,25 +87,29 @@ class Sampler:
     """
 
     def __init__(self, samples: int, seed: int):
-        rng = np.random.default_rng(seed)
-        shape = (samples, DRAWS)
-        self.r = rng.gamma(2.0, 1.0, shape).astype(np.float32)
-        self.log_c = np.log(rng.gamma(2.0, 1.0, shape)).astype(np.float32)
-        self.beta = rng.random(shape).astype(np.float32)
-        self.step = (rng.integers(0, 1 << 62, samples, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+        self.salt = np.random.default_rng(seed).integers(0, 1 << 63, samples, dtype=np.uint64)
+
+    def draws(self, shingle: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(r, ln c, b) of each shingle in sample k, from its hash alone, so no two share their numbers."""
+        h = mix(shingle ^ self.salt[k])
+        g = h * np.uint64(0x9E3779B97F4A7C15)
+        g ^= g >> np.uint64(32)
+        (u, v), (x, y) = _halves(h), _halves(g)
+        r, log_c = _gamma(u, v), np.log(_gamma(x, y))
+        beta = (((u & 0xFF) << 8) | (v & 0xFF)).view(np.int32).astype(np.float32) * np.float32(2.0**-16)
+        return r, log_c, beta
 
     def sample(self, shingle: np.ndarray, start: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Samples (texts, samples) as 64-bit words; text i has the shingles from start[i] to the next."""
-        out = np.empty((len(start), len(self.r)), dtype=np.uint64)
+        out = np.empty((len(start), len(self.salt)), dtype=np.uint64)
         log_s = np.log(weight).astype(np.float32)
         size = np.diff(np.append(start, len(shingle)))
-        for k in range(len(self.r)):
-            slot = ((shingle * self.step[k]) >> np.uint64(50)).astype(np.int64)
-            r, beta = self.r[k][slot], self.beta[k][slot]
+        for k in range(len(self.salt)):
+            r, log_c, beta = self.draws(shingle, k)
             t = np.floor(log_s / r + beta)
-            a = self.log_c[k][slot] - r * (t - beta + 1)
+            a = log_c - r * (t - beta + 1)
             least = np.repeat(np.minimum.reduceat(a, start), size)
-            # shingles of one slot can tie; the smallest shingle among them is the sample
+            # of equal numbers, rare at 24 bits, the smallest shingle is the sample
             tied = np.where(a == least, shingle, np.uint64(0xFFFFFFFFFFFFFFFF))
             first = np.minimum.reduceat(tied, start)
             hit = np.flatnonzero(tied == np.repeat(first, size))
@@ -107,7 +121,7 @@ _SAMPLERS: dict[tuple[int, int], Sampler] = {}
 
 
 def sampler(samples: int, seed: int) -> Sampler:
-    """The sampler of a seed; its draws are made once in a task."""
+    """The sampler of a seed, made once in a task."""
     if (samples, seed) not in _SAMPLERS:
         _SAMPLERS[samples, seed] = Sampler(samples, seed)
     return _SAMPLERS[samples, seed]
@@ -127,7 +141,8 @@ def near_documents(
     smallest id. `kept` is true for the row whose id is the class.
 
     TF is the count in the text, IDF is ln((1 + rows) / (1 + rows of the shingle's counter)) + 1 over all
-    rows; there are `COUNTERS` counters, so what rare shingles get is a little less than their exact IDF.
+    rows; there are `COUNTERS` counters, so what rare shingles get is a little less than their exact IDF. Texts of
+    any length are sampled from all their shingles, a slice of a batch at a time.
     Texts of fewer words than `shingle` have one shingle of all their words. Equal texts are always of one
     class, empty ones too; null texts and rows with a null id are in no class but their own (class is the id,
     and ``kept`` is true). Rows that repeat an id and a text are all kept or all dropped. Other columns are

@@ -121,14 +121,67 @@ def test_buckets_of_several_classes_lose_no_link(spark, monkeypatch):
     assert all(r.sim >= 0.8 for r in links.collect())
 
 
-def test_samples_agree_as_often_as_texts_are_alike():
+@pytest.mark.parametrize("n, samples", [(400, 3000), (100_000, 500)])
+def test_samples_agree_as_often_as_texts_are_alike(n, samples):
     rng = np.random.default_rng(1)
-    items = np.sort(rng.integers(0, 1 << 62, 400, dtype=np.uint64))
-    w = rng.random(400) * 3 + 0.2
-    x, y = (items[:300], w[:300]), (items[60:], w[60:] * 1.1)
-    sampler = weighted_minhash.Sampler(3000, 4)
+    items = np.sort(rng.integers(0, 1 << 62, n, dtype=np.uint64))
+    w = rng.random(n) * 3 + 0.2
+    part = n * 3 // 4
+    x, y = (items[:part], w[:part]), (items[n // 8 :], w[n // 8 :] * 1.1)
+    sampler = weighted_minhash.Sampler(samples, 4)
     a, b = (sampler.sample(i, np.array([0]), v)[0] for i, v in (x, y))
-    assert abs((a == b).mean() - near_links.likeness(x, y)) < 0.04
+    # four standard errors
+    likeness = near_links.likeness(x, y)
+    assert abs((a == b).mean() - likeness) < 4 * math.sqrt(likeness * (1 - likeness) / samples)
+
+
+def test_extreme_draws_are_usable():
+    top, none = np.full(2, 0xFFFFFFFF, dtype=np.uint32), np.zeros(2, dtype=np.uint32)
+    for u, v in ((top, top), (none, none), (top, none)):
+        drawn = weighted_minhash._gamma(u, v)
+        assert (drawn > 0).all() and np.isfinite(np.log(drawn)).all()
+
+
+def test_near_copies_among_very_long_texts(spark):
+    words = prose(100_000, 5).split()
+    near = list(words)
+    for i in range(0, len(near), 70):  # 5 of each 70 shingles change: likeness (65 / 75) = 0.87
+        near[i] = f"x{i}"
+    far = list(words)
+    for i in range(0, len(far), 20):
+        far[i] = f"y{i}"
+    texts = [" ".join(words), " ".join(near), " ".join(far), prose(100_000, 6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r["class"] for r in weighted_minhash.near_documents(docs, plain=True).collect()}
+    assert out == {0: 0, 1: 0, 2: 2, 3: 3}
+
+
+def _plain_or_weighted_classes(rows):
+    """Class of each row by comparing all pairs, with exact document frequencies."""
+    n, counts = len(rows), [Counter(_shingles(r.text)) for r in rows]
+    df = Counter(s for c in counts for s in c)
+    weight = [{s: k * (math.log((1 + n) / (1 + df[s])) + 1) for s, k in c.items()} for c in counts]
+
+    def alike(a, b):
+        if rows[a].text == rows[b].text:
+            return True
+        low = sum(min(v, weight[b][s]) for s, v in weight[a].items() if s in weight[b])
+        total = sum(weight[a].values()) + sum(weight[b].values()) - low
+        both, either = len(counts[a].keys() & counts[b].keys()), len(counts[a].keys() | counts[b].keys())
+        return low >= 0.8 * total > 0 or both >= 0.8 * either > 0
+
+    at = _components(n, [(a, b) for a in range(n) for b in range(a) if alike(a, b)])
+    first = {}
+    for i, r in enumerate(rows):
+        first[at[i]] = min(first.get(at[i], r.doc_id), r.doc_id)
+    return {r.doc_id: first[at[i]] for i, r in enumerate(rows)}
+
+
+def test_near_documents_with_plain_links(spark):
+    texts = [*_copies(25, 7), *_copies(20, 8), *[prose(60, 100 + i) for i in range(10)], "", "", "one two", "one two three"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r["class"] for r in weighted_minhash.near_documents(docs, plain=True).collect()}
+    assert out == _plain_or_weighted_classes(docs.collect())
 
 
 def test_paragraphs(spark):
