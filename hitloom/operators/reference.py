@@ -12,6 +12,9 @@ from hitloom.operators.hits import map_channels
 from hitloom.schema import CHANNEL_KEY, EVENT_KEY, MODULE_KEY
 from hitloom.sizing import broadcast_if_small
 
+# Hits of one join key that a task takes without help: only keys with more of them are salted.
+SALTED_ROWS = 100_000
+
 
 def time_reference(
     hits: DataFrame, reference_map: DataFrame, event_key: str = EVENT_KEY
@@ -36,7 +39,7 @@ def subtract_reference(
     A module without reference gives null; one with several gives a row for each of them, or only
     the earliest with `first`.  `match` are the columns compared besides the event.  With `salt` > 1
     the hits of one event and module are spread over that many join keys and the (few) references
-    repeated for each.
+    repeated for each, where the key has more than `SALTED_ROWS` hits; references of the others stand once.
 
     With `window` only rows whose distance lies strictly inside it are made: values are cut into cells a
     little wider than the window, a hit meets the references of two cells at most, and all others of its
@@ -53,10 +56,16 @@ def subtract_reference(
         references = references.withColumn("_cell", F.explode(band_cells(F.col("_reference"), window)))
         key, how = [*key, "_cell"], "inner"
     if salt > 1:
-        mapped = mapped.withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(salt)))
-        salts = F.sequence(F.lit(0).cast("long"), F.lit(salt - 1).cast("long"))
-        references = references.withColumn("_salt", F.explode(salts))
+        # A salted key holds more than SALTED_ROWS hits, so the broadcast has a row for so many of the input at most.
+        counts = mapped.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > SALTED_ROWS)
+        salted = F.broadcast(counts.select(*key, F.lit(salt).cast("long").alias("_salts")))
+        salts = F.coalesce("_salts", F.lit(1).cast("long"))
+        mapped = mapped.join(salted, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*columns), salts))
+        repeats = F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))
+        references = references.join(salted, key, "left").withColumn("_salt", repeats).drop("_salts")
         key = [*key, "_salt"]
+        # Spark takes an exploded table for as small as it was before, and would broadcast it.
+        references = references.hint("merge")
     difference = F.col("value") - F.col("_reference")
     met = mapped.join(references, key, how)
     if window is not None:

@@ -4,6 +4,7 @@ from hitloom.operators import (
     explode_hits,
     flip_edges,
     map_channels,
+    reference,
     subtract_by_id,
     subtract_reference,
     time_reference,
@@ -147,3 +148,21 @@ def test_split_hot_loses_no_row(spark):
     assert ordinary.count() == 40
     assert ordinary.filter("k IS NULL").count() == 1
     assert split_hot(df, "k", hot_keys(df, "k", 60))[1] is None
+
+
+def test_references_of_small_keys_are_neither_repeated_nor_broadcast(spark, monkeypatch):
+    """Spark took 64 copies of each reference for one, and sent them to the driver to broadcast them."""
+    module = [F.lit(1).cast("long").alias(c) for c in ("dev", "fp", "det", "geo")]
+    hits = spark.range(600).select((F.col("id") % 200).alias("event_id"), *module, F.lit("a").alias("cat"), "id", (F.col("id") * 7 % 90).alias("value"))
+    hits = hits.union(hits.limit(2).withColumn("event_id", F.lit(None).cast("long")))
+    references = spark.range(200).select(F.col("id").alias("event_id"), *module, (F.col("id") % 30).alias("value")).distinct()
+    for window in (None, (-40, 50)):
+        plain = rows(subtract_reference(hits, references, window=window))
+        salted = subtract_reference(hits, references, salt=64, window=window)
+        assert rows(salted) == plain
+        salted.collect()
+        plan = salted._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert not [line for line in plan.splitlines() if "BroadcastHashJoin" in line and "_salt#" in line]
+        monkeypatch.setattr(reference, "SALTED_ROWS", 2)
+        assert rows(subtract_reference(hits, references, salt=64, window=window)) == plain
+        monkeypatch.undo()
