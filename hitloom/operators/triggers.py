@@ -33,7 +33,8 @@ def trigger_chunks(hits: DataFrame, size: int, spread: bool = False, event_key:
     """The full form of :func:`trigger_table` in rows of at most `size` hits, numbered in ``part``."""
     lists = {"_hits": (F.lit(True), ["id", "value"])}
     parts = chunked(hits, lists, size, order=["value", "id"], spread=spread, event_key=event_key)
-    first = trigger_table(hits, False, event_key).withColumnRenamed(event_key, "_event")
+    # The earliest trigger stands first in part 0, so the hits are not made again for it.
+    first = parts.filter(F.col("part") == 0).select(F.col(event_key).alias("_event"), F.get("_hits.id", F.lit(0)).alias("trig"))
     joined = parts.join(first, parts[event_key].eqNullSafe(first["_event"]))
     return joined.select(
         event_key, "part", F.col("_hits.id").alias("trig_id"), F.col("_hits.value").alias("trig_timing"), "trig"

@@ -12,6 +12,7 @@ from hitloom.functions import band_cell, band_cells
 from hitloom.operators import Histogram, chunked, hist1d, hist2d, histograms, subtract_reference, two_sided
 from hitloom.operators.chunks import numbered
 from hitloom.operators.reference import subtract_tagged
+from hitloom.operators.triggers import trigger_chunks, trigger_table
 from hitloom.operators.two_sided import FEATURES, band_pairs, strip_features
 from hitloom.plans import Layout, trigger_plan, wire_plan
 from hitloom.schema import HIT_COUNT
@@ -183,3 +184,13 @@ def test_many_histograms_take_one_scan_and_one_exchange(spark):
         histograms(df, {"p": Histogram(("p",), (7,), ((0.0, 7.0),), array=True)}).collect()
     with pytest.raises(ValueError):
         histograms(df, {"x": Histogram(("a", "b"), (5, 6), ((0.0, 40.0), (1.0, 90.0)), outer=True)})
+
+
+def test_earliest_trigger_comes_from_the_stored_ranges(spark):
+    """The hits of a hot event were made once more for it."""
+    hits = spark.range(200).select((F.col("id") % 3).alias("event_id"), (F.col("id") * 13 % 17).alias("id"), F.when(F.col("id") % 50 != 7, F.col("id") * 7 % 40).cast("double").alias("value"))
+    spread = trigger_chunks(hits, 2, spread=True)
+    assert "Range (" not in spread._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(spread) == rows(trigger_chunks(hits, 2))
+    first = {r["event_id"]: r["trig"] for r in trigger_table(hits).collect()}
+    assert {(r["event_id"], r["trig"]) for r in spread.collect()} == set(first.items())
