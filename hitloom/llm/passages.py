@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import _SPACE, _WORD_TABLE, fresh, map_batches, mix, prefix_hash, range_hash, slices, small, stage, text_bytes
+from hitloom.llm.common import _SPACE, _WORD_TABLE, discard, fresh, map_batches, mix, prefix_hash, range_hash, release, slices, small, stage, text_bytes
 
 SLICE_BYTES = 500_000
 
@@ -101,8 +101,10 @@ def cut_passages(docs: DataFrame, id_col: str, text_col: str, key: str, more: li
     # counts alone first: a hash is all that is shuffled for the many pieces that stand once
     counted = map_batches(rows.select("text"), hashes, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     several = stage(counted.filter("n > 1").select("h"), "repeated_pieces")
+    release(several)
     found = map_batches(rows, places, "doc long, x long, place long, h long, h2 long")
     found = stage(found.join(small(several), "h"), "pieces")
+    discard(several)
     where = F.struct("doc", "place", "x")
     heads = found.groupBy("h", "h2").agg(F.min(where).alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     heads = stage(heads.drop("n"), "first_pieces")

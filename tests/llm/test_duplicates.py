@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -365,3 +366,12 @@ def test_empty_tables(spark):
     assert fingerprints.fingerprint_with_next(empty).count() == 0
     vectors = spark.createDataFrame([], "vec_id long, embedding array<double>, label int")
     assert cross_polytope.near_vectors(vectors).count() == 0
+
+
+def test_repeated_pieces_are_deleted_once_they_are_joined(spark):
+    text = " ".join(f"w{i * i}" for i in range(60))
+    docs = spark.createDataFrame([(i, f"a{i} b{i} {text} c{i}") for i in range(3)], "doc_id long, text string")
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(shared.glob("repeated_pieces-*"))
+    assert paragraph_dedup.dedup_paragraphs(docs).count() == 3
+    assert set(shared.glob("repeated_pieces-*")) == before
