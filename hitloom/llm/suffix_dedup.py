@@ -10,7 +10,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import bucket_count, bucketed, byte_table, discard, fresh, parts, prefix_hash, range_hash, slices, small, stage
+from hitloom.llm.common import (
+    INVERSE, bucket_count, bucketed, byte_table, discard, fresh, mix, parts, powers, prefix_hash, range_hash, slices, small,
+    stage,
+)
 from hitloom.llm.suffix_groups import suffix_order
 
 # Bytes whose hash places an anchor.
@@ -24,13 +27,12 @@ _BYTES = byte_table(fold_case=False, seed=3)
 
 def sliding_min(keys: np.ndarray, width: int) -> np.ndarray:
     """Least key of every `width` consecutive ones."""
-    n = len(keys)
-    padded = np.full(-(-n // width) * width, np.iinfo(np.uint64).max, dtype=np.uint64)
-    padded[:n] = keys
-    blocks = padded.reshape(-1, width)
-    ahead = np.minimum.accumulate(blocks, 1).ravel()
-    back = np.minimum.accumulate(blocks[:, ::-1], 1)[:, ::-1].ravel()
-    return np.minimum(back[: n - width + 1], ahead[width - 1 : n])
+    have = 1
+    while 2 * have <= width:
+        keys = np.minimum(keys[:-have], keys[have:])
+        have *= 2
+    rest = width - have
+    return np.minimum(keys[:-rest], keys[rest:]) if rest else keys
 
 
 class Scan:
@@ -48,33 +50,41 @@ class Scan:
         lengths = np.array([len(t) for t in texts])
         self.first = np.cumsum(lengths) - lengths
         self.prefix = prefix_hash(_BYTES[data])
-        at = np.arange(len(data) - GRAM + 1)
-        key = (range_hash(self.prefix, at, at + GRAM) >> np.uint64(32) << np.uint64(32)) | (
-            np.uint64(0xFFFFFFFF) - at.astype(np.uint64)
-        )
-        chosen = (np.uint64(0xFFFFFFFF) - (sliding_min(key, self.reach) & np.uint64(0xFFFFFFFF))).astype(np.int64)
-
-        def places(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            doc = np.repeat(np.arange(len(texts)), n)
-            return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first, n), doc
-
-        run, doc = places(lengths - GRAM + 2 - self.reach)
-        anchor = chosen[run]
-        new = np.append(True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]))
-        self.anchor, self.anchor_doc = anchor[new], doc[new]
+        # the upper half of a gram's hash, and below it how far from the end it stands
+        key = self.prefix[GRAM:] - self.prefix[:-GRAM]
+        key *= powers(len(data) + 1, INVERSE)[: len(key)]
+        key = mix(key)
+        key &= np.uint64(0xFFFFFFFF00000000)
+        key |= np.arange(0xFFFFFFFF, 0xFFFFFFFF - len(key), -1, dtype=np.uint64)
+        least = sliding_min(key, self.reach)
+        moves = np.append(True, least[1:] != least[:-1])
+        moves[self.first[1:]] = True
+
+        def placed(at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Of these places of something `width` bytes wide those inside a text, their texts and the last
+            place in each."""
+            doc = np.searchsorted(self.first, at, "right") - 1
+            last = (self.first + lengths)[doc] - width
+            inside = at <= last
+            return at[inside], doc[inside], last[inside]
+
+        def anchor_of(run: np.ndarray) -> np.ndarray:
+            return (np.uint64(0xFFFFFFFF) - (least[run] & np.uint64(0xFFFFFFFF))).astype(np.int64)
+
+        run, self.anchor_doc, _ = placed(np.flatnonzero(moves), GRAM - 1 + self.reach)
+        self.anchor = anchor_of(run)
         same = self.anchor_doc[1:] == self.anchor_doc[:-1]
         # the phrase of an anchor that is its text's last is none and has hash 0
         self.phrase = np.zeros(len(self.anchor), dtype=np.uint64)
         j = np.flatnonzero(same)
         self.phrase[j] = range_hash(self.prefix, self.anchor[j], self.anchor[j + 1] + GRAM)
 
-        window, doc = places(lengths - size + 1)
-        f, last = chosen[window], chosen[window + size - GRAM + 1 - self.reach]
-        new = np.append(True, (f[1:] != f[:-1]) | (last[1:] != last[:-1]) | (doc[1:] != doc[:-1]))
-        start = np.flatnonzero(new)
         # cores: documents, first anchors, phrases, and their windows from low to high
-        self.doc, f, last = doc[start], f[start], last[start]
-        self.low, self.high = window[start], window[np.append(start[1:], len(window)) - 1]
+        ahead = size - GRAM + 1 - self.reach
+        starts = np.flatnonzero(moves[: len(data) - size + 1] | moves[ahead : ahead + len(data) - size + 1])
+        self.low, self.doc, end = placed(starts, size)
+        self.high = np.minimum(np.append(self.low[1:], len(data)) - 1, end)
+        f, last = anchor_of(self.low), anchor_of(self.low + ahead)
         self.from_anchor = np.searchsorted(self.anchor, f)
         self.n_phrases = np.searchsorted(self.anchor, last) - self.from_anchor
         self.core = range_hash(self.prefix, f, last + GRAM)
@@ -145,37 +155,29 @@ def _find_runs(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owner, lists = [], []
+            at, phrase = (np.asarray(batch.column(i).flatten()) for i in (1, 2))
+            cut = np.append(0, np.cumsum(np.asarray(batch.column(1).value_lengths()))).astype(np.int64)
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(cut))
+            n = len(at)
+            repeated = phrase != 0
             for i in range(batch.num_rows):
-                at, phrase = np.asarray(batch.column(1)[i].values), np.asarray(batch.column(2)[i].values)
-                n = len(at)
-                repeated = _members(phrase.view(np.uint64), batch.column(3)[i].values) & (phrase != 0)
-                stop = np.minimum.accumulate(np.where(repeated, n, np.arange(n))[::-1])[::-1]
-                end = np.searchsorted(at, at + size - GRAM, "right") - 1
-                count = np.maximum(np.minimum(stop, end) - np.arange(n), 0)
-                own = np.flatnonzero(count)
-                lists += [phrase[j : j + count[j]] for j in own]
-                owner += [i] * len(own)
-            sizes = np.array([len(x) for x in lists], dtype=np.int64)
-            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            flat = np.concatenate(lists) if lists else np.zeros(0, dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(owner, pa.int64())), pa.ListArray.from_arrays(offsets, pa.array(flat))],
-                names=["doc", "run"],
-            )
+                part = slice(cut[i], cut[i + 1])
+                repeated[part] &= _members(phrase[part].view(np.uint64), batch.column(3)[i].values)
+            # a text's last phrase is none, so no run leaves its text
+            stop = np.minimum.accumulate(np.where(repeated, n, np.arange(n))[::-1])[::-1]
+            step = np.int64(1) << 32  # beyond any place in a text
+            end = np.searchsorted(at + doc * step, at + doc * step + size - GRAM, "right") - 1
+            count = np.maximum(np.minimum(stop, end) - np.arange(n), 0)
+            own = np.flatnonzero(count)
+            count = count[own]
+            offsets = np.append(0, np.cumsum(count))
+            flat = phrase[np.arange(offsets[-1]) - np.repeat(offsets[:-1] - own, count)]
+            runs = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc[own])), runs], names=["doc", "run"])
 
     return run
 
 
-def _common(x: list[int], y: list[int]) -> int:
-    n = 0
-    for a, b in zip(x, y, strict=False):
-        if a != b:
-            break
-        n += 1
-    return n
-
-
 def _order_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of the different runs of one range: how many phrases each shares with another, from the suffix order
     of all of them. Runs that stand more than once share all. The ends of the range are marked."""
@@ -184,30 +186,41 @@ def _order_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not kept:
         return
     table = pa.Table.from_batches(kept)
-    runs, n = table.column("run").to_pylist(), table.column("n").to_pylist()
+    runs, n = table.column("run").combine_chunks(), np.asarray(table.column("n"))
+    size = np.asarray(runs.value_lengths(), dtype=np.int64)
     # symbols in the order of the values, so that ranges and suffixes are ordered alike
-    rank = {s: i + 1 for i, s in enumerate(sorted({s for r in runs for s in r}))}
-    text, start = [0], {}
-    for k, r in enumerate(runs):
-        start[len(text)] = k
-        text += [rank[s] for s in r]
-        text.append(0)
-    order = [start[p] for p in suffix_order(text) if p in start]
-    shared = [0] * len(runs)
-    for a, b in zip(order[:-1], order[1:], strict=True):
-        c = _common(runs[a], runs[b])
-        shared[a], shared[b] = max(shared[a], c), max(shared[b], c)
-    ends = {order[0]: 0, order[-1]: 1} if len(order) > 1 else {order[0]: 2}
+    symbol = np.unique(np.asarray(runs.flatten()), return_inverse=True)[1] + 1
+    start = np.cumsum(size + 1) - size
+    text = np.zeros(size.sum() + len(size) + 1, dtype=np.int64)
+    text[np.arange(len(symbol)) + np.repeat(np.arange(len(size)) + 1, size)] = symbol
+    run_at = np.full(len(text), -1)
+    run_at[start] = np.arange(len(size))
+    order = run_at[suffix_order(text.tolist())]
+    order = order[order >= 0]
+    # phrases that neighbours share
+    a, b = start[order[:-1]], start[order[1:]]
+    common, at = np.zeros(len(a), dtype=np.int64), np.arange(len(a))
+    while len(at):
+        at = at[(text[a[at]] == text[b[at]]) & (text[a[at]] > 0)]
+        common[at] += 1
+        a[at] += 1
+        b[at] += 1
+    shared = np.zeros(len(size), dtype=np.int64)
+    shared[order[:-1]] = common
+    shared[order[1:]] = np.maximum(shared[order[1:]], common)
+    ends = {int(order[0]): 0, int(order[-1]): 1} if len(order) > 1 else {int(order[0]): 2}
     # a run that is not marked and shares all, or stands more than once, is as the reader assumes
-    out = [k for k in range(len(runs)) if k in ends or (n[k] == 1 and shared[k] < len(runs[k]))]
+    wanted = (n == 1) & (shared < size)
+    wanted[list(ends)] = True
+    out = np.flatnonzero(wanted)
     yield pa.RecordBatch.from_arrays(
         [
-            table.column("doc").combine_chunks().take(pa.array(out, pa.int64())),
-            pa.array([runs[k] for k in out], pa.list_(pa.int64())),
-            pa.array([n[k] for k in out], pa.int64()),
-            pa.array([shared[k] for k in out], pa.int64()),
+            table.column("doc").combine_chunks().take(pa.array(out)),
+            runs.take(pa.array(out)),
+            pa.array(n[out]),
+            pa.array(shared[out]),
             pa.array([part] * len(out), pa.int64()),
-            pa.array([ends.get(k) for k in out], pa.int64()),
+            pa.array([ends.get(k) for k in out.tolist()], pa.int64()),
         ],
         names=["doc", "run", "n", "shared", "part", "end"],
     )

@@ -26,6 +26,7 @@ def suffix_order(text: list[int]) -> list[int]:
     members: list[list[int]] = [[] for _ in ranks]
     for p, g in enumerate(group):
         members[g].append(p)
+    count = [len(m) for m in members]  # those that have not moved on
     lower = [g - 1 for g in range(len(ranks))]
     upper = [g + 1 for g in range(len(ranks))]
     upper[-1] = -1
@@ -35,29 +36,43 @@ def suffix_order(text: list[int]) -> list[int]:
 
     g = len(ranks) - 1
     while g > 0:
-        own = [p for p in members[g] if group[p] == g]
+        own = members[g]
+        if count[g] < len(own):
+            own = [p for p in own if group[p] == g]
         if own:
             size = length[g]
+            hits: dict[int, int] = {}
             for p in own:
                 left[p] = p - 1
-            hits: dict[int, int] = {}
             for p in own:
                 q = p - 1
-                while left[q] != q:
-                    left[q] = left[left[q]]
-                    q = left[q]
+                r = left[q]
+                while r != q:
+                    left[q] = q = left[r]
+                    r = left[q]
                 if group[q]:
                     hits[q] = hits.get(q, 0) + 1
-            moved: dict[int, dict[int, list[int]]] = {}
-            for q, times in hits.items():
-                moved.setdefault(group[q], {}).setdefault(times, []).append(q)
-            for old, by_times in moved.items():
+            moved: dict[int, list[int]] = {}
+            for q in hits:
+                moved.setdefault(group[q], []).append(q)
+            for old, found in moved.items():
+                by_times: dict[int, list[int]] = {}
+                for q in found:
+                    by_times.setdefault(hits[q], []).append(q)
+                was = length[old]
+                count[old] -= len(found)
+                levels = sorted(by_times)
+                if not count[old]:  # nothing is left below: the lowest of them keep the group
+                    times = levels.pop(0)
+                    members[old], length[old] = by_times[times], was + times * size
+                    count[old] = len(by_times[times])
                 below = old
-                for times in sorted(by_times):
+                for times in levels:
                     new = len(members)
                     above = upper[below]
                     members.append(by_times[times])
-                    length.append(length[old] + times * size)
+                    count.append(len(by_times[times]))
+                    length.append(was + times * size)
                     lower.append(below)
                     upper.append(above)
                     upper[below] = new
@@ -68,9 +83,10 @@ def suffix_order(text: list[int]) -> list[int]:
             done.append((own, size))
         g = lower[g]
 
-    # places of the groups, lowest first, and the suffixes that reach each position
+    # next free places of the groups, lowest first, and the suffixes that reach each position, chained
     place = [0] * n
-    reach: list[list[int] | None] = [None] * (n + 1)
+    reach = [-1] * (n + 1)
+    chain = [-1] * n
     free: list[int] = []
     start = 0
     for k, (own, size) in enumerate(reversed(done)):
@@ -78,19 +94,15 @@ def suffix_order(text: list[int]) -> list[int]:
         start += len(own)
         for p in own:
             place[p] = k
-            if reach[p + size] is None:
-                reach[p + size] = [p]
-            else:
-                reach[p + size].append(p)
+            chain[p] = reach[p + size]
+            reach[p + size] = p
     order = [0] * start
-    for x in range(n):
-        if text[x] == 0 and reach[x]:
-            for p in reach[x]:
-                order[free[place[p]]] = p
-                free[place[p]] += 1
-    for x in order:
-        if reach[x]:
-            for p in reach[x]:
-                order[free[place[p]]] = p
-                free[place[p]] += 1
+    for some in ([x for x in range(n) if text[x] == 0], order):
+        for x in some:
+            p = reach[x]
+            while p >= 0:
+                k = place[p]
+                order[free[k]] = p
+                free[k] += 1
+                p = chain[p]
     return order

@@ -260,6 +260,31 @@ def test_substrings(spark, seed):
     assert got == want
 
 
+def test_scan_holds_a_bounded_multiple_of_its_texts():
+    import tracemalloc
+
+    rng = random.Random(1)
+    texts = [bytes(rng.choices(b"abcdefgh ", k=2000)) for _ in range(200)]
+    suffix_dedup.Scan(texts, 200)  # keeps the powers
+    tracemalloc.start()
+    try:
+        scan = suffix_dedup.Scan(texts, 200)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 60 * 400_000
+    # anchors and cores by their definition, in one text
+    data = texts[3]
+    at = [i - 6000 for i, d in zip(scan.anchor.tolist(), scan.anchor_doc.tolist(), strict=True) if d == 3]
+    gram = suffix_dedup.range_hash(scan.prefix, np.arange(6000, 8000 - 15), np.arange(6016, 8001)) >> np.uint64(32)
+    chosen = [max(range(r, r + scan.reach), key=lambda i: (-int(gram[i]), i)) for r in range(len(gram) - scan.reach + 1)]
+    assert at == sorted(set(chosen))
+    low, high = scan.low[scan.doc == 3] - 6000, scan.high[scan.doc == 3] - 6000
+    assert low[0] == 0 and high[-1] == len(data) - 200 and (low[1:] == high[:-1] + 1).all()
+    ends = [(chosen[w], chosen[w + 200 - 15 - scan.reach]) for w in range(len(data) - 199)]
+    assert low.tolist() == [w for w in range(len(ends)) if not w or ends[w] != ends[w - 1]]
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(3)
     rows, base = [], rng.normal(size=(6, 24))
