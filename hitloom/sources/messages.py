@@ -22,8 +22,10 @@ def _arrow_type(spark_type: T.DataType) -> pa.DataType:
 
 RAW_EVENT_ARROW = pa.schema([(f.name, _arrow_type(f.dataType)) for f in RAW_EVENT.fields])
 
-# Decoded rows are handed on after this many, so that one batch of messages is never held decoded.
-_FLUSH_ROWS = 4096
+# Decoded rows are handed on after this many, or after messages of so many bytes, so that one batch of messages is
+# never held decoded; a longer message stands alone.
+_FLUSH_ROWS = 512
+_FLUSH_BYTES = 2_000_000
 
 
 def decode_events(messages: DataFrame, value: str = "value", rows: str = "all") -> DataFrame:
@@ -39,7 +41,7 @@ def decode_events(messages: DataFrame, value: str = "value", rows: str = "all")
     carried = [field for field in messages.schema.fields if field.name != value]
     names = [field.name for field in carried]
     output = T.StructType([*RAW_EVENT.fields, *carried])
-    schema, flush_rows = RAW_EVENT_ARROW, _FLUSH_ROWS
+    schema, flush_rows, flush_bytes = RAW_EVENT_ARROW, _FLUSH_ROWS, _FLUSH_BYTES
 
     # The helpers are local so that they travel with the task; workers need pyarrow only.
     def read(buffer: pa.Buffer) -> pa.Table | None:
@@ -90,6 +92,7 @@ def decode_events(messages: DataFrame, value: str = "value", rows: str = "all")
         for batch in batches:
             decoded: list[pa.Table] = []
             origin: list[int] = []
+            size = 0
 
             def flush() -> Iterator[pa.RecordBatch]:
                 table = pa.concat_tables(decoded)
@@ -104,12 +107,19 @@ def decode_events(messages: DataFrame, value: str = "value", rows: str = "all")
                 table = read(message.as_buffer())
                 if table is None or table.num_rows == 0:
                     continue
+                if origin and size + len(message.as_buffer()) > flush_bytes:
+                    yield from flush()
+                    decoded.clear()
+                    origin.clear()
+                    size = 0
                 decoded.append(as_events(table))
                 origin.extend([index] * table.num_rows)
+                size += len(message.as_buffer())
                 if len(origin) >= flush_rows:
                     yield from flush()
                     decoded.clear()
                     origin.clear()
+                    size = 0
             if origin:
                 yield from flush()
 

@@ -1,6 +1,7 @@
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hitloom.operators import explode_hits
 from hitloom.schema import RAW_EVENT
@@ -18,6 +19,7 @@ from hitloom.sources import (
 )
 from hitloom.sources.messages import RAW_EVENT_ARROW
 from tests.conftest import rows
+from workload import fixture
 
 MAP_TEXT = """# channels of the test bench
 cat,id,dev,fp,det,geo,ch
@@ -180,6 +182,35 @@ def _topic(spark):
     return spark.createDataFrame(data, "topic string, partition int, offset long, value binary")
 
 
+class _Task:
+    """Stands for a frame of which only the function run in its tasks is wanted."""
+
+    def __init__(self, schema):
+        self.schema = schema
+
+    def select(self, *names):
+        return self
+
+    def mapInArrow(self, task, schema):  # noqa: N802
+        return task
+
+
+def test_encoding_and_decoding_hold_a_bounded_part_of_a_batch():
+    hits = [{"geo": 0, "ch": i % 9, "value": i, "edge": 0} for i in range(200)]
+    segments = [[{"dev": 1, "fp": 2, "mod": 0, "det": 3, "hits": hits}]] * 3000
+    ids = pa.array(range(3000))
+    events = pa.record_batch([ids, ids, ids, pa.array(segments, RAW_EVENT_ARROW.field("segdata").type)], schema=RAW_EVENT_ARROW)
+    for per_message, turned in ((1, False), (5, True), (300, False)):
+        written = list(fixture.encode(_Task(RAW_EVENT), per_message, turned)(iter([events])))
+        assert max(b.num_rows for b in written) * per_message <= max(256, per_message)
+        messages = pa.Table.from_batches(written).combine_chunks().to_batches()
+        assert len(messages) == 1 and messages[0].num_rows == 3000 // per_message
+        decode = decode_events(_Task(T.StructType([T.StructField("value", T.BinaryType())])))
+        decoded = list(decode(iter(messages)))
+        assert max(b.nbytes for b in decoded) <= 4_000_000
+        assert pa.Table.from_batches(decoded).to_pylist() == events.to_pylist()
+
+
 def test_capture_counts_filled_messages_of_one_partition(spark):
     topic = _topic(spark).filter("topic = 't'")
     assert rows(capture_messages(topic, 4, first=3), "event_id") == [(4,), (6,), (7,), (8,)]

@@ -151,21 +151,24 @@ def encode(events: DataFrame, per_message: int = 1, turned: bool = False) -> Dat
     schema = RAW_EVENT_ARROW
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            payload = pa.Table.from_batches([batch.select(names)]).cast(schema)
-            if turned:
-                payload = payload.select(names[::-1])
-            starts = list(range(0, batch.num_rows, per_message))
-            values = []
-            for start in starts:
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, payload.schema) as writer:
-                    writer.write_table(payload.slice(start, per_message), max_chunksize=1 if turned else None)
-                values.append(sink.getvalue().to_pybytes())
-            kept = batch.select(extra_names).take(pa.array(starts, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values, pa.binary()), *kept.columns], names=["value", *extra_names]
-            )
+        for whole in batches:
+            # some 256 events at a time, in whole messages: their copies are held, not those of the batch
+            step = max(256 // per_message, 1) * per_message
+            for batch in (whole.slice(at, step) for at in range(0, whole.num_rows, step)):
+                payload = pa.Table.from_batches([batch.select(names)]).cast(schema)
+                if turned:
+                    payload = payload.select(names[::-1])
+                starts = list(range(0, batch.num_rows, per_message))
+                values = []
+                for start in starts:
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, payload.schema) as writer:
+                        writer.write_table(payload.slice(start, per_message), max_chunksize=1 if turned else None)
+                    values.append(sink.getvalue().to_pybytes())
+                kept = batch.select(extra_names).take(pa.array(starts, pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values, pa.binary()), *kept.columns], names=["value", *extra_names]
+                )
 
     output = ", ".join(["value binary", *[f"{f.name} {f.dataType.simpleString()}" for f in extra]])
     return events.select(*names, *extra_names).mapInArrow(write, output)
