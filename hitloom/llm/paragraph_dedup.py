@@ -18,14 +18,21 @@ SLICE_BYTES = 500_000
 BANDS, ROWS = 10, 3
 
 
-def signatures(texts: list[bytes], size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """(band keys, number of different shingles) of each text; every text must have words."""
+def different_shingles(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text number) of the different shingles of each text, by text, then hash."""
     shingle, owner = shingle_hashes(texts, size)
-    order = np.lexsort((shingle, owner))
+    # text numbers of 16 bits are sorted by radix
+    order = np.argsort(shingle)
+    order = order[np.argsort(owner[order].astype(np.min_scalar_type(len(texts))), kind="stable")]
     shingle, owner = shingle[order], owner[order]
     new = np.ones(len(shingle), dtype=bool)
     new[1:] = (shingle[1:] != shingle[:-1]) | (owner[1:] != owner[:-1])
-    shingle, owner = shingle[new], owner[new]
+    return shingle[new], owner[new]
+
+
+def signatures(texts: list[bytes], size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """(band keys, number of different shingles) of each text; every text must have words."""
+    shingle, owner = different_shingles(texts, size)
     start = np.flatnonzero(np.diff(owner, prepend=-1))
     salts = np.random.default_rng(seed).integers(0, 1 << 62, (BANDS, ROWS), dtype=np.uint64)
     keys = np.empty((len(start), BANDS), dtype=np.uint64)
@@ -44,18 +51,22 @@ def shingle_sets(texts: list[bytes], size: int) -> list[Items]:
     """Sorted different shingles of each text, of weight 1."""
     out = []
     for a, b in slices(np.array([len(t) for t in texts]), SLICE_BYTES):
-        shingle, owner = shingle_hashes(texts[a:b], size)
-        order = np.lexsort((shingle, owner))
-        shingle, cut = shingle[order], np.searchsorted(owner, np.arange(b - a + 1))
-        sets = [np.unique(shingle[i:j]) for i, j in zip(cut[:-1], cut[1:], strict=True)]
-        out += [(s, np.ones(len(s))) for s in sets]
+        shingle, owner = different_shingles(texts[a:b], size)
+        cut = np.searchsorted(owner, np.arange(b - a + 1)).tolist()
+        out += [(shingle[i:j], np.ones(j - i)) for i, j in zip(cut[:-1], cut[1:], strict=True)]
     return out
 
 
-def _paragraphs(text: bytes | None, min_words: int, counted) -> tuple[list[bytes], list[int]]:
-    parts = (text or b"").split(b"\n")
-    long = [i for i, p in enumerate(parts) if len(p) >= 2 * min_words - 1]
-    return parts, [i for i, n in zip(long, counted([parts[i] for i in long]), strict=True) if n >= min_words]
+def _paragraphs(texts: list[bytes | None], min_words: int) -> list[tuple[list[bytes], list[int]]]:
+    """(lines, places of the paragraphs among them) of each text; words are counted for many texts at once."""
+    lines = [(text or b"").split(b"\n") for text in texts]
+    long = [(i, j) for i, parts in enumerate(lines) for j, p in enumerate(parts) if len(p) >= 2 * min_words - 1]
+    good: list[list[int]] = [[] for _ in lines]
+    for a, b in slices(np.array([len(lines[i][j]) for i, j in long]), SLICE_BYTES):
+        for (i, j), n in zip(long[a:b], words_of([lines[i][j] for i, j in long[a:b]]).tolist(), strict=True):
+            if n >= min_words:
+                good[i].append(j)
+    return list(zip(lines, good, strict=True))
 
 
 def dedup_paragraphs(
@@ -97,8 +108,8 @@ def dedup_paragraphs(
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         owner, place, found = [], [], []
-        for i, text in enumerate(batch.column(2).cast(pa.binary()).to_pylist()):
-            parts, good = _paragraphs(text, min_words, words_of)
+        texts = batch.column(2).cast(pa.binary()).to_pylist()
+        for i, (parts, good) in enumerate(_paragraphs(texts, min_words)):
             owner += [i] * len(good)
             place += good
             found += [parts[g] for g in good]
@@ -164,8 +175,7 @@ def dedup_paragraphs(
         at = batch.schema.get_field_index(text_col)
         texts, cuts = batch.column(at).cast(pa.binary()).to_pylist(), batch.column(cut).to_pylist()
         kept, total, bytes_gone = [], [], []
-        for text, places in zip(texts, cuts, strict=True):
-            parts, good = _paragraphs(text, min_words, words_of)
+        for text, places, (parts, good) in zip(texts, cuts, _paragraphs(texts, min_words), strict=True):
             bad = set(places or ())
             left = [p for i, p in enumerate(parts) if i not in bad]
             kept.append(b"\n".join(left) if text is not None else None)

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import _SPACE, _WORD_TABLE, discard, fresh, map_batches, mix, prefix_hash, range_hash, release, slices, small, stage, text_bytes
+from hitloom.llm.common import _WORD_TABLE, discard, fresh, map_batches, mix, prefix_hash, range_hash, release, slices, small, stage, text_bytes, word_edges
 
 SLICE_BYTES = 500_000
 
@@ -22,11 +22,8 @@ def pieces(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     the `REACH` words before it and the `REACH` + 1 after it, so equal passages have equal pieces inside,
     whatever stands around them. The first piece of a text starts with the text.
     """
-    data = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
-    edges = np.flatnonzero(np.diff(_SPACE[data], prepend=True))
-    start, end = edges[0::2], edges[1::2]
-    words = range_hash(prefix_hash(_WORD_TABLE[data]), start, end)
-    first = np.cumsum([0] + [len(t) + 1 for t in texts])
+    data, start, end, first = word_edges(texts)
+    words = range_hash(prefix_hash(_WORD_TABLE.take(data)), start, end)
     owner = np.searchsorted(first, start, "right") - 1
     n = len(words)
     pair = words.copy()
@@ -54,6 +51,18 @@ def _runs(words: np.ndarray, bad: np.ndarray, min_words: int) -> list[tuple[int,
     return [(a, b) for a, b in zip(edge[0::2].tolist(), edge[1::2].tolist(), strict=True) if words[a:b].sum() >= min_words]
 
 
+def longest_run(listed: Column) -> Column:
+    """Words of the longest run of consecutive pieces in a list of struct(doc, place, words, ...)."""
+    none = F.struct(F.lit(None).cast("long"), F.lit(-2).cast("long"), F.lit(0).cast("long"), F.lit(0).cast("long"))
+
+    def step(s: Column, e: Column) -> Column:
+        follows = e["doc"].eqNullSafe(s["col1"]) & (e["place"] == s["col2"] + 1)
+        run = F.when(follows, s["col3"]).otherwise(F.lit(0)) + e["words"]
+        return F.struct(e["doc"], e["place"], run, F.greatest(s["col4"], run))
+
+    return F.aggregate(F.array_sort(listed), none, step)["col4"]
+
+
 def _cut(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     """`text` without the spans, the blanks after each, and the line end where nothing else is in its lines."""
     out, last = [], 0
@@ -91,18 +100,19 @@ def cut_passages(docs: DataFrame, id_col: str, text_col: str, key: str, more: li
         return pa.RecordBatch.from_arrays([pa.array(cut_up(text_bytes(batch.column(0)))[5], pa.int64())], names=["h"])
 
     def places(batch: pa.RecordBatch) -> pa.RecordBatch:
-        text, place, _, _, _, one, two = cut_up(text_bytes(batch.column(2)))
+        text, place, _, _, words, one, two = cut_up(text_bytes(batch.column(2)))
         at = pa.array(text, pa.int64())
         return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(at), batch.column(1).take(at), pa.array(place, pa.int64()), pa.array(one), pa.array(two)],
-            names=["doc", "x", "place", "h", "h2"],
+            [batch.column(0).take(at), batch.column(1).take(at), pa.array(place, pa.int64()), pa.array(words, pa.int64()),
+             pa.array(one), pa.array(two)],
+            names=["doc", "x", "place", "words", "h", "h2"],
         )
 
     # counts alone first: a hash is all that is shuffled for the many pieces that stand once
     counted = map_batches(rows.select("text"), hashes, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
     several = stage(counted.filter("n > 1").select("h"), "repeated_pieces")
     release(several)
-    found = map_batches(rows, places, "doc long, x long, place long, h long, h2 long")
+    found = map_batches(rows, places, "doc long, x long, place long, words long, h long, h2 long")
     found = stage(found.join(small(several), "h"), "pieces")
     discard(several)
     where = F.struct("doc", "place", "x")
@@ -111,8 +121,10 @@ def cut_passages(docs: DataFrame, id_col: str, text_col: str, key: str, more: li
     gone = found.join(small(heads), ["h", "h2"]).filter(~where.eqNullSafe(F.col("head")))
     dx, cut = fresh(docs, "passage_x", "passage_cut")
     gone = gone.groupBy(F.col("x").alias(dx)).agg(
-        F.collect_set(F.struct("doc", "place", F.col("head.doc").alias("head"))).alias(cut)
+        F.collect_set(F.struct("doc", "place", "words", F.col("head.doc").alias("head"))).alias(cut)
     )
+    # most lists have no run that is long enough: their texts stay as they are
+    gone = gone.filter(longest_run(F.col(cut)) >= min_words)
     joined = docs.join(small(gone), docs[key] == gone[dx], "left").drop(dx)
     # texts of one key are told apart by their ids
     joined = joined.withColumn(cut, F.filter(cut, lambda e: e["doc"].eqNullSafe(own_id)))
@@ -121,12 +133,15 @@ def cut_passages(docs: DataFrame, id_col: str, text_col: str, key: str, more: li
     def remove(batch: pa.RecordBatch) -> pa.RecordBatch:
         columns = dict(zip(batch.schema.names, batch.columns, strict=True))
         texts, cuts = columns[text_col].cast(pa.binary()).to_pylist(), columns[cut].to_pylist()
+        listed = [i for i, asked in enumerate(cuts) if asked]
+        if not listed:
+            return batch.select(names)
         n, lines, size, ids = (columns[k].to_pylist() for k in more)
-        for i, asked in enumerate(cuts):
-            if not asked:
-                continue
-            text = texts[i]
-            _, _, start, end, words, _, _ = pieces([text])
+        owner, _, starts, ends, counts, _, _ = cut_up([texts[i] for i in listed])
+        edge = np.searchsorted(owner, np.arange(len(listed) + 1)).tolist()
+        for i, first, last in zip(listed, edge[:-1], edge[1:], strict=True):
+            text, asked = texts[i], cuts[i]
+            start, end, words = (c[first:last] for c in (starts, ends, counts))
             bad = np.zeros(len(start), dtype=bool)
             bad[[p["place"] for p in asked]] = True
             runs = _runs(words, bad, min_words)

@@ -10,9 +10,10 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from hitloom.llm import cross_polytope, fingerprints, near_links, paragraph_dedup, suffix_dedup, weighted_minhash
-from hitloom.llm.common import classes, shingle_hashes, stage
+from hitloom.llm import cross_polytope, fingerprints, near_links, paragraph_dedup, passages, suffix_dedup, weighted_minhash
+from hitloom.llm.common import classes, shingle_hashes, stage, words_of
 
 from .helpers import awkward_texts, documents, prose
 
@@ -229,6 +230,56 @@ def test_passages_inside_and_over_lines(spark):
         assert set(texts[i].lower().split()) - set(left) <= set(w)
 
 
+def test_words_are_counted_for_many_texts_at_once(monkeypatch):
+    calls = []
+    monkeypatch.setattr(paragraph_dedup, "words_of", lambda texts: calls.append(len(texts)) or words_of(texts))
+    texts = [None, "", *[f"{prose(19, i)}\n\n{prose(20, i)}\x0b \f\t{prose(i % 3, 7)}\né\xa0{prose(18, i)}" for i in range(3000)], "x"]
+    got = paragraph_dedup._paragraphs([t if t is None else t.encode() for t in texts], 20)
+    for t, (lines, good) in zip(texts, got, strict=True):
+        assert lines == (t or "").encode().split(b"\n")
+        assert good == [i for i, line in enumerate(lines) if len(line.split()) >= 20]
+    assert sum(calls) > 3000 and len(calls) <= 2 + sum(len(t or "") for t in texts) // paragraph_dedup.SLICE_BYTES
+
+
+def test_different_shingles_are_those_of_each_text():
+    texts = [t.encode() for t in (prose(300, 3), "", "a b a b a b a b a b a b", "one", prose(300, 3), "a b a b a b")]
+    shingle, owner = paragraph_dedup.different_shingles(texts, 5)
+    hashes, of = shingle_hashes(texts, 5)
+    assert list(zip(owner.tolist(), shingle.tolist(), strict=True)) == sorted(set(zip(of.tolist(), hashes.tolist(), strict=True)))
+    assert [len(s) for s, _ in paragraph_dedup.shingle_sets(texts, 5)] == np.bincount(owner, minlength=len(texts)).tolist()
+
+
+def test_lists_without_a_long_run_are_told_apart(spark):
+    rng, lists = random.Random(4), [[]]
+    for _ in range(200):
+        places = rng.sample(range(12), rng.randrange(1, 10))
+        lists.append([(rng.choice([None, 1, 2]), k, rng.randrange(3, 12), rng.choice([None, 5])) for k in places])
+    docs = spark.createDataFrame(list(enumerate(lists)), "id long, cut array<struct<doc:long,place:long,words:long,head:long>>")
+    for i, most in docs.select("id", passages.longest_run(F.col("cut"))).collect():
+        words = {(d, k): n for d, k, n, _ in lists[i]}
+        runs = [0]
+        for d, k in words:
+            end = k
+            while (d, end) in words:
+                end += 1
+            runs.append(sum(words[d, j] for j in range(k, end)))
+        assert most == max(runs)
+
+
+def test_only_texts_with_a_long_run_are_cut_up_again(spark, monkeypatch):
+    """A text whose repeated pieces make no long run is not cut up again."""
+    held = []
+    real = passages.map_batches
+    monkeypatch.setattr(passages, "map_batches", lambda df, fn, *more: held.append((fn.__name__, df)) or real(df, fn, *more))
+    phrase = prose(14, 50)
+    texts = [f"{prose(30, i)} {phrase} {prose(30, 900 + i)}" for i in range(40)] + [f"{prose(60, 80 + i)} {prose(60, 71)}" for i in range(3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in paragraph_dedup.dedup_paragraphs(docs).collect()}
+    assert {i for i, r in got.items() if r.n_removed} == {41, 42}
+    listed = next(df for name, df in held if name == "remove")
+    assert {r.doc_id for r in listed.filter("size(passage_cut) > 0").collect()} == {41, 42}
+
+
 def _repeats(texts, size):
     seen = Counter(t[i : i + size] for t in texts for i in range(len(t) - size + 1))
     out = []
