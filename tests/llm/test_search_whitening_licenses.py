@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hitloom.llm import dual_tree, exact_spectrum, license_scan, whitening
 from tests.llm.helpers import awkward_texts, documents, prose
@@ -230,6 +231,32 @@ def test_licences(spark):
     assert [(p["label"], p["start"]) for p in rows[9]["places"]] == [("mit", 0)]
 
 
+def test_a_licence_starts_where_its_first_phrase_stands(spark):
+    """Words added between the first phrase and the rarest word do not move the start."""
+    grant = license_scan.TEMPLATES[1].text
+    more = grant.replace("this software and", "this very fine software and")
+    texts = [grant, f"one two {grant}", more, f"one two {more} {more}", "deal " * 3, "Released under the MIT License"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *["charge granted permission hereby free"] * 9])], "doc_id long, text string")
+    got = {r["doc_id"]: [p["start"] for p in r["places"] if p["label"] == "mit"] for r in license_scan.scan_licenses(docs).collect()}
+    n = len(license_scan.words_of(more))
+    assert [got[i] for i in range(6)] == [[0], [2], [0], [2, 2 + n], [], [0]]
+
+
+def test_texts_are_split_into_words(spark, capsys):
+    """At the gaps, without a match for each word."""
+    texts = [*LICENCES, "A\x00b:\x7f@Z`{", " a", "a ", "\u212a K\u0130 \u00c9t\u00e9 \U0001f600x_1\ufffd", "free of charge " * 20_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = docs.select("doc_id", license_scan.word_array(F.col("text")).alias("words"))
+    want = {i: license_scan.re.findall(license_scan.WORD, (t or "").translate(FOLD)) for i, t in enumerate(texts)}
+    mine = {r["doc_id"]: r["words"] for r in got.filter(f"doc_id < {len(texts) - 1}").collect()}
+    assert got.select(F.max(F.size("words"))).first()[0] == 60_000 and len(mine) == len(texts) - 1
+    got.explain(True)
+    assert "regexp_extract_all" not in capsys.readouterr().out
+    # letters other than A-Z may change their case, which no ASCII word sees
+    ascii_only = lambda words: [w if w.isascii() else None for w in words]
+    assert all(ascii_only(words) == ascii_only(want[i]) for i, words in mine.items())
+
+
 def test_licences_equal_sql(spark):
     duckdb = pytest.importorskip("duckdb")
     from hitloom.llm import queries
