@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,8 @@ from hitloom.llm.suffix_groups import suffix_order
 
 # Bytes whose hash places an anchor.
 GRAM = 16
-SLICE_BYTES = 600_000
+# Bytes of text that are scanned at once: their arrays stay in a core's cache.
+SLICE_BYTES = 150_000
 # Phrases of the runs that one task orders, on average.
 RANGE_PHRASES = 500_000
 
@@ -41,7 +43,8 @@ class Scan:
     Every run of `reach` grams selects its least (the last of equals) as an anchor, and a window of `size`
     bytes holds two runs of grams side by side. What its first run selects, what its last run selects
     and all anchors between depend on the window alone, so equal windows have equal cores: the phrases from
-    one anchor to the other. A phrase goes from an anchor to the end of the next one's gram.
+    one anchor to the other. A phrase goes from an anchor to the end of the next one's gram. What a step
+    does not ask for is not computed.
     """
 
     def __init__(self, texts: list[bytes], size: int):
@@ -56,40 +59,88 @@ class Scan:
         key = mix(key)
         key &= np.uint64(0xFFFFFFFF00000000)
         key |= np.arange(0xFFFFFFFF, 0xFFFFFFFF - len(key), -1, dtype=np.uint64)
-        least = sliding_min(key, self.reach)
-        moves = np.append(True, least[1:] != least[:-1])
+        self._least = least = sliding_min(key, self.reach)
+        self._moves = moves = np.append(True, least[1:] != least[:-1])
         moves[self.first[1:]] = True
-
-        def placed(at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            """Of these places of something `width` bytes wide those inside a text, their texts and the last
-            place in each."""
-            doc = np.searchsorted(self.first, at, "right") - 1
-            last = (self.first + lengths)[doc] - width
-            inside = at <= last
-            return at[inside], doc[inside], last[inside]
-
-        def anchor_of(run: np.ndarray) -> np.ndarray:
-            return (np.uint64(0xFFFFFFFF) - (least[run] & np.uint64(0xFFFFFFFF))).astype(np.int64)
-
-        run, self.anchor_doc, _ = placed(np.flatnonzero(moves), GRAM - 1 + self.reach)
-        self.anchor = anchor_of(run)
-        same = self.anchor_doc[1:] == self.anchor_doc[:-1]
-        # the phrase of an anchor that is its text's last is none and has hash 0
-        self.phrase = np.zeros(len(self.anchor), dtype=np.uint64)
-        j = np.flatnonzero(same)
-        self.phrase[j] = range_hash(self.prefix, self.anchor[j], self.anchor[j + 1] + GRAM)
-
-        # cores: documents, first anchors, phrases, and their windows from low to high
-        ahead = size - GRAM + 1 - self.reach
-        starts = np.flatnonzero(moves[: len(data) - size + 1] | moves[ahead : ahead + len(data) - size + 1])
-        self.low, self.doc, end = placed(starts, size)
-        self.high = np.minimum(np.append(self.low[1:], len(data)) - 1, end)
-        f, last = anchor_of(self.low), anchor_of(self.low + ahead)
-        self.from_anchor = np.searchsorted(self.anchor, f)
-        self.n_phrases = np.searchsorted(self.anchor, last) - self.from_anchor
-        self.core = range_hash(self.prefix, f, last + GRAM)
-        # all bytes of a core's windows; equal blocks have equal windows
-        self.block = range_hash(self.prefix, self.low, self.high + size)
+        self._ends = self.first + lengths
+        self._ahead = size - GRAM + 1 - self.reach
+
+    def _placed(self, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of these places of something `width` bytes wide those inside a text, their texts and the last
+        place in each."""
+        doc = np.searchsorted(self.first, at, "right") - 1
+        last = self._ends[doc] - width
+        inside = at <= last
+        return at[inside], doc[inside], last[inside]
+
+    def _anchor_of(self, run: np.ndarray) -> np.ndarray:
+        return (np.uint64(0xFFFFFFFF) - (self._least[run] & np.uint64(0xFFFFFFFF))).astype(np.int64)
+
+    @cached_property
+    def _anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        run, doc, _ = self._placed(np.flatnonzero(self._moves), GRAM - 1 + self.reach)
+        return self._anchor_of(run), doc
+
+    @property
+    def anchor(self) -> np.ndarray:
+        return self._anchors[0]
+
+    @property
+    def anchor_doc(self) -> np.ndarray:
+        return self._anchors[1]
+
+    @cached_property
+    def phrase(self) -> np.ndarray:
+        """Hash of each anchor's phrase; the phrase of an anchor that is its text's last is none and has hash 0."""
+        anchor, doc = self._anchors
+        phrase = np.zeros(len(anchor), dtype=np.uint64)
+        j = np.flatnonzero(doc[1:] == doc[:-1])
+        phrase[j] = range_hash(self.prefix, anchor[j], anchor[j + 1] + GRAM)
+        return phrase
+
+    @cached_property
+    def _cores(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        n = len(self.prefix) - 1
+        starts = np.flatnonzero(self._moves[: n - self.size + 1] | self._moves[self._ahead : self._ahead + n - self.size + 1])
+        low, doc, end = self._placed(starts, self.size)
+        return low, doc, np.minimum(np.append(low[1:], n) - 1, end)
+
+    @property
+    def low(self) -> np.ndarray:
+        """First window of each core."""
+        return self._cores[0]
+
+    @property
+    def doc(self) -> np.ndarray:
+        """Text of each core."""
+        return self._cores[1]
+
+    @property
+    def high(self) -> np.ndarray:
+        """Last window of each core."""
+        return self._cores[2]
+
+    @cached_property
+    def _core_anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        return self._anchor_of(self.low), self._anchor_of(self.low + self._ahead)
+
+    @cached_property
+    def from_anchor(self) -> np.ndarray:
+        return np.searchsorted(self.anchor, self._core_anchors[0])
+
+    @cached_property
+    def n_phrases(self) -> np.ndarray:
+        return np.searchsorted(self.anchor, self._core_anchors[1]) - self.from_anchor
+
+    @cached_property
+    def core(self) -> np.ndarray:
+        first, last = self._core_anchors
+        return range_hash(self.prefix, first, last + GRAM)
+
+    @cached_property
+    def block(self) -> np.ndarray:
+        """Hash of all bytes of a core's windows; equal blocks have equal windows."""
+        return range_hash(self.prefix, self.low, self.high + self.size)
 
     def runs(self, repeated: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each anchor the number of phrases that follow it, all repeated, within `size` bytes, and
@@ -266,7 +317,7 @@ def find_repeats(rows: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
     found = stage(rows.mapInArrow(_find_phrases(size), f"doc {kind}, at array<int>, phrases array<long>"), "phrases")
     each = found.select("doc", F.explode("phrases").alias("phrase")).filter("phrase != 0")
     repeated = stage(each.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("phrase"), "repeated")
-    mine = each.join(repeated, "phrase").groupBy("doc").agg(F.collect_set("phrase").alias("repeated"))
+    mine = each.join(small(repeated), "phrase").groupBy("doc").agg(F.collect_set("phrase").alias("repeated"))
     mine = stage(mine, "repeated_phrases")
     held = mine.withColumnRenamed("doc", "d")
     joined = found.join(held, found["doc"] == held["d"]).select("doc", "at", "phrases", "repeated")
@@ -328,21 +379,23 @@ def _find_windows(size: int):
                     cut = np.searchsorted(s.doc, np.arange(len(rows) + 1))
                     picked, is_open = [], []
                     for k, row in enumerate(rows.tolist()):
-                        wanted = {d["block"]: d["open"] for d in asked[row].as_py()}
+                        block, opened = asked[row].values.flatten()
+                        order = np.argsort(np.asarray(block).view(np.uint64))
+                        known = np.asarray(block).view(np.uint64)[order]
                         part = np.arange(cut[k], cut[k + 1])
-                        mine = part[_members(s.block[part], pa.array(list(wanted), pa.int64()))]
+                        mine = part[_members(s.block[part], block)]
                         # a block that stands twice in the document is asked for once
                         _, once = np.unique(s.block[mine], return_index=True)
                         mine = mine[np.sort(once)]
                         picked.append(mine)
-                        is_open += [wanted[b] for b in s.block[mine].view(np.int64).tolist()]
-                    cores = np.concatenate(picked) if picked else np.zeros(0, dtype=np.int64)
+                        is_open.append(opened.to_numpy(zero_copy_only=False)[order[np.searchsorted(known, s.block[mine])]])
+                    cores = np.concatenate(picked)
                     start, core = s.windows(cores)
                     count = s.high[cores] - s.low[cores] + 1
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column(0).take(pa.array(rows[s.doc[core]])), _i64(s.core[core]), _i64(s.window_hash(start)),
-                            pa.array(np.repeat(np.array(is_open, dtype=bool), count)),
+                            pa.array(np.repeat(np.concatenate(is_open).astype(bool), count)),
                         ],
                         names=["doc", "core", "window", "open"],
                     )
@@ -368,12 +421,12 @@ def repeated_windows(rows: DataFrame, size: int) -> DataFrame:
     kinds = stage(kinds, "block_kinds")
     per_core = kinds.groupBy("core").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least"))
     mixed = per_core.filter("kinds > 1 and least = 1").select("core")
-    asked = kinds.join(mixed, "core").groupBy(F.col("doc").alias("d")).agg(
+    asked = kinds.join(small(mixed), "core").groupBy(F.col("doc").alias("d")).agg(
         F.collect_list(F.struct("block", (F.col("n") == 1).alias("open"))).alias("asked")
     )
     asked = stage(asked, "asked_blocks")
     # a block's bytes hold its core, so the block alone tells which it is
-    whole = blocks.select("doc", "block").join(kinds.filter("n > 1").select("block"), "block")
+    whole = blocks.select("doc", "block").join(small(kinds.filter("n > 1").select("block")), "block")
     whole = stage(whole.groupBy("doc").agg(F.collect_set("block").alias("blocks")), "whole_blocks")
     discard(blocks, kinds)
     joined = rows.join(small(asked), rows["doc"] == asked["d"]).select("doc", "text", "asked")
@@ -381,7 +434,7 @@ def repeated_windows(rows: DataFrame, size: int) -> DataFrame:
     windows = stage(windows, "windows")
     discard(asked)
     again = windows.groupBy("core", "window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core", "window")
-    single = windows.filter("open").join(again, ["core", "window"]).groupBy("doc").agg(F.collect_set("window").alias("windows"))
+    single = windows.filter("open").join(small(again), ["core", "window"]).groupBy("doc").agg(F.collect_set("window").alias("windows"))
     none = F.array().cast("array<long>")
     found = whole.join(single, "doc", "full").select(
         "doc", F.coalesce("blocks", none).alias("blocks"), F.coalesce("windows", none).alias("windows")

@@ -336,6 +336,14 @@ def test_scan_holds_a_bounded_multiple_of_its_texts():
     assert low.tolist() == [w for w in range(len(ends)) if not w or ends[w] != ends[w - 1]]
 
 
+def test_scan_computes_what_is_asked_for():
+    texts = [bytes(random.Random(i).choices(b"abcdefgh ", k=900)) for i in range(5)]
+    scan = suffix_dedup.Scan(texts, 200)
+    assert len(scan.phrase) == len(scan.anchor) == len(scan.anchor_doc)
+    assert not {"low", "core", "block", "n_phrases", "_cores", "_core_anchors"} & set(vars(scan))
+    assert len(scan.block) == len(scan.low) and not {"core", "n_phrases"} & set(vars(scan))
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(3)
     rows, base = [], rng.normal(size=(6, 24))
