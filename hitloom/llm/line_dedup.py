@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitloom.llm.common import fresh, map_batches, stage
+from hitloom.llm.common import fresh, map_batches, small, stage
 
 KEY = ["k1", "k2"]
 
@@ -149,11 +149,11 @@ def dedup_lines(
         runs.drop()
     hit, at = fresh(docs, "dropped_keys", "hit_doc")
     hits = (
-        keys.join(settled, KEY)
+        keys.join(small(settled), KEY)
         .groupBy(F.col("doc").alias(at))
         .agg(F.collect_set(F.struct(*KEY)).alias(hit))
     )
-    joined = docs.join(hits, docs[id_col].eqNullSafe(hits[at]), "left").drop(at)
+    joined = docs.join(small(hits), docs[id_col].eqNullSafe(hits[at]), "left").drop(at)
     n_lines, n_dropped = fresh(docs, "n_lines", "n_dropped")
     names = docs.columns
 

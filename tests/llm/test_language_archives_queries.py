@@ -4,6 +4,7 @@ import base64
 import hashlib
 import struct
 
+import pyarrow as pa
 import pytest
 import zstandard
 
@@ -202,6 +203,26 @@ def test_pipeline(spark):
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF).collect()} == {r.doc_id for r in rows}
 
 
+def test_pipeline_bounds_what_python_holds(spark):
+    def held(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes], pa.int64())], names=["n"])
+
+    texts = spark.range(0, 3000, 1, 1).selectExpr(
+        "id AS doc_id", "concat(id, repeat('x', 4000)) AS text", "'en' AS lang", "'src1' AS source", "4000L AS n_chars"
+    )
+    spark.conf.unset(corpus_pipeline.BATCH)
+    try:
+        dict(corpus_pipeline.STAGES)["line_dedup"](spark, texts, SF)
+        sizes = [r.n for r in texts.mapInArrow(held, "n long").collect()]
+        assert sum(sizes) > 12_000_000 and max(sizes) <= corpus_pipeline.BATCH_BYTES + 10_000
+        spark.conf.set(corpus_pipeline.BATCH, "1000000")
+        dict(corpus_pipeline.STAGES)["line_dedup"](spark, texts, SF)
+        assert spark.conf.get(corpus_pipeline.BATCH).startswith("1000000")
+    finally:
+        spark.conf.unset(corpus_pipeline.BATCH)
+
+
 def test_rare_and_copied_languages_are_fitted(spark):
     texts = [("aa", prose(12, i)) for i in range(3000)] + [("zz", f"žluť kůň {i}") for i in range(3)]
     texts += [("cc", "une phrase copiée partout")] * 1500

@@ -153,6 +153,17 @@ def test_sources_without_a_number_take_part(spark, tmp_path):
     assert {r[2] for r in out} == set(names)
 
 
+def test_lines_left_without_sorting_texts(spark):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = line_dedup.dedup_lines(documents(spark), min_docs=2)
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_suffix_order_equals_sorting():
     import random
 
